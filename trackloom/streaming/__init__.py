@@ -1,0 +1 @@
+"""No streaming operators are in scope: every window here is a batch window over frame numbers."""
