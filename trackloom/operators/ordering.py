@@ -63,29 +63,10 @@ def row_numbers(
     return local.join(offsets, part).select(*columns)
 
 
-def row_numbers_by_size(
-    df: DataFrame,
-    keys: list[str],
-    order: list[Column],
-    chunk: Column,
-    name: str = "rn",
-    hot_rows: int = 1_000_000,
-) -> DataFrame:
-    """``row_numbers`` for keys that are small as a rule: only hot keys are cut into chunks.
-
-    At most (rows / ``hot_rows``) keys can be hot, so a table of 10^12 rows sends at most 10^6
-    keys to the broadcast join, and an ordinary table sends none.
-    """
-    hot = F.broadcast(
-        df.groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .where(F.col("_n") > hot_rows)
-        .select(*keys)
-    )
-    plain = df.join(hot, keys, "left_anti").withColumn(
-        name, F.row_number().over(Window.partitionBy(*keys).orderBy(*order)).cast("bigint")
-    )
-    return plain.unionByName(row_numbers(df.join(hot, keys, "left_semi"), keys, order, chunk, name))
+def largest_group(df: DataFrame, keys: list[str]) -> int:
+    """Rows of the largest key; one job that counts on the map side."""
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    return counts.agg(F.max("n")).first()[0] or 0
 
 
 def label_runs(

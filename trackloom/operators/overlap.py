@@ -42,76 +42,87 @@ def _tiles(df: DataFrame, prefix: str) -> DataFrame:
     return df.withColumn("tile_x", span("x")).withColumn("tile_y", span("y"))
 
 
-def _hot_pairs(a: DataFrame, b: DataFrame, keys: list[str], block: int) -> DataFrame:
-    """Overlapping pairs of crowded frames, found once in the tile of their common corner."""
-    tile = [*keys, "tile_x", "tile_y"]
-    left, right = _tiles(a, "a_"), _tiles(b, "b_")
+def _blocked_join(left: DataFrame, right: DataFrame, keys: list[str], block: int) -> DataFrame:
+    """Join on ``keys`` where a large group is split into (block of left, block of right) cells."""
     sizes = (
-        left.select(*tile)
-        .unionByName(right.select(*tile))
-        .groupBy(*tile)
+        left.select(*keys)
+        .unionByName(right.select(*keys))
+        .groupBy(*keys)
         .agg(F.count(F.lit(1)).alias("_n"))
-        .withColumn("_blocks", F.ceil(F.col("_n") / block).cast("int"))
-        .select(*tile, "_blocks")
+        .select(*keys, F.ceil(F.col("_n") / block).cast("int").alias("_blocks"))
     )
 
     def spread(df: DataFrame, pos: str, own: str, other: str) -> DataFrame:
-        own_block = F.pmod(F.col(pos), F.col("_blocks")).cast("int")
         return (
-            df.join(sizes, tile)
-            .withColumn(own, own_block)
+            df.join(sizes, keys)
+            .withColumn(own, F.pmod(F.col(pos), F.col("_blocks")).cast("int"))
             .withColumn(other, F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)))
             .drop("_blocks")
         )
 
-    corner = (
-        F.floor(F.greatest(F.col("a_x1"), F.col("b_x1")) / TILE_PX) == F.col("tile_x")
-    ) & (F.floor(F.greatest(F.col("a_y1"), F.col("b_y1")) / TILE_PX) == F.col("tile_y"))
     return (
-        spread(left, "a_pos", "block_a", "block_b")
-        .join(spread(right, "b_pos", "block_b", "block_a"), [*tile, "block_a", "block_b"])
-        .where(corner)
-        .drop("tile_x", "tile_y", "block_a", "block_b")
+        spread(left, "a_pos", "_block_a", "_block_b")
+        .join(spread(right, "b_pos", "_block_b", "_block_a"), [*keys, "_block_a", "_block_b"])
+        .drop("_block_a", "_block_b")
     )
 
 
+def _hot_pairs(a: DataFrame, b: DataFrame, keys: list[str], block: int) -> DataFrame:
+    """Overlapping pairs of crowded frames, each kept only in the tile of its common corner."""
+
+    def in_tile(axis: str) -> Column:
+        corner = F.greatest(F.col(f"a_{axis}1"), F.col(f"b_{axis}1"))
+        return F.floor(corner / TILE_PX) == F.col(f"tile_{axis}")
+
+    pairs = _blocked_join(_tiles(a, "a_"), _tiles(b, "b_"), [*keys, "tile_x", "tile_y"], block)
+    return pairs.where(in_tile("x") & in_tile("y")).drop("tile_x", "tile_y")
+
+
+def is_crowded(boxes: DataFrame, hot_frame: int = HOT_FRAME) -> bool:
+    """Whether any frame holds more boxes than one task should pair.
+
+    Positions in a frame run from 1 without holes, so such a frame has a box at this position;
+    on stored boxes the test is a pushed-down filter.
+    """
+    return not boxes.where(F.col("pos") == hot_frame + 1).select("pos").isEmpty()
+
+
 def _overlaps(
-    a: DataFrame,
-    b: DataFrame,
-    keys: list[str],
-    same_side: bool,
-    hot_frame: int,
-    block: int,
+    a: DataFrame, b: DataFrame, keys: list[str], same_side: bool, crowded: bool, hot_frame: int, block: int
 ) -> DataFrame:
     """Pairs with a positive common area; sides carry prefixes ``a_`` and ``b_``."""
-    # Positions in a frame run from 1 without holes, so a frame has a box at this position
-    # exactly when it is crowded. The list is usually empty; its size is left to the planner.
-    hot = a.where(F.col("a_pos") == hot_frame).select(*keys)
-    if not same_side:
-        hot = hot.unionByName(b.where(F.col("b_pos") == hot_frame).select(*keys)).distinct()
-
     meet = intersects("a_", "b_")
     if same_side:
         meet = meet & (F.col("a_pos") < F.col("b_pos"))
+    if not crowded:
+        return a.join(b, keys).where(meet).withColumn("iou", iou("a_", "b_"))
+    hot = (
+        a.where(F.col("a_pos") == hot_frame + 1)
+        .select(*keys)
+        .unionByName(b.where(F.col("b_pos") == hot_frame + 1).select(*keys))
+        .distinct()
+    )
     plain = a.join(hot, keys, "left_anti").join(b, keys).where(meet)
-    crowded = _hot_pairs(
+    tiled = _hot_pairs(
         a.join(hot, keys, "left_semi"), b.join(hot, keys, "left_semi"), keys, block
     ).where(meet)
-    return plain.unionByName(crowded).withColumn("iou", iou("a_", "b_"))
+    return plain.unionByName(tiled).withColumn("iou", iou("a_", "b_"))
 
 
 def frame_pairs(
     boxes: DataFrame,
     columns: tuple[str, ...] = ("action",),
+    crowded: bool | None = None,
     hot_frame: int = HOT_FRAME,
     block: int = BLOCK,
 ) -> DataFrame:
     """Pairs of valid boxes of one frame with IoU > 0: keys, a_*, b_*, iou (a_pos < b_pos)."""
+    if crowded is None:
+        crowded = is_crowded(boxes, hot_frame)
     valid = valid_boxes(boxes)
     names = ["pos", *columns, *BOX]
-    return _overlaps(
-        _side(valid, "a_", FRAME, names), _side(valid, "b_", FRAME, names), FRAME, True, hot_frame, block
-    )
+    sides = [_side(valid, p, FRAME, names) for p in ("a_", "b_")]
+    return _overlaps(*sides, FRAME, True, crowded, hot_frame, block)
 
 
 def cross_pairs(
@@ -119,13 +130,16 @@ def cross_pairs(
     b: DataFrame,
     keys: list[str],
     columns: tuple[str, ...] = ("action",),
+    crowded: bool | None = None,
     hot_frame: int = HOT_FRAME,
     block: int = BLOCK,
 ) -> DataFrame:
     """Pairs of boxes of two datasets that share ``keys``, with IoU > 0."""
+    if crowded is None:
+        crowded = is_crowded(a, hot_frame) or is_crowded(b, hot_frame)
     names = ["pos", *columns, *BOX]
     return _overlaps(
-        _side(a, "a_", keys, names), _side(b, "b_", keys, names), keys, False, hot_frame, block
+        _side(a, "a_", keys, names), _side(b, "b_", keys, names), keys, False, crowded, hot_frame, block
     )
 
 
@@ -140,7 +154,7 @@ def frame_counts(boxes: DataFrame) -> DataFrame:
     )
 
 
-def totals(boxes: DataFrame) -> DataFrame:
+def totals(boxes: DataFrame, crowded: bool | None = None) -> DataFrame:
     """Frames with boxes, frames with an overlap, boxes and pairs."""
     counts = frame_counts(boxes).agg(
         F.count(F.lit(1)).alias("frames_with_boxes"),
@@ -148,7 +162,7 @@ def totals(boxes: DataFrame) -> DataFrame:
         F.coalesce(F.sum("n_pairs"), F.lit(0)).alias("total_pairs"),
     )
     overlapping = (
-        frame_pairs(boxes, ())
+        frame_pairs(boxes, (), crowded)
         .select(*FRAME)
         .distinct()
         .agg(F.count(F.lit(1)).alias("frames_with_overlaps"))
@@ -156,54 +170,64 @@ def totals(boxes: DataFrame) -> DataFrame:
     return counts.join(overlapping)
 
 
-def _at_thresholds(pairs: DataFrame, thresholds: tuple[float, ...]) -> DataFrame:
-    """One row per pair and threshold it reaches."""
-    values = F.array(*[F.lit(float(t)) for t in thresholds])
+def _reached(pairs: DataFrame, thresholds: tuple[float, ...], keys: list) -> DataFrame:
+    """Per key and threshold: number of pairs with IoU at or above it (rows with none left out).
+
+    One conditional count per threshold keeps one row per pair through the shuffle.
+    """
+    counts = [F.count_if(F.col("iou") >= t).alias(f"_n{i}") for i, t in enumerate(thresholds)]
+    wide = pairs.where(F.col("iou") >= min(thresholds)).groupBy(*keys).agg(*counts)
+    return _by_threshold(wide, thresholds)
+
+
+def _by_threshold(wide: DataFrame, thresholds: tuple[float, ...]) -> DataFrame:
+    names = [f"_n{i}" for i in range(len(thresholds))]
+    rows = F.array(
+        *[
+            F.struct(F.lit(float(t)).alias("threshold"), F.col(c).alias("n"))
+            for t, c in zip(thresholds, names)
+        ]
+    )
     return (
-        pairs.where(F.col("iou") >= min(thresholds))
-        .withColumn("threshold", F.explode(values))
-        .where(F.col("iou") >= F.col("threshold"))
+        wide.withColumn("_t", F.explode(rows))
+        .select("*", "_t.threshold", "_t.n")
+        .drop("_t", *names)
+        .where(F.col("n") > 0)
     )
 
 
-def counts_by_threshold(boxes: DataFrame, thresholds=THRESHOLDS) -> DataFrame:
+def counts_by_threshold(
+    boxes: DataFrame, thresholds=THRESHOLDS, crowded: bool | None = None
+) -> DataFrame:
     """All pairs with IoU at or above each threshold."""
-    spark = boxes.sparkSession
-    spine = spark.createDataFrame([(float(t),) for t in thresholds], "threshold double")
-    reached = (
-        _at_thresholds(frame_pairs(boxes, ()), thresholds)
-        .groupBy("threshold")
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
-    return spine.join(reached, "threshold", "left").select(
-        "threshold", F.coalesce("n", F.lit(0)).alias("pairs")
+    counts = [F.count_if(F.col("iou") >= t).alias(f"_n{i}") for i, t in enumerate(thresholds)]
+    wide = frame_pairs(boxes, (), crowded).agg(*counts)
+    rows = F.array(
+        *[
+            F.struct(F.lit(float(t)).alias("threshold"), F.col(f"_n{i}").alias("pairs"))
+            for i, t in enumerate(thresholds)
+        ]
     )
+    return wide.select(F.inline(rows))
 
 
-def same_action(boxes: DataFrame, thresholds=THRESHOLDS) -> DataFrame:
+def same_action(boxes: DataFrame, thresholds=THRESHOLDS, crowded: bool | None = None) -> DataFrame:
     """Per threshold and action: pairs of equal action, and frames that hold one."""
-    per_frame = (
-        _at_thresholds(
-            frame_pairs(boxes).where(F.col("a_action") == F.col("b_action")), thresholds
-        )
-        .groupBy("threshold", F.col("a_action").alias("action"), *FRAME)
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
+    equal = frame_pairs(boxes, crowded=crowded).where(F.col("a_action") == F.col("b_action"))
+    per_frame = _reached(equal, thresholds, [F.col("a_action").alias("action"), *FRAME])
     return per_frame.groupBy("threshold", "action").agg(
         F.sum("n").alias("pairs"), F.count(F.lit(1)).alias("frames")
     )
 
 
-def action_pairs(boxes: DataFrame, thresholds=THRESHOLDS) -> DataFrame:
+def action_pairs(boxes: DataFrame, thresholds=THRESHOLDS, crowded: bool | None = None) -> DataFrame:
     """Per threshold and unordered pair of actions: pairs."""
-    return (
-        _at_thresholds(frame_pairs(boxes), thresholds)
-        .groupBy(
-            "threshold",
-            F.least("a_action", "b_action").alias("action_a"),
-            F.greatest("a_action", "b_action").alias("action_b"),
-        )
-        .agg(F.count(F.lit(1)).alias("pairs"))
+    keys = [
+        F.least("a_action", "b_action").alias("action_a"),
+        F.greatest("a_action", "b_action").alias("action_b"),
+    ]
+    return _reached(frame_pairs(boxes, crowded=crowded), thresholds, keys).withColumnRenamed(
+        "n", "pairs"
     )
 
 
@@ -225,37 +249,35 @@ def _bins(pairs: DataFrame, total: DataFrame) -> DataFrame:
     )
 
 
-def iou_histogram(boxes: DataFrame) -> DataFrame:
+def iou_histogram(boxes: DataFrame, crowded: bool | None = None) -> DataFrame:
     total = frame_counts(boxes).agg(F.coalesce(F.sum("n_pairs"), F.lit(0)).alias("n"))
-    return _bins(frame_pairs(boxes, ()), total)
+    return _bins(frame_pairs(boxes, (), crowded), total)
 
 
-def iou_summary(boxes: DataFrame) -> DataFrame:
+def iou_summary(boxes: DataFrame, crowded: bool | None = None) -> DataFrame:
     """Five-number summary of IoU over all pairs, the ones without overlap included as zeros."""
-    met = frame_pairs(boxes, ()).select(F.col("iou").alias("v"), F.lit(1).cast("bigint").alias("w"))
-    per_frame = frame_pairs(boxes, ()).groupBy(*FRAME).agg(F.count(F.lit(1)).alias("met"))
-    zeros = (
-        frame_counts(boxes)
-        .where(F.col("n_pairs") > 0)
-        .join(per_frame, FRAME, "left")
-        .select(
-            F.lit(0.0).alias("v"), (F.col("n_pairs") - F.coalesce("met", F.lit(0))).alias("w")
-        )
+    met = frame_pairs(boxes, (), crowded).groupBy("iou").agg(F.count(F.lit(1)).alias("w"))
+    total = frame_counts(boxes).agg(F.coalesce(F.sum("n_pairs"), F.lit(0)).alias("n"))
+    zeros = total.join(met.agg(F.coalesce(F.sum("w"), F.lit(0)).alias("met"))).select(
+        F.lit(0.0).alias("iou"), (F.col("n") - F.col("met")).alias("w")
+    )
+    return five_numbers(
+        met.unionByName(zeros), [], {"iou": F.col("iou")}, F.col("w"), rescan=False
     )
-    return five_numbers(met.unionByName(zeros), [], {"iou": F.col("v")}, F.col("w"))
 
 
-def degree_histogram(boxes: DataFrame, thresholds=THRESHOLDS) -> DataFrame:
+def degree_histogram(
+    boxes: DataFrame, thresholds=THRESHOLDS, crowded: bool | None = None
+) -> DataFrame:
     """Boxes by number of partners at each threshold.
 
     ``degree`` is the true number; ``degree_ref`` is one less, as the copied rule subtracts the
     box itself although it was never counted. Isolated boxes have no ``degree_ref``.
     """
-    reached = _at_thresholds(frame_pairs(boxes, ()), thresholds)
-    ends = reached.select(
-        "threshold", *FRAME, F.explode(F.array("a_pos", "b_pos")).alias("pos")
+    ends = frame_pairs(boxes, (), crowded).select(
+        *FRAME, "iou", F.explode(F.array("a_pos", "b_pos")).alias("pos")
     )
-    per_box = ends.groupBy("threshold", *FRAME, "pos").agg(F.count(F.lit(1)).alias("degree"))
+    per_box = _reached(ends, thresholds, [*FRAME, "pos"]).withColumnRenamed("n", "degree")
     counted = per_box.groupBy("threshold", "degree").agg(F.count(F.lit(1)).alias("boxes"))
     spine = boxes.sparkSession.createDataFrame([(float(t),) for t in thresholds], "threshold double")
     in_pairs = frame_counts(boxes).where(F.col("n_boxes") >= 2).agg(
@@ -277,9 +299,9 @@ def degree_histogram(boxes: DataFrame, thresholds=THRESHOLDS) -> DataFrame:
     )
 
 
-def frame_maxima(boxes: DataFrame) -> DataFrame:
+def frame_maxima(boxes: DataFrame, crowded: bool | None = None) -> DataFrame:
     """Largest IoU per frame that has valid boxes; 0 where nothing overlaps."""
-    best = frame_pairs(boxes, ()).groupBy(*FRAME).agg(F.max("iou").alias("max_iou"))
+    best = frame_pairs(boxes, (), crowded).groupBy(*FRAME).agg(F.max("iou").alias("max_iou"))
     return (
         frame_counts(boxes)
         .join(best, FRAME, "left")
@@ -290,8 +312,8 @@ def frame_maxima(boxes: DataFrame) -> DataFrame:
 def sudden_changes(boxes: DataFrame) -> DataFrame:
     """Neighbouring frames f, f+1: every lost id against every gained id, with their IoU.
 
-    ``gid`` is the numeric track id, -1 when absent. All pairs of lost and gained boxes are the
-    wanted rows; each frame pair is one join key.
+    ``gid`` is the numeric track id, -1 when absent. Every pair of a lost and a gained box is a
+    wanted row, so the join is only cut into blocks, never thinned.
     """
     gid = F.coalesce(F.col("track_id").try_cast("bigint"), F.lit(-1).cast("bigint"))
     valid = boxes.where(is_valid_box()).withColumn("gid", gid)
@@ -308,4 +330,4 @@ def sudden_changes(boxes: DataFrame) -> DataFrame:
         FRAME,
         names,
     )
-    return a.join(b, FRAME).withColumn("iou", iou("a_", "b_"))
+    return _blocked_join(a, b, FRAME, BLOCK).withColumn("iou", iou("a_", "b_"))

@@ -69,12 +69,15 @@ def five_numbers(
     scale: float = 1.0,
     digits: int | None = 6,
     probs: dict[str, float] | None = None,
+    rescan: bool = True,
 ) -> DataFrame:
     """count, min, p25, mean, p75, max of every metric per group (linear interpolation).
 
     ``groups`` must hold no nulls; null metric values are left out. ``discrete`` is for values
     with few distinct ones (frame counts): the histogram itself then holds every rank.
-    ``scale`` is a typical size of the values. Output has one row per (groups, metric).
+    ``scale`` is a typical size of the values. ``rescan=False`` is for inputs that are dear to
+    compute: they are shuffled once as a histogram of values, which both passes then read.
+    Output has one row per (groups, metric).
     """
     probs = probs or QUARTILES
     keys = [*groups, "metric"]
@@ -89,8 +92,13 @@ def five_numbers(
         df.select(*groups, weight.cast("bigint").alias("_w"), pairs.alias("_p"))
         .select(*groups, "_w", "_p.metric", "_p._v")
         .where(F.col("_v").isNotNull() & (F.col("_w") > 0))
-        .withColumn("_cell", F.col("_v") if discrete else _cell(F.col("_v"), scale))
     )
+    if not rescan:
+        long = long.groupBy(*keys, "_v").agg(F.sum("_w").alias("_w"))
+    # The null tests keep the plan under both passes the same, so its shuffle is reused.
+    long = long.withColumn("_cell", F.col("_v") if discrete else _cell(F.col("_v"), scale))
+    for name in [*keys, "_cell"]:
+        long = long.where(F.col(name).isNotNull())
     cells = long.groupBy(*keys, "_cell").agg(
         F.sum("_w").alias("_n"),
         F.sum(F.col("_v") * F.col("_w")).alias("_s"),

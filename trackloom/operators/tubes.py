@@ -54,10 +54,9 @@ def tube_runs(
     ``dedup`` counts copies of a key in a frame once; otherwise each further copy opens a tube.
     """
     usable = in_tube(boxes)
+    ends = [F.min("pos").alias("pos_first"), F.max("pos").alias("pos_last")]
     frames = usable.groupBy(*KEY, "frame_idx").agg(
-        F.count(F.lit(1)).alias("copies"),
-        F.min("pos").alias("pos_first"),
-        F.max("pos").alias("pos_last"),
+        F.count(F.lit(1)).alias("copies"), *(ends if "pos" in boxes.columns else [])
     )
     if isinstance(stride, DataFrame):
         frames = frames.join(stride.select("video_id", "stride"), "video_id")

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from functools import cached_property
+
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from trackloom.operators.ordering import row_numbers_by_size
+from trackloom.operators.ordering import largest_group, row_numbers
 
 # The view definitions are fixed expressions shared by both engines.
 COLUMNS = {
@@ -70,6 +72,9 @@ SQL = {v: f"SELECT {', '.join(COLUMNS[v])} FROM {SOURCES[v]}" for v in COLUMNS}
     "fx_action_list": "SELECT * FROM (VALUES (1, 'basketball - pass'), (2, 'basketball - screen'), (3, 'basketball - shot'), (4, 'volleyball - serve'), (5, 'volleyball - spike'), (6, 'volleyball - block')) AS t(action_id, action_name)",
 }
 
+# A frame with more boxes than this is numbered chunk by chunk.
+HOT_ROWS = 1_000_000
+
 # Views that read other views.
 NEEDS = {
     "fx_boxes_b": ["fx_boxes"],
@@ -98,25 +103,36 @@ class Views:
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.dir}/{name}.parquet")
 
+    @cached_property
+    def frame_size(self) -> int:
+        """Boxes in the fullest frame: decides whether frames must be cut into chunks."""
+        return largest_group(self.table("lineitem"), ["l_orderkey"])
+
+    def bare_boxes(self) -> DataFrame:
+        """Boxes without their position in the frame, for operators that do not need it."""
+        columns = [c for c in COLUMNS["fx_boxes"] if not c.startswith("row_number()")]
+        return self.table("lineitem").selectExpr(*columns)
+
     def boxes(self) -> DataFrame:
-        """One row per box. The position in a frame is numbered chunk by chunk for hot frames."""
-        line = row_numbers_by_size(
-            self.table("lineitem"),
-            ["l_orderkey"],
-            [
-                F.col(c)
-                for c in (
-                    "l_linenumber",
-                    "l_partkey",
-                    "l_suppkey",
-                    "l_quantity",
-                    "l_extendedprice",
-                    "l_shipdate",
-                )
-            ],
-            F.struct("l_linenumber", F.floor(F.col("l_partkey") / 64)),
-            name="pos",
-        )
+        """One row per box, numbered inside its frame."""
+        line = self.table("lineitem")
+        order = [
+            F.col(c)
+            for c in (
+                "l_linenumber",
+                "l_partkey",
+                "l_suppkey",
+                "l_quantity",
+                "l_extendedprice",
+                "l_shipdate",
+            )
+        ]
+        if self.frame_size > HOT_ROWS:
+            chunk = F.struct("l_linenumber", F.floor(F.col("l_partkey") / 64))
+            line = row_numbers(line, ["l_orderkey"], order, chunk, name="pos")
+        else:
+            number = F.row_number().over(Window.partitionBy("l_orderkey").orderBy(*order))
+            line = line.withColumn("pos", number.cast("bigint"))
         columns = [c for c in COLUMNS["fx_boxes"] if not c.startswith("row_number()")]
         return line.selectExpr("pos", *columns)
 
@@ -139,7 +155,7 @@ class Views:
 
     def alignment(self) -> DataFrame:
         return (
-            self.boxes()
+            self.bare_boxes()
             .select("video_id")
             .distinct()
             .selectExpr(
@@ -174,7 +190,7 @@ class Views:
 
     def remove_list(self) -> DataFrame:
         return (
-            self.boxes()
+            self.bare_boxes()
             .where("video_id LIKE 'v0_7' AND track_id = '1'")
             .select("video_id", "track_id")
             .distinct()

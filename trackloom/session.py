@@ -21,6 +21,7 @@ def build_session(app: str = "trackloom", cpus: str | None = None) -> SparkSessi
             .config("spark.sql.shuffle.partitions", cpus)
             .config("spark.driver.memory", os.environ.get("TRACKLOOM_DRIVER_MEMORY", "12g"))
             .config("spark.ui.enabled", "false")
+            .config("spark.ui.showConsoleProgress", "false")
         )
     return builder.getOrCreate()
 
