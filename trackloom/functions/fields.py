@@ -14,6 +14,7 @@ STRIDE_BY_PATH = {"sportshhi": 5}
 # Header words skipped in split lists.
 SPLIT_HEADERS = ("tube", "path", "video", "videos", "sample")
 # Characters kept in directory names.
+SPACE = "[\\s\\p{Z}\\x1c-\\x1f\\x{85}]"
 UNSAFE_NAME = "[^0-9A-Za-z_\\-\\.一-龥]"
 
 
@@ -67,7 +68,8 @@ def stride_rule(path: Column) -> Column:
 
 def sanitize(name: Column) -> Column:
     """Directory-safe name: white space and other unsafe characters become underscores."""
-    text = F.regexp_replace(F.trim(name), "\\s+", "_")
+    text = F.regexp_replace(name, f"^{SPACE}+|{SPACE}+$", "")
+    text = F.regexp_replace(text, f"{SPACE}+", "_")
     text = F.regexp_replace(text, UNSAFE_NAME, "_")
     return F.when(text == "", F.lit("unknown")).otherwise(text)
 

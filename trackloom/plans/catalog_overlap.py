@@ -31,9 +31,9 @@ PAIRS = ctes("fx_boxes", extra=[VALID, ALL_PAIRS, THRESHOLD])
 def summary_sql(value: str, name: str) -> str:
     """Five-number summary columns of ``value``."""
     return (
-        f"'{name}' AS metric, count({value}) AS count, round(min({value}), 6) AS min,"
+        f"'{name}' AS metric, count({value}) AS count, round(min({value})::DOUBLE, 6) AS min,"
         f" round(quantile_cont({value}, 0.25), 6) AS p25, round(avg({value}), 6) AS mean,"
-        f" round(quantile_cont({value}, 0.75), 6) AS p75, round(max({value}), 6) AS max"
+        f" round(quantile_cont({value}, 0.75), 6) AS p75, round(max({value})::DOUBLE, 6) AS max"
     )
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from trackloom.plans.fixtures import Views
 
-CATALOGS = ("overlap",)
+CATALOGS = ("overlap", "profile", "tubes")
 
 
 def _entries() -> dict:
