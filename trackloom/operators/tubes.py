@@ -45,6 +45,7 @@ def tube_runs(
     stride: str | int | DataFrame = "auto",
     dedup: bool = False,
     break_if: str = "ne",
+    any_of: tuple[str, ...] = (),
 ) -> DataFrame:
     """One row per (video, track, action, frame) with its run.
 
@@ -52,11 +53,14 @@ def tube_runs(
     ``per_key`` (mode over the tube's own frames), or a frame of (video_id, stride).
     ``break_if``: ``ne`` breaks at any other step, ``gt`` only at larger ones.
     ``dedup`` counts copies of a key in a frame once; otherwise each further copy opens a tube.
+    ``any_of`` names flags of the boxes to keep per frame (true when true for any box).
     """
     usable = in_tube(boxes)
     ends = [F.min("pos").alias("pos_first"), F.max("pos").alias("pos_last")]
     frames = usable.groupBy(*KEY, "frame_idx").agg(
-        F.count(F.lit(1)).alias("copies"), *(ends if "pos" in boxes.columns else [])
+        F.count(F.lit(1)).alias("copies"),
+        *(ends if "pos" in boxes.columns else []),
+        *[F.bool_or(c).alias(c) for c in any_of],
     )
     if isinstance(stride, DataFrame):
         frames = frames.join(stride.select("video_id", "stride"), "video_id")

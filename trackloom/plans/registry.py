@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from trackloom.plans.fixtures import Views
 
-CATALOGS = ("overlap", "profile", "tubes")
+CATALOGS = ("overlap", "profile", "tubes", "windows")
 
 
 def _entries() -> dict:
