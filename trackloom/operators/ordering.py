@@ -158,14 +158,26 @@ def label_runs(
 def distinct_diffs(
     df: DataFrame, keys: list[str], index: str, chunk: int = CHUNK_FRAMES
 ) -> DataFrame:
-    """Count of each positive difference between neighbouring distinct indices of a key."""
-    unique = df.select(*keys, index).distinct()
-    runs = label_runs(unique, keys, index, lambda prev, cur: F.lit(True), chunk=chunk)
-    return (
-        runs.where(F.col("prev").isNotNull())
-        .groupBy(*keys, (F.col(index) - F.col("prev")).alias("diff"))
+    """Count of each difference between neighbouring distinct indices of a key.
+
+    Differences inside a chunk are counted there; the ones between chunks come from the first
+    and last index of each chunk.
+    """
+    part = [*keys, "_chunk"]
+    unique = _cut(df.select(*keys, index).distinct(), keys, frame_chunk(index, chunk))
+    here = Window.partitionBy(*part).orderBy(index)
+    inside = (
+        unique.withColumn("diff", F.col(index) - F.lag(index).over(here))
+        .where(F.col("diff").isNotNull())
+        .groupBy(*keys, "diff")
         .agg(F.count(F.lit(1)).alias("n"))
     )
+    ends = unique.groupBy(*part).agg(F.min(index).alias("_first"), F.max(index).alias("_last"))
+    along = Window.partitionBy(*keys).orderBy("_chunk")
+    between = ends.select(
+        *keys, (F.col("_first") - F.lag("_last").over(along)).alias("diff"), F.lit(1).cast("bigint").alias("n")
+    ).where(F.col("diff").isNotNull())
+    return inside.unionByName(between).groupBy(*keys, "diff").agg(F.sum("n").alias("n"))
 
 
 def first_per_group(

@@ -18,31 +18,23 @@ def in_tube(boxes: DataFrame) -> DataFrame:
     return boxes.where((F.col("track_id") != "") & (F.col("action") != ""))
 
 
-def modal_stride(
-    frames: DataFrame, keys: list[str] | None = None, path_rule: bool = True
-) -> DataFrame:
-    """Most frequent positive step between neighbouring frames; the smaller one on ties.
+def modes(frames: DataFrame, keys: list[str]) -> DataFrame:
+    """Most frequent step between neighbouring frames of each key; the smaller one on ties."""
+    best = F.max_by("diff", F.struct(F.col("n"), -F.col("diff")))
+    return distinct_diffs(frames, keys, "frame_idx").groupBy(*keys).agg(best.alias("_mode"))
 
-    Without any step the path rule (or 1) applies.
-    """
-    keys = keys or ["video_id"]
-    best = (
-        distinct_diffs(frames, keys, "frame_idx")
-        .groupBy(*keys)
-        .agg(F.max_by("diff", F.struct(F.col("n"), -F.col("diff"))).alias("_mode"))
-    )
-    fallback = stride_rule(F.col("video_id")) if path_rule else F.lit(1).cast("bigint")
-    return (
-        frames.select(*keys)
-        .distinct()
-        .join(best, keys, "left")
-        .select(*keys, F.coalesce("_mode", fallback).alias("stride"))
+
+def modal_stride(frames: DataFrame) -> DataFrame:
+    """Step of each video: the mode, or the path rule when it has a single frame."""
+    videos = frames.select("video_id").distinct()
+    return videos.join(modes(frames, ["video_id"]), "video_id", "left").select(
+        "video_id", F.coalesce("_mode", stride_rule(F.col("video_id"))).alias("stride")
     )
 
 
 def tube_runs(
     boxes: DataFrame,
-    stride: str | int | DataFrame = "auto",
+    stride: str | int = "auto",
     dedup: bool = False,
     break_if: str = "ne",
     any_of: tuple[str, ...] = (),
@@ -50,7 +42,8 @@ def tube_runs(
     """One row per (video, track, action, frame) with its run.
 
     ``stride``: a number, ``fixed`` (path rule), ``auto`` (mode over all frames of the video),
-    ``per_key`` (mode over the tube's own frames), or a frame of (video_id, stride).
+    ``annotated`` (mode over the frames with a usable box, else 1) or ``per_key`` (mode over the
+    tube's own frames, else 1).
     ``break_if``: ``ne`` breaks at any other step, ``gt`` only at larger ones.
     ``dedup`` counts copies of a key in a frame once; otherwise each further copy opens a tube.
     ``any_of`` names flags of the boxes to keep per frame (true when true for any box).
@@ -62,14 +55,18 @@ def tube_runs(
         *(ends if "pos" in boxes.columns else []),
         *[F.bool_or(c).alias(c) for c in any_of],
     )
-    if isinstance(stride, DataFrame):
-        frames = frames.join(stride.select("video_id", "stride"), "video_id")
-    elif stride == "fixed":
-        frames = frames.withColumn("stride", stride_rule(F.col("video_id")))
-    elif stride == "auto":
-        frames = frames.join(modal_stride(boxes), "video_id")
-    elif stride == "per_key":
-        frames = frames.join(modal_stride(usable, KEY, path_rule=False), KEY)
+    rule = stride_rule(F.col("video_id"))
+    if stride == "fixed":
+        frames = frames.withColumn("stride", rule)
+    elif stride in ("auto", "annotated", "per_key"):
+        keys = KEY if stride == "per_key" else ["video_id"]
+        found = modes(boxes if stride == "auto" else usable, keys)
+        default = rule if stride == "auto" else F.lit(1).cast("bigint")
+        frames = (
+            frames.join(found, keys, "left")
+            .withColumn("stride", F.coalesce("_mode", default))
+            .drop("_mode")
+        )
     else:
         frames = frames.withColumn("stride", F.lit(int(stride)).cast("bigint"))
 
@@ -89,7 +86,7 @@ def tube_runs(
 
 def tube_segments(
     boxes: DataFrame,
-    stride: str | int | DataFrame = "auto",
+    stride: str | int = "auto",
     dedup: bool = False,
     break_if: str = "ne",
 ) -> DataFrame:
@@ -138,7 +135,7 @@ def annotated_rows(boxes: DataFrame, frames: DataFrame) -> DataFrame:
     """
     manifest = frames.select("video_id", "frame_idx").distinct()
     usable = in_tube(boxes).join(manifest, ["video_id", "frame_idx"], "left_semi")
-    runs = tube_runs(usable, modal_stride(usable, path_rule=False)).select(
+    runs = tube_runs(usable, "annotated").select(
         *KEY, "frame_idx", "copies", "pos_first", "pos_last", "stride", "head", "tail", "run_no"
     )
     joined = usable.join(runs, [*KEY, "frame_idx"])

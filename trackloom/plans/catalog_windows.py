@@ -8,6 +8,7 @@ from trackloom.operators import tubes as T
 from trackloom.operators import windows as W
 from trackloom.plans.catalog_tubes import ANNOTATED, KEY
 from trackloom.plans.fixtures import Views, ctes
+from trackloom.session import cut_lineage
 
 WIN, STEP = 6, 3
 SEG = f"{KEY}, run_no"
@@ -80,7 +81,8 @@ class Parts:
 
     def __init__(self, v: Views, pad: bool = False):
         self.boxes, self.frames = v.boxes(), v.frames()
-        self.rows = T.annotated_rows(self.boxes, self.frames)
+        # Read several times below, so it is written once to the checkpoint folder.
+        self.rows = cut_lineage(T.annotated_rows(self.boxes, self.frames))
         self.segments = T.annotated_segments(self.rows)
         self.starts = W.window_starts(self.rows, self.segments, self.frames, WIN, STEP, pad=pad)
         self.plan = W.window_frames(self.starts, self.frames, WIN, pad)
