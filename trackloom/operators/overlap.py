@@ -81,10 +81,10 @@ def _hot_pairs(a: DataFrame, b: DataFrame, keys: list[str], block: int) -> DataF
 def is_crowded(boxes: DataFrame, hot_frame: int = HOT_FRAME) -> bool:
     """Whether any frame holds more boxes than one task should pair.
 
-    Positions in a frame run from 1 without holes, so such a frame has a box at this position;
-    on stored boxes the test is a pushed-down filter.
+    Positions in a frame run from 1, so only such a frame has boxes beyond this position; on
+    stored boxes the test is a pushed-down filter.
     """
-    return not boxes.where(F.col("pos") == hot_frame + 1).select("pos").isEmpty()
+    return not boxes.where(F.col("pos") > hot_frame).select("pos").isEmpty()
 
 
 def _overlaps(
@@ -97,9 +97,9 @@ def _overlaps(
     if not crowded:
         return a.join(b, keys).where(meet).withColumn("iou", iou("a_", "b_"))
     hot = (
-        a.where(F.col("a_pos") == hot_frame + 1)
+        a.where(F.col("a_pos") > hot_frame)
         .select(*keys)
-        .unionByName(b.where(F.col("b_pos") == hot_frame + 1).select(*keys))
+        .unionByName(b.where(F.col("b_pos") > hot_frame).select(*keys))
         .distinct()
     )
     plain = a.join(hot, keys, "left_anti").join(b, keys).where(meet)
@@ -231,7 +231,7 @@ def action_pairs(boxes: DataFrame, thresholds=THRESHOLDS, crowded: bool | None =
     )
 
 
-def _bins(pairs: DataFrame, total: DataFrame) -> DataFrame:
+def bin_counts(pairs: DataFrame, total: DataFrame) -> DataFrame:
     """Ten equal bins of IoU; pairs without overlap are the rest of ``total`` (one row, n)."""
     spark = pairs.sparkSession
     counted = pairs.groupBy(F.least(F.lit(9), F.floor(F.col("iou") * 10)).cast("int").alias("bin")).agg(
@@ -251,7 +251,7 @@ def _bins(pairs: DataFrame, total: DataFrame) -> DataFrame:
 
 def iou_histogram(boxes: DataFrame, crowded: bool | None = None) -> DataFrame:
     total = frame_counts(boxes).agg(F.coalesce(F.sum("n_pairs"), F.lit(0)).alias("n"))
-    return _bins(frame_pairs(boxes, (), crowded), total)
+    return bin_counts(frame_pairs(boxes, (), crowded), total)
 
 
 def iou_summary(boxes: DataFrame, crowded: bool | None = None) -> DataFrame:
