@@ -28,13 +28,17 @@ THRESHOLD = ("th", "SELECT * FROM (VALUES (0.1::DOUBLE), (0.3::DOUBLE), (0.5::DO
 PAIRS = ctes("fx_boxes", extra=[VALID, ALL_PAIRS, THRESHOLD])
 
 
-def summary_sql(value: str, name: str) -> str:
+def summary_sql(value: str, name: str, digits: int = 6) -> str:
     """Five-number summary columns of ``value``."""
-    return (
-        f"'{name}' AS metric, count({value}) AS count, round(min({value})::DOUBLE, 6) AS min,"
-        f" round(quantile_cont({value}, 0.25), 6) AS p25, round(avg({value}), 6) AS mean,"
-        f" round(quantile_cont({value}, 0.75), 6) AS p75, round(max({value})::DOUBLE, 6) AS max"
-    )
+    parts = {
+        "min": f"min({value})::DOUBLE",
+        "p25": f"quantile_cont({value}, 0.25)",
+        "mean": f"avg({value})",
+        "p75": f"quantile_cont({value}, 0.75)",
+        "max": f"max({value})::DOUBLE",
+    }
+    shown = ", ".join(f"round({e}, {digits}) AS {n}" for n, e in parts.items())
+    return f"'{name}' AS metric, count({value}) AS count, {shown}"
 
 
 def _crowded(v: Views) -> bool:
