@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from trackloom.plans.fixtures import Views
 
-CATALOGS = ("overlap", "profile", "tubes", "windows", "datasets", "align", "interactions")
+CATALOGS = ("overlap", "profile", "tubes", "windows", "datasets", "align", "interactions", "sources")
 
 
 def _entries() -> dict:

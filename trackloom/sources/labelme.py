@@ -162,7 +162,9 @@ def frame_records(
             F.first(name).alias("imagePath"),
             F.max("img_w").alias("imageWidth"),
             F.max("img_h").alias("imageHeight"),
-            F.sort_array(F.collect_list("_s")).alias("_shapes"),
+            F.array_sort(
+                F.collect_list("_s"), lambda a, b: (a["pos"] - b["pos"]).cast("int")
+            ).alias("_shapes"),
         )
         .withColumn("shapes", F.transform("_shapes", lambda s: s["shape"]))
         .drop("_shapes")

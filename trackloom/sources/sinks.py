@@ -32,7 +32,7 @@ def json_lines(df: DataFrame, out: str) -> None:
 
 def labels_text(labels: DataFrame) -> DataFrame:
     """Label dictionary ``{"0": name}`` as one text row (the vocabulary is small)."""
-    entries = F.sort_array(F.collect_list(F.struct(F.col("label_id").cast("bigint"), "label_name")))
+    entries = F.sort_array(F.collect_list(F.struct(F.col("label_id").cast("bigint").alias("label_id"), "label_name")))
     pairs = F.transform(
         entries, lambda e: F.struct(e["label_id"].cast("string").alias("key"), e["label_name"].alias("value"))
     )

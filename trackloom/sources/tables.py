@@ -59,11 +59,16 @@ def label_entries(texts: DataFrame, text: str = "value") -> DataFrame:
         .select(*others, F.col("pos").cast("bigint").alias("label_id"), F.col("col").alias("label_name"))
     )
     mapped = texts.where(F.startswith(value, F.lit("{"))).withColumn(
-        "_m", F.from_json(text, T.MapType(T.StringType(), T.StringType()))
+        "_m", F.map_entries(F.from_json(text, T.MapType(T.StringType(), T.StringType())))
+    )
+    by_id = F.forall("_m", lambda e: e["key"].rlike("^[0-9]+$"))
+    # A repeated key keeps its last value.
+    last = F.filter(
+        "_m",
+        lambda e, i: ~F.exists(F.slice("_m", i + 2, F.size("_m")), lambda x: x["key"] == e["key"]),
     )
-    by_id = F.forall(F.map_keys("_m"), lambda k: k.rlike("^[0-9]+$"))
     as_map = (
-        mapped.select(*others, by_id.alias("_by_id"), F.explode("_m"))
+        mapped.select(*others, by_id.alias("_by_id"), F.inline(last))
         .select(
             *others,
             F.when(F.col("_by_id"), F.col("key")).otherwise(F.col("value")).try_cast("bigint").alias("label_id"),
