@@ -198,14 +198,17 @@ def find_frames(wanted: DataFrame, images: DataFrame) -> DataFrame:
         open_keys.select("video_id", "frame_id", prefix.alias("piece")).where(F.col("piece").isNotNull())
     )
     name = F.col("image_name")
-    photos = images.where(extension(name).isin(".jpg", ".jpeg")).join(
-        open_keys.select("video_id").distinct(), "video_id", "left_semi"
-    )
+    # Stems of numeric ids are digits with or without the prefix; only ids that are other text
+    # need every substring of the names of their video.
+    plain = F.col("frame_id").rlike("^[0-9]+$")
+    videos = open_keys.groupBy("video_id").agg(F.bool_or(~plain).alias("_any"))
+    photos = images.where(extension(name).isin(".jpg", ".jpeg")).join(videos, "video_id")
     inside = (
-        photos.select("video_id", "image_name", F.explode(F.sequence(F.lit(1), F.length(name))).alias("_at"))
+        photos.select("video_id", "image_name", "_any", F.explode(F.sequence(F.lit(1), F.length(name))).alias("_at"))
         .select("*", F.explode(F.sequence(F.lit(1), F.length(name) - F.col("_at") + 1)).alias("_len"))
-        .select("video_id", "image_name", F.substring(name, F.col("_at"), F.col("_len")).alias("piece"))
-        .distinct()
+        .withColumn("piece", F.substring(name, F.col("_at"), F.col("_len")))
+        .where(F.col("_any") | F.col("piece").rlike("^(img_)?[0-9]+$"))
+        .select("video_id", "image_name", "piece")
     )
     loose = (
         pieces.distinct()
