@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from trackloom import schema
 from trackloom.functions.fields import action_of, frame_index, track_of
@@ -18,28 +17,21 @@ def sample_of(path: Column) -> Column:
     return F.regexp_extract(path, "([^/]+)/(?:(?:img|json)/)?[^/]*$", 1)
 
 
-def read_records(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    """Records (path, video_id, frame fields) of JSON files; unreadable files are skipped.
-
-    Only the four core fields are declared, so nothing else is parsed.
-    """
-    fields = T.StructType([*schema.LABELME.fields, T.StructField("_corrupt_record", T.StringType())])
-    records = (
-        spark.read.schema(fields)
-        .option("multiLine", True)
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", "_corrupt_record")
-        .option("recursiveFileLookup", True)
-        .option("pathGlobFilter", "*.json")
-        .json(paths)
-    )
+def _read_texts(spark: SparkSession, paths: str | list[str]) -> DataFrame:
+    """JSON files (one record each) as texts with their path."""
     return (
-        records.where(F.col("_corrupt_record").isNull())
-        .select("*", F.col("_metadata.file_path").alias("path"))
-        .drop("_corrupt_record")
+        spark.read.option("recursiveFileLookup", True)
+        .option("pathGlobFilter", "*.json")
+        .text(paths, wholetext=True)
+        .select(F.col("_metadata.file_path").alias("path"), "value")
     )
 
 
+def read_records(spark: SparkSession, paths: str | list[str]) -> DataFrame:
+    """Records (path and the four core fields) of JSON files; unreadable files are skipped."""
+    return parse_text(_read_texts(spark, paths))
+
+
 def parse_text(texts: DataFrame, text: str = "value", path: str = "path") -> DataFrame:
     """Records from a column of JSON texts (one record each); broken texts are skipped."""
     parsed = texts.withColumn("_r", F.from_json(text, schema.LABELME, {"mode": "PERMISSIVE"}))
@@ -120,12 +112,7 @@ def read_boxes(spark: SparkSession, paths: str | list[str], index_rule: str = "s
 
 def read_raw(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     """Whole JSON objects as VARIANT, for rewrites that keep every key."""
-    texts = (
-        spark.read.option("recursiveFileLookup", True)
-        .option("pathGlobFilter", "*.json")
-        .text(paths, wholetext=True)
-        .select(F.col("_metadata.file_path").alias("path"), "value")
-    )
+    texts = _read_texts(spark, paths)
     return texts.select("path", F.try_parse_json("value").alias("raw")).where(F.col("raw").isNotNull())
 
 
