@@ -95,7 +95,8 @@ def test_lengths_add_up(spark):
     assert sum(r["length"] * r["n"] for r in got.collect()) == len({r[:2] + r[3:5] for r in rows if r[3] and r[4]})
 
 
-def test_annotated_rows(spark):
+@pytest.mark.parametrize("crowded", [None, False, True])
+def test_annotated_rows(spark, crowded):
     rows = make_boxes(11, 2)
     rng = random.Random(0)
     images = {(r[0], r[1]) for r in rows if rng.random() < 0.9}
@@ -110,7 +111,7 @@ def test_annotated_rows(spark):
             run += prev is None or r[1] - prev != step
             prev = r[1]
             want[r[0], r[1], r[2]] = run
-    got = T.annotated_rows(boxes, frames)
+    got = T.annotated_rows(boxes, frames, crowded)
     assert {(r["video_id"], r["frame_idx"], r["pos"]): r["run_no"] for r in got.collect()} == want
 
 

@@ -15,6 +15,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 CHUNK_FRAMES = 1024
+# A frame with more boxes than this is split over tasks.
+HOT_FRAME = 4096
 
 
 def _cut(df: DataFrame, keys: list[str], chunk: Column) -> DataFrame:
@@ -69,6 +71,15 @@ def largest_group(df: DataFrame, keys: list[str]) -> int:
     return counts.agg(F.max("n")).first()[0] or 0
 
 
+def is_crowded(boxes: DataFrame, hot_frame: int = HOT_FRAME) -> bool:
+    """Whether any frame holds more boxes than one task should pair.
+
+    Positions in a frame run from 1, so only such a frame has boxes beyond this position; on
+    stored boxes the test is a pushed-down filter.
+    """
+    return not boxes.where(F.col("pos") > hot_frame).select("pos").isEmpty()
+
+
 def label_runs(
     df: DataFrame,
     keys: list[str],
@@ -77,8 +88,12 @@ def label_runs(
     copies: str | None = None,
     constants: tuple[str, ...] = (),
     chunk: int = CHUNK_FRAMES,
+    then: tuple[str, ...] = (),
 ) -> DataFrame:
-    """Gaps and islands over rows that are unique by (keys, index).
+    """Gaps and islands over rows ordered by index within each key.
+
+    Rows are unique by (keys, index), or by (keys, index, ``then``): rows of one index then
+    follow each other in the order of ``then`` with a step of 0.
 
     ``breaks(previous, current)`` says whether a new run starts; beside its arguments it may
     use the columns in ``constants``, which have one value per key. ``copies`` names a column with
@@ -94,7 +109,7 @@ def label_runs(
     extra = (F.col(copies) - 1) if copies else F.lit(0)
     cut = _cut(df, keys, frame_chunk(index, chunk))
 
-    here = Window.partitionBy(*part).orderBy(index)
+    here = Window.partitionBy(*part).orderBy(index, *then)
     upto, earlier = (
         here.rowsBetween(Window.unboundedPreceding, end) for end in (0, -1)
     )

@@ -12,11 +12,11 @@ from pyspark.sql import functions as F
 
 from trackloom.functions.fields import UNKNOWN
 from trackloom.functions.geometry import intersects, iou, is_valid_box
+from trackloom.operators.ordering import HOT_FRAME, is_crowded
 from trackloom.operators.quantiles import five_numbers
 
 FRAME = ["video_id", "frame_idx"]
 BOX = ["x1", "y1", "x2", "y2"]
-HOT_FRAME = 4096
 TILE_PX = 64.0
 BLOCK = 4096
 THRESHOLDS = (0.1, 0.3, 0.5)
@@ -78,15 +78,6 @@ def _hot_pairs(a: DataFrame, b: DataFrame, keys: list[str], block: int) -> DataF
     return pairs.where(in_tile("x") & in_tile("y")).drop("tile_x", "tile_y")
 
 
-def is_crowded(boxes: DataFrame, hot_frame: int = HOT_FRAME) -> bool:
-    """Whether any frame holds more boxes than one task should pair.
-
-    Positions in a frame run from 1, so only such a frame has boxes beyond this position; on
-    stored boxes the test is a pushed-down filter.
-    """
-    return not boxes.where(F.col("pos") > hot_frame).select("pos").isEmpty()
-
-
 def _overlaps(
     a: DataFrame, b: DataFrame, keys: list[str], same_side: bool, crowded: bool, hot_frame: int, block: int
 ) -> DataFrame:

@@ -6,7 +6,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from trackloom.functions.fields import stride_rule
-from trackloom.operators.ordering import distinct_diffs, label_runs, row_numbers
+from trackloom.operators.ordering import (
+    distinct_diffs,
+    first_per_group,
+    is_crowded,
+    label_runs,
+    row_numbers,
+)
 from trackloom.operators.quantiles import five_numbers
 
 KEY = ["video_id", "track_id", "action"]
@@ -32,6 +38,22 @@ def modal_stride(frames: DataFrame) -> DataFrame:
     )
 
 
+def _with_stride(rows: DataFrame, seen: DataFrame, stride: str | int) -> DataFrame:
+    """Rows with the ``stride`` of their video or tube; modes are taken over the frames ``seen``."""
+    rule = stride_rule(F.col("video_id"))
+    if stride == "fixed":
+        return rows.withColumn("stride", rule)
+    if stride not in ("auto", "annotated", "per_key"):
+        return rows.withColumn("stride", F.lit(int(stride)).cast("bigint"))
+    keys = KEY if stride == "per_key" else ["video_id"]
+    default = rule if stride == "auto" else F.lit(1).cast("bigint")
+    return (
+        rows.join(modes(seen, keys), keys, "left")
+        .withColumn("stride", F.coalesce("_mode", default))
+        .drop("_mode")
+    )
+
+
 def tube_runs(
     boxes: DataFrame,
     stride: str | int = "auto",
@@ -55,20 +77,7 @@ def tube_runs(
         *(ends if "pos" in boxes.columns else []),
         *[F.bool_or(c).alias(c) for c in any_of],
     )
-    rule = stride_rule(F.col("video_id"))
-    if stride == "fixed":
-        frames = frames.withColumn("stride", rule)
-    elif stride in ("auto", "annotated", "per_key"):
-        keys = KEY if stride == "per_key" else ["video_id"]
-        found = modes(boxes if stride == "auto" else usable, keys)
-        default = rule if stride == "auto" else F.lit(1).cast("bigint")
-        frames = (
-            frames.join(found, keys, "left")
-            .withColumn("stride", F.coalesce("_mode", default))
-            .drop("_mode")
-        )
-    else:
-        frames = frames.withColumn("stride", F.lit(int(stride)).cast("bigint"))
+    frames = _with_stride(frames, boxes if stride == "auto" else usable, stride)
 
     def breaks(prev: Column, cur: Column) -> Column:
         step = cur - prev
@@ -127,14 +136,29 @@ def tube_segments(
     )
 
 
-def annotated_rows(boxes: DataFrame, frames: DataFrame) -> DataFrame:
+def annotated_rows(boxes: DataFrame, frames: DataFrame, crowded: bool | None = None) -> DataFrame:
     """Every usable box in a frame that has an image, with the segment it belongs to.
 
     Adds ``run_no`` (0-based per tube key), ``stride`` and ``start_f``. The stride is the mode
-    over frames that have both an image and a usable box, else 1.
+    over frames that have both an image and a usable box, else 1. When a frame may hold very
+    many boxes (``crowded``, looked up when not given) they are numbered inside their frame in
+    chunks, on top of runs over distinct frames; otherwise the boxes themselves are walked.
     """
     manifest = frames.select("video_id", "frame_idx").distinct()
     usable = in_tube(boxes).join(manifest, ["video_id", "frame_idx"], "left_semi")
+    if crowded is None:
+        crowded = is_crowded(boxes)
+    if not crowded:
+        stepped = _with_stride(usable, usable, "annotated")
+        runs = label_runs(
+            stepped,
+            KEY,
+            "frame_idx",
+            lambda prev, cur: cur - prev != F.col("stride"),
+            constants=("stride",),
+            then=("pos",),
+        )
+        return runs.withColumnRenamed("head", "start_f").drop("prev", "brk", "tail")
     runs = tube_runs(usable, "annotated").select(
         *KEY, "frame_idx", "copies", "pos_first", "pos_last", "stride", "head", "tail", "run_no"
     )
@@ -187,8 +211,6 @@ def length_summary(segments: DataFrame, column: str = "action", weight: str | No
 
 def length_outliers(segments: DataFrame, k: int = 50) -> DataFrame:
     """Up to ``k`` shortest and longest segments per action beyond 1.5 interquartile ranges."""
-    from trackloom.operators.ordering import first_per_group
-
     fences = (
         five_numbers(segments, ["action"], {"length": F.col("length")}, F.col("n"), True, digits=None)
         .withColumn("iqr", F.col("p75") - F.col("p25"))
@@ -255,8 +277,6 @@ def gap_report(boxes: DataFrame) -> DataFrame:
 
 def gap_examples(boxes: DataFrame, k: int = 20) -> DataFrame:
     """First ``k`` tube keys with a gap per video, with the frames where they start."""
-    from trackloom.operators.ordering import first_per_group
-
     per_key = (
         tube_segments(boxes, "per_key", dedup=True, break_if="gt")
         .groupBy(*KEY)

@@ -45,7 +45,7 @@ class Pair:
         self.run = A.common_run(self.alignment, v.bare_boxes(), self.b)
         self.ms = A.run_boxes(self.run, self.a, "ms")
         self.sh = A.run_boxes(self.run, self.b, "sh")
-        self.crowded = v.frame_size > O.HOT_FRAME
+        self.crowded = v.crowded
 
 
 def summary_sql(keys: str) -> str:

@@ -7,7 +7,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from trackloom.operators.ordering import largest_group, row_numbers
+from trackloom.operators.ordering import HOT_FRAME, largest_group, row_numbers
 
 # The view definitions are fixed expressions shared by both engines.
 COLUMNS = {
@@ -108,6 +108,10 @@ class Views:
         """Boxes in the fullest frame: decides whether frames must be cut into chunks."""
         return largest_group(self.table("lineitem"), ["l_orderkey"])
 
+    @property
+    def crowded(self) -> bool:
+        return self.frame_size > HOT_FRAME
+
     def bare_boxes(self) -> DataFrame:
         """Boxes without their position in the frame, for operators that do not need it."""
         columns = [c for c in COLUMNS["fx_boxes"] if not c.startswith("row_number()")]
