@@ -158,7 +158,7 @@ def totals(boxes: DataFrame, crowded: bool | None = None) -> DataFrame:
         .distinct()
         .agg(F.count(F.lit(1)).alias("frames_with_overlaps"))
     )
-    return counts.join(overlapping)
+    return counts.select("*", overlapping.scalar().alias("frames_with_overlaps"))
 
 
 def _reached(pairs: DataFrame, thresholds: tuple[float, ...], keys: list) -> DataFrame:
@@ -228,9 +228,8 @@ def bin_counts(pairs: DataFrame, total: DataFrame) -> DataFrame:
     counted = pairs.groupBy(F.least(F.lit(9), F.floor(F.col("iou") * 10)).cast("int").alias("bin")).agg(
         F.count(F.lit(1)).alias("n")
     )
-    rest = total.join(counted.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("met"))).select(
-        F.lit(0).alias("bin"), (F.col("n") - F.col("met")).alias("n")
-    )
+    met = counted.agg(F.coalesce(F.sum("n"), F.lit(0))).scalar()
+    rest = total.select(F.lit(0).alias("bin"), (F.col("n") - met).alias("n"))
     spine = spark.range(10).select(F.col("id").cast("int").alias("bin"), F.lit(0).cast("bigint").alias("n"))
     return (
         counted.unionByName(rest)
@@ -249,9 +248,8 @@ def iou_summary(boxes: DataFrame, crowded: bool | None = None) -> DataFrame:
     """Five-number summary of IoU over all pairs, the ones without overlap included as zeros."""
     met = frame_pairs(boxes, (), crowded).groupBy("iou").agg(F.count(F.lit(1)).alias("w"))
     total = frame_counts(boxes).agg(F.coalesce(F.sum("n_pairs"), F.lit(0)).alias("n"))
-    zeros = total.join(met.agg(F.coalesce(F.sum("w"), F.lit(0)).alias("met"))).select(
-        F.lit(0.0).alias("iou"), (F.col("n") - F.col("met")).alias("w")
-    )
+    positive = met.agg(F.coalesce(F.sum("w"), F.lit(0))).scalar()
+    zeros = total.select(F.lit(0.0).alias("iou"), (F.col("n") - positive).alias("w"))
     return five_numbers(
         met.unionByName(zeros), [], {"iou": F.col("iou")}, F.col("w"), rescan=False
     )
@@ -276,11 +274,10 @@ def degree_histogram(
     )
     isolated = (
         spine.join(counted.groupBy("threshold").agg(F.sum("boxes").alias("met")), "threshold", "left")
-        .join(in_pairs)
         .select(
             "threshold",
             F.lit(0).cast("bigint").alias("degree"),
-            (F.col("n") - F.coalesce("met", F.lit(0))).alias("boxes"),
+            (in_pairs.scalar() - F.coalesce("met", F.lit(0))).alias("boxes"),
         )
     )
     return (

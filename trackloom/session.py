@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -26,10 +27,22 @@ def build_session(app: str = "trackloom", cpus: str | None = None) -> SparkSessi
     return builder.getOrCreate()
 
 
+def scratch_dir(spark: SparkSession) -> str:
+    """Shared folder the cluster names in ``spark.checkpoint.dir``; a local one only when none is named."""
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if named is None:
+        named = tempfile.mkdtemp(prefix="spark-", dir="/tmp")
+        spark.conf.set("spark.checkpoint.dir", named)
+    return named.rstrip("/")
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Checkpoint ``df`` in the shared folder the cluster names; a local folder only when none is named."""
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        named = df.sparkSession.conf.get("spark.checkpoint.dir", None)
-        context.setCheckpointDir(named or tempfile.mkdtemp(prefix="spark-", dir="/tmp"))
-    return df.checkpoint(eager=True)
+    """``df`` written once to the shared folder and read back.
+
+    For results that are read several times: the table outlives lost executors, is read column
+    by column, and has a known size for the planner.
+    """
+    spark = df.sparkSession
+    path = f"{scratch_dir(spark)}/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
