@@ -182,6 +182,21 @@ def test_images(spark, tmp_path):
         assert [r["d"] for r in got] == [20.0, 20.0]
 
 
+def test_image_jobs(spark, tmp_path):
+    from trackloom.plans import commands as J
+
+    for tree, shift in (("ms", 2), ("sh", 0)):
+        (tmp_path / tree / "v").mkdir(parents=True)
+        for i in range(1, 6):
+            png(tmp_path / tree / "v" / f"{i:04d}.png", np.full((4, 6, 3), 20 * (i - shift) + 60))
+    roots = [str(tmp_path / t) for t in ("ms", "sh")]
+    found = J.align_images(spark, *roots)["alignment"].first()
+    assert (found["status"], found["sh_index"], found["ms_index"], found["k"], found["mean"]) == ("ok", 1, 3, 2, 0.0)
+    assert J.align_images(spark, *roots, max_k=1)["alignment"].first()["status"] == "no_below_threshold"
+    diff = J.first_frame_difference(spark, *roots)["difference"].first()
+    assert (diff["frame_idx"], diff["mean"]) == (1, 40.0)
+
+
 def test_sinks(spark, tmp_path):
     masks = spark.createDataFrame([("w1", "1,2", "", "")], "window string, anno_mask string, img_mask string, edge_pad string")
     K.mask_csv(masks, str(tmp_path / "mask"))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -245,12 +247,17 @@ def mean_abs_diff(a: Column, b: Column) -> Column:
 
 
 def align_search(
-    ms: DataFrame, sh: DataFrame, threshold: float, max_k: int | None = None
+    ms: DataFrame,
+    sh: DataFrame,
+    threshold: float,
+    max_k: int | None = None,
+    difference: Callable[[Column, Column], Column] = mean_abs_diff,
 ) -> DataFrame:
     """Offset of each video's first common sh frame in the ms frames.
 
-    Inputs have (video_id, frame_idx, file, pixels); null pixels mean that the image cannot be
-    read, other lengths that the sizes differ. Candidates are the ms frames from the first
+    Inputs have (video_id, frame_idx, file, pixels) and, where the number of pixels does not
+    tell the image size, ``dims``; null pixels mean that the image cannot be read. Images of
+    another size are passed over. ``difference`` compares two pixel columns. Candidates are the ms frames from the first
     common number on, up to ``max_k`` later. The first one below the threshold wins, else the
     one with the smallest difference.
 
@@ -258,6 +265,10 @@ def align_search(
     Only the one reference frame of a video is joined to its candidates, and hits are found by
     map-side combined minima.
     """
+    ms, sh = (
+        d if "dims" in d.columns else d.withColumn("dims", F.size("pixels").cast("string"))
+        for d in (ms, sh)
+    )
     videos = ms.select("video_id").union(sh.select("video_id")).distinct()
     sides = (
         videos.join(ms.select("video_id").distinct().withColumn("_ms", F.lit(True)), "video_id", "left")
@@ -272,15 +283,16 @@ def align_search(
             F.min("first_common").alias("sh_index"),
             F.min("file").alias("sh_file"),
             F.min_by("pixels", "file").alias("sh_pixels"),
+            F.min_by("dims", "file").alias("sh_dims"),
         )
     )
     k = F.col("frame_idx") - F.col("sh_index")
     near = (k >= 0) & (k <= max_k) if max_k and max_k > 0 else k >= 0
-    same_size = F.size("pixels") == F.size("sh_pixels")
+    same_size = F.col("pixels").isNotNull() & (F.col("dims") == F.col("sh_dims"))
     scored = (
         ms.join(reference.where(F.col("sh_pixels").isNotNull()), "video_id")
         .where(near & same_size)
-        .select("video_id", "frame_idx", "file", k.alias("k"), mean_abs_diff(F.col("pixels"), F.col("sh_pixels")).alias("mean"))
+        .select("video_id", "frame_idx", "file", k.alias("k"), difference(F.col("pixels"), F.col("sh_pixels")).alias("mean"))
     )
     hit = F.col("mean") < threshold
     record = F.struct(F.col("frame_idx").alias("ms_index"), F.col("file").alias("ms_file"), "k", "mean")

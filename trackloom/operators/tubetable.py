@@ -204,6 +204,16 @@ def tubes_per_label(tube_boxes: DataFrame) -> DataFrame:
     )
 
 
+def label_prefixes(labels: DataFrame, name: str = "label_name") -> DataFrame:
+    """Distinct labels by their first word."""
+    return (
+        labels.select(name)
+        .distinct()
+        .groupBy(F.split_part(name, F.lit(" "), F.lit(1)).alias("prefix"))
+        .agg(F.count(F.lit(1)).alias("labels"))
+    )
+
+
 def split_profile(videos: DataFrame) -> DataFrame:
     """Per split and resolution: videos and frames. Input (split, nframes, height, width)."""
     text = F.concat_ws("x", F.col("height").cast("string"), F.col("width").cast("string"))

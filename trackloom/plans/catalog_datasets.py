@@ -290,9 +290,8 @@ QUERIES = {
     ),
     "subset_cover": (_subset, None),
     "merge_labels": (
-        lambda v: D.label_names(_dims(v)),
-        ctes("fx_labels_dict", extra=[DIMS])
-        + " SELECT row_number() OVER (ORDER BY label_name) - 1 AS label_id, label_name FROM (SELECT DISTINCT label_name FROM dims)",
+        lambda v: D.label_names(v.table("part").select(F.col("p_type").alias("label_name"))),
+        "SELECT row_number() OVER (ORDER BY label_name) - 1 AS label_id, label_name FROM (SELECT DISTINCT p_type AS label_name FROM part)",
     ),
     "merge_datasets": (
         lambda v: D.merge_listings(_listings(v), _dims(v)),

@@ -312,6 +312,10 @@ QUERIES = {
         + """ SELECT CASE WHEN right(video_id, 1) < '8' THEN 'train' ELSE 'test' END AS split, '720x1280' AS resolution, count(*) AS videos, sum(nframes)::BIGINT AS frames
  FROM (SELECT video_id, max(frame_idx) AS nframes FROM fx_frames GROUP BY 1) GROUP BY 1""",
     ),
+    "label_prefixes": (
+        lambda v: B.label_prefixes(v.table("part"), "p_name"),
+        "SELECT split_part(p_name, ' ', 1) AS prefix, count(DISTINCT p_name) AS labels FROM part GROUP BY 1",
+    ),
     "tube_ids": (
         lambda v: B.global_ids(tube_boxes(v)),
         TUBE_SQL

@@ -27,6 +27,7 @@ from trackloom.operators.ordering import is_crowded
 from trackloom.operators.quantiles import five_numbers
 from trackloom.session import cut_lineage
 from trackloom.sources import files as S
+from trackloom.sources import images as G
 from trackloom.sources import labelme as L
 from trackloom.sources import tables as X
 from trackloom.sources import tube_pickle as K
@@ -388,6 +389,34 @@ def compare_aligned(ms: Dataset, sh: Dataset, alignment: str, threshold: float =
     }
 
 
+def align_images(spark: SparkSession, ms_root: str, sh_root: str, threshold: float = 3.0, max_k: int | None = 20) -> Tables:
+    """Alignment table of two image trees."""
+    ms, sh = (G.read_images(spark, r).where(F.col("frame_idx").isNotNull()) for r in (ms_root, sh_root))
+    found = A.align_search(_first_files(ms), _first_files(sh), threshold, max_k, G.pixel_difference())
+    return {"alignment": found}
+
+
+def _first_files(images: DataFrame) -> DataFrame:
+    """First file by name of each frame number, with its size as ``dims``."""
+    named = images.withColumn("dims", F.concat_ws("x", F.col("width").cast("string"), F.col("height").cast("string")))
+    record = F.struct("file", "pixels", "dims")
+    return named.groupBy("video_id", "frame_idx").agg(F.min_by(record, "file").alias("_r")).select(
+        "video_id", "frame_idx", "_r.*"
+    )
+
+
+def first_frame_difference(spark: SparkSession, a_root: str, b_root: str) -> Tables:
+    """Gray difference of the first frame of each video that both trees have."""
+    a, b = (_first_files(G.read_images(spark, r).where(F.col("frame_idx").isNotNull())) for r in (a_root, b_root))
+    first = A.common_index(a, b).withColumnRenamed("first_common", "frame_idx")
+    keys = ["video_id", "frame_idx"]
+    left = a.join(first, keys).select(*keys, F.col("pixels").alias("a"))
+    right = b.join(first, keys).select(*keys, F.col("pixels").alias("b"))
+    return {
+        "difference": left.join(right, keys).select(*keys, G.pixel_difference(gray=True)("a", "b").alias("mean"))
+    }
+
+
 # Jobs that need only a dataset and plain options.
 COMMANDS: dict[str, Callable[..., Tables]] = {
     "ingest": ingest,
