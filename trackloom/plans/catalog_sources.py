@@ -11,6 +11,7 @@ from trackloom.operators import align as A
 from trackloom.operators import datasets as D
 from trackloom.operators import profile as P
 from trackloom.operators.quantiles import five_numbers
+from trackloom.plans.catalog_align import ALIGNED, Pair
 from trackloom.plans.catalog_overlap import summary_sql
 from trackloom.plans.catalog_profile import SIZES
 from trackloom.plans.fixtures import Views, ctes
@@ -198,10 +199,20 @@ def _interaction_texts(v: Views):
 
 
 def _pair_texts(v: Views):
-    from trackloom.plans.catalog_align import Pair
-
     p = Pair(v)
-    return K.pair_records(A.pairs_over(p.ms, p.sh, 0.5, p.crowded), 0.5)
+    texts = K.pair_records(A.pairs_over(p.ms, p.sh, 0.5, p.crowded), 0.5)
+    back = F.from_json("value", "ms_action string, sh_action string, iou double, ms_box array<double>, threshold double")
+    return texts.withColumn("_r", back).select(
+        "video_id",
+        "t",
+        "a_pos",
+        "b_pos",
+        "_r.ms_action",
+        "_r.sh_action",
+        F.round("_r.iou", 6).alias("iou"),
+        "_r.ms_box",
+        "_r.threshold",
+    )
 
 
 def _segments(v: Views):
@@ -333,7 +344,12 @@ QUERIES = {
         """SELECT p_partkey AS action_id, concat('item {', chr(10), '  name: "', p_name, '"', chr(10), '  label_id: ', p_partkey, chr(10), '  label_type: ',
  CASE WHEN p_size > 25 THEN 'BIG' ELSE 'PERSON_INTERACTION' END, chr(10), '}') AS value FROM part""",
     ),
-    "pairs_jsonl": (_pair_texts, None),
+    "pairs_jsonl": (
+        _pair_texts,
+        ALIGNED
+        + """ SELECT p.video_id, p.t, a_pos, b_pos, a_action AS ms_action, b_action AS sh_action, round(iou, 6) AS iou, [m.x1, m.y1, m.x2, m.y2] AS ms_box, 0.5::DOUBLE AS threshold
+ FROM cross_pairs p JOIN ms m ON m.video_id = p.video_id AND m.t = p.t AND m.pos = p.a_pos WHERE iou > 0.5""",
+    ),
     "report_actions": (
         lambda v: K.list_report(P.action_distribution(v.bare_boxes()), "Actions", "action").select("line"),
         ctes("fx_boxes")
