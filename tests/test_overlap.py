@@ -1,7 +1,9 @@
 """Pairs: the tiled path for crowded frames gives what the plain join gives, and both a loop's result."""
 
+import os
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -112,3 +114,30 @@ def test_sudden_changes(spark):
     }
     got = O.sudden_changes(spark.createDataFrame(rows, COLUMNS)).collect()
     assert {(r["frame_idx"], r["a_pos"], r["b_pos"]) for r in got} == want and len(got) == len(want)
+
+
+def test_one_crowded_frame(spark):
+    """A frame beyond the default limit."""
+    rng = np.random.default_rng(2)
+    n = O.HOT_FRAME + 500
+    x, y = rng.uniform(0, 1800, n), rng.uniform(0, 1000, n)
+    corners = zip(x.tolist(), y.tolist())
+    rows = [("v", 0, i, "1", "a", a, b, a + 9, b + 7, 1920, 1080) for i, (a, b) in enumerate(corners, 1)]
+    boxes = spark.createDataFrame(rows, COLUMNS)
+    want = 0
+    for i in range(n - 1):
+        want += int(((np.abs(x[i + 1 :] - x[i]) < 9) & (np.abs(y[i + 1 :] - y[i]) < 7)).sum())
+    assert O.is_crowded(boxes)
+    pairs = O.frame_pairs(boxes, (), block=64)
+    assert pairs.count() == want == pairs.select("a_pos", "b_pos").distinct().count()
+
+
+def test_hot_frames_are_numbered_alike(spark, monkeypatch):
+    from trackloom.plans import fixtures
+
+    folder = "/root/testdata/sf0.001"
+    if not os.path.isdir(folder):
+        pytest.skip("no test data")
+    plain = sorted(map(tuple, fixtures.Views(spark, folder).boxes().collect()))
+    monkeypatch.setattr(fixtures, "HOT_ROWS", 1)
+    assert sorted(map(tuple, fixtures.Views(spark, folder).boxes().collect())) == plain

@@ -275,16 +275,22 @@ def gap_report(boxes: DataFrame) -> DataFrame:
     )
 
 
-def gap_examples(boxes: DataFrame, k: int = 20) -> DataFrame:
-    """First ``k`` tube keys with a gap per video, with the frames where they start."""
-    per_key = (
-        tube_segments(boxes, "per_key", dedup=True, break_if="gt")
-        .groupBy(*KEY)
-        .agg(F.sum("n").alias("segments"), F.min("start_f").alias("first_frame"))
+def gap_examples(boxes: DataFrame, k: int = 20, shown: int = 20) -> DataFrame:
+    """First ``k`` tube keys with a gap per video: their step and first ``shown`` frames."""
+    runs = tube_runs(boxes, "per_key", dedup=True, break_if="gt")
+    broken = (
+        runs.groupBy(*KEY)
+        .agg(F.count_if("brk").alias("segments"), F.min("stride").alias("local_stride"))
         .where(F.col("segments") > 1)
     )
-    order = [F.col("track_id"), F.col("action")]
-    return first_per_group(per_key, ["video_id"], order, k).drop("rn")
+    picked = first_per_group(broken, ["video_id"], [F.col("track_id"), F.col("action")], k).drop("rn")
+    frames = runs.select(*KEY, "frame_idx").join(picked.select(*KEY), KEY, "left_semi")
+    listed = (
+        first_per_group(frames, KEY, [F.col("frame_idx")], shown)
+        .groupBy(*KEY)
+        .agg(F.sort_array(F.collect_list("frame_idx")).alias("frames"))
+    )
+    return picked.join(listed, KEY)
 
 
 def first_boxes(rows: DataFrame) -> DataFrame:

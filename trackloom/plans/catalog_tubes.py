@@ -138,8 +138,8 @@ QUERIES = {
     "gap_examples": (
         lambda v: T.gap_examples(v.bare_boxes(), 3),
         PER_KEY
-        + f""" SELECT * FROM (SELECT {KEY}, count(*) AS segments, min(start_f) AS first_frame FROM seg GROUP BY ALL HAVING count(*) > 1)
- QUALIFY row_number() OVER (PARTITION BY video_id ORDER BY track_id, action) <= 3""",
+        + f""" SELECT * FROM (SELECT {KEY}, sum(brk)::BIGINT AS segments, min(stride) AS local_stride, list(frame_idx ORDER BY frame_idx)[:20] AS frames
+ FROM seg_s GROUP BY ALL HAVING sum(brk) > 1) QUALIFY row_number() OVER (PARTITION BY video_id ORDER BY track_id, action) <= 3""",
     ),
     "tubes_annotated": (
         lambda v: T.annotated_rows(v.boxes(), v.frames(), v.crowded).select(

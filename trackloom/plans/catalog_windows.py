@@ -128,7 +128,9 @@ def _split_by_tube(v: Views):
 
 
 def _crop(strategy: str):
-    return lambda v: W.crop_plan(T.annotated_rows(v.boxes(), v.frames(), v.crowded), strategy)
+    return lambda v: W.crop_plan(
+        cut_lineage(T.annotated_rows(v.boxes(), v.frames(), v.crowded)), strategy
+    )
 
 
 def crop_sql(strategy: str) -> str:
