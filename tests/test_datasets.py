@@ -1,5 +1,6 @@
 """Subsets, splits, merges, cleaning and relabelling on small data."""
 
+import json
 import random
 
 import pytest
@@ -112,3 +113,28 @@ def test_relabel_rules(spark):
     assert got == [("v", 1, "A", "l"), ("v", 1, "b", "l"), ("v", 2, "", "A"), ("w", 2, "c", "")]
     s = R.relabel_summary(boxes, mapping).first()
     assert (s["json_files_total"], s["json_files_deleted"], s["annotations_after"], s["samples_deleted_after"]) == (4, 1, 4, 0)
+
+
+def test_relabel_records_keeps_other_keys(spark):
+    texts = [
+        '{"version": "2", "shapes": [{"label": "l", "x": [1, {"y": 2.5}], "attributes": {"action": " a ", "id": 7}},'
+        ' {"label": "gone", "z": null}, {"label": "b", "attributes": null}, {"label": " "}]}',
+        '{"shapes": [{"label": "gone"}]}',
+        '{"annotations": [], "categories": []}',
+        "not json",
+    ]
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, value string")
+    mapping = spark.createDataFrame([("a", "A"), ("gone", "")], "label string, label2 string")
+    got = {r["i"]: r for r in R.relabel_records(df, mapping).collect()}
+    first = json.loads(got[0]["value"])
+    assert first == {
+        "version": "2",
+        "shapes": [
+            {"label": "l", "x": [1, {"y": 2.5}], "attributes": {"action": "A", "id": 7}},
+            {"label": "b", "attributes": None},
+        ],
+    }
+    assert (got[0]["n_before"], got[0]["n_after"], got[1]["n_after"]) == (4, 2, 0)
+    assert got[2]["value"] == texts[2] and got[3]["value"] == texts[3]
+    one = R.keep_track(df.where("i = 0"), F.lit("7")).first()["value"]
+    assert [s["label"] for s in json.loads(one)["shapes"]] == ["l"]

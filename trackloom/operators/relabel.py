@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from trackloom.functions.fields import track_of
 from trackloom.operators.ordering import first_per_group
 
 
@@ -121,3 +122,87 @@ def detect_format(text: Column) -> Column:
         .when(is_list("$.annotations") & is_list("$.categories"), "coco")
         .otherwise("unknown")
     )
+
+
+RECORD = "map<string,variant>"
+SHAPES = "array<map<string,variant>>"
+
+
+def _text_of(value: Column) -> Column:
+    """Trimmed text of a VARIANT that holds text, else an empty text."""
+    text = F.when(F.schema_of_variant(value) == "STRING", F.try_variant_get(value, "$", "string"))
+    return F.trim(F.coalesce(text, F.lit("")))
+
+
+def _with_key(entries: Column, key: str, value: Column) -> Column:
+    rest = F.map_filter(entries, lambda k, _v: k != key)
+    return F.map_concat(rest, F.create_map(F.lit(key), value))
+
+
+def _rebuilt(record: Column, shapes: Column) -> Column:
+    return F.to_json(_with_key(record, "shapes", F.to_variant_object(shapes)))
+
+
+def relabel_records(texts: DataFrame, mapping: DataFrame, text: str = "value") -> DataFrame:
+    """Record texts with mapped labels and every other key kept.
+
+    The rules are those of ``relabel``, applied inside each record, so nothing is shuffled; the
+    mapping (a small vocabulary) enters as one map value. Records of another format pass
+    unchanged. Adds ``n_before`` and ``n_after``, the shapes before and after.
+    """
+    names = mapping.agg(
+        F.map_from_entries(F.collect_list(F.struct("label", "label2")))
+    ).scalar()
+    parsed = (
+        texts.withColumn("_names", names)
+        .withColumn("_format", detect_format(F.col(text)))
+        .withColumn("_record", F.when(F.col("_format") == "labelme", F.from_json(text, RECORD)))
+        .withColumn("_shapes", F.try_variant_get(F.col("_record")["shapes"], "$", SHAPES))
+    )
+
+    def rewrite(shape: Column) -> Column:
+        attributes = F.try_variant_get(shape["attributes"], "$", RECORD)
+        action, label = _text_of(attributes["action"]), _text_of(shape["label"])
+        source = F.when(action != "", action).otherwise(label)
+        target = F.coalesce(F.col("_names")[source], source)
+        as_action = F.to_variant_object(_with_key(attributes, "action", target.cast("variant")))
+        changed = F.when(action != "", _with_key(shape, "attributes", as_action)).otherwise(
+            _with_key(shape, "label", target.cast("variant"))
+        )
+        return F.when((source != "") & (target != ""), changed)
+
+    kept = F.filter(F.transform("_shapes", rewrite), lambda s: s.isNotNull())
+    return (
+        parsed.withColumn("_kept", kept)
+        .withColumn(
+            text,
+            F.when(F.col("_kept").isNotNull(), _rebuilt(F.col("_record"), F.col("_kept"))).otherwise(
+                F.col(text)
+            ),
+        )
+        .withColumns(
+            {
+                "n_before": F.coalesce(F.size("_shapes"), F.lit(0)),
+                "n_after": F.coalesce(F.size("_kept"), F.lit(0)),
+            }
+        )
+        .drop("_names", "_format", "_record", "_shapes", "_kept")
+    )
+
+
+def keep_track(texts: DataFrame, track: Column, text: str = "value") -> DataFrame:
+    """Record texts with the shapes of one track only and every other key kept."""
+    parsed = texts.withColumn("_record", F.from_json(text, RECORD)).withColumn(
+        "_shapes", F.try_variant_get(F.col("_record")["shapes"], "$", SHAPES)
+    )
+
+    def text_map(value: Column) -> Column:
+        return F.try_variant_get(value, "$", "map<string,string>")
+
+    def own(shape: Column) -> Column:
+        group = F.try_variant_get(shape["group_id"], "$", "string")
+        return track_of(text_map(shape["attributes"]), text_map(shape["flags"]), group) == track
+
+    return parsed.withColumn(text, _rebuilt(F.col("_record"), F.filter("_shapes", own))).drop(
+        "_record", "_shapes"
+    )

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from trackloom.operators import align as A
 from trackloom.operators import datasets as D
 from trackloom.operators import profile as P
+from trackloom.operators import relabel as E
 from trackloom.operators.quantiles import five_numbers
 from trackloom.plans.catalog_align import ALIGNED, Pair
 from trackloom.plans.catalog_overlap import summary_sql
@@ -219,6 +220,19 @@ def _segments(v: Views):
     return v.table("customer").select(F.col("c_mktsegment").alias("label_name"))
 
 
+def _relabelled(v: Views):
+    texts = record_texts(v).where(F.try_parse_json("value").isNotNull())
+    changed = E.relabel_records(texts, E.clean_mapping(v.label_map())).where("n_after > 0")
+    return L.to_boxes(L.parse_text(changed)).select("video_id", "frame_idx", "track_id", "action", "x1", "y1")
+
+
+def _one_track(v: Views):
+    texts = record_texts(v).where(F.try_parse_json("value").isNotNull())
+    return L.to_boxes(L.parse_text(E.keep_track(texts, F.lit("1")))).select(
+        "video_id", "frame_idx", "track_id", "action", "x1", "y1"
+    )
+
+
 QUERIES = {
     "scan_labelme": (
         _scan,
@@ -231,6 +245,17 @@ QUERIES = {
         + f""" SELECT concat('/data/videos/', video_id, '/', {PADDED}, '.json') AS path, concat({PADDED}, '.jpg') AS image, track_id AS first_track
  FROM fx_boxes WHERE pos = 1 AND frame_idx % 7 <> 3""",
     ),
+    "relabel_records": (
+        _relabelled,
+        ctes("fx_boxes", "fx_label_map")
+        + """ SELECT video_id, frame_idx, track_id, coalesce(label2, action) AS action, x1, y1 FROM fx_boxes LEFT JOIN fx_label_map ON label = action
+ WHERE frame_idx % 7 <> 3 AND coalesce(label2, 'x') <> ''""",
+    ),
+    "keep_track": (
+        _one_track,
+        ctes("fx_boxes")
+        + " SELECT video_id, frame_idx, track_id, action, x1, y1 FROM fx_boxes WHERE frame_idx % 7 <> 3 AND track_id = '1'",
+    ),
     "frame_records": (
         lambda v: L.frame_records(v.boxes()).select(
             "video_id", "frame_idx", "part", "imagePath", F.size("shapes").cast("bigint").alias("n_shapes")

@@ -180,6 +180,22 @@ def convert_std(data: Dataset, mapping: str) -> Tables:
     }
 
 
+def convert_records(data: Dataset, mapping: str) -> Tables:
+    """Mapped record texts with every key kept; records left without shapes are dropped."""
+    names = X.read_mapping(data.spark, mapping)
+    changed = R.relabel_records(L.read_texts(data.spark, data.root), names)
+    emptied = (F.col("n_before") > 0) & (F.col("n_after") == 0)
+    return {
+        "records": changed.where(~emptied).select("path", "value"),
+        "summary": changed.agg(
+            F.count(F.lit(1)).alias("files"),
+            F.count_if(emptied).alias("files_deleted"),
+            F.sum("n_before").alias("annotations_before"),
+            F.sum("n_after").alias("annotations_after"),
+        ),
+    }
+
+
 def subset_std(data: Dataset, per_class: int = 3, target: str = "out") -> Tables:
     picked = D.cover_subset(data.usable, per_class)
     chosen = data.spark.createDataFrame(
@@ -431,6 +447,7 @@ COMMANDS: dict[str, Callable[..., Tables]] = {
     "remove-tubes": remove_tubes,
     "filter-std": filter_std,
     "convert-std": convert_std,
+    "convert-records": convert_records,
     "subset-std": subset_std,
     "split-std": split_std,
     "split-gt-csv": split_gt_csv,

@@ -17,7 +17,7 @@ def sample_of(path: Column) -> Column:
     return F.regexp_extract(path, "([^/]+)/(?:(?:img|json)/)?[^/]*$", 1)
 
 
-def _read_texts(spark: SparkSession, paths: str | list[str]) -> DataFrame:
+def read_texts(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     """JSON files (one record each) as texts with their path."""
     return (
         spark.read.option("recursiveFileLookup", True)
@@ -29,7 +29,7 @@ def _read_texts(spark: SparkSession, paths: str | list[str]) -> DataFrame:
 
 def read_records(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     """Records (path and the four core fields) of JSON files; unreadable files are skipped."""
-    return parse_text(_read_texts(spark, paths))
+    return parse_text(read_texts(spark, paths))
 
 
 def parse_text(texts: DataFrame, text: str = "value", path: str = "path") -> DataFrame:
@@ -112,7 +112,7 @@ def read_boxes(spark: SparkSession, paths: str | list[str], index_rule: str = "s
 
 def read_raw(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     """Whole JSON objects as VARIANT, for rewrites that keep every key."""
-    texts = _read_texts(spark, paths)
+    texts = read_texts(spark, paths)
     return texts.select("path", F.try_parse_json("value").alias("raw")).where(F.col("raw").isNotNull())
 
 
