@@ -76,10 +76,16 @@ def test_merge(spark):
 
 def test_unique_names(spark):
     df = spark.createDataFrame([(i, n) for i, n in enumerate(["a.jpg", "b.jpg", "a.jpg", "a.jpg"])], "i int, name string")
-    got = {r["i"]: r["name"] for r in D.unique_names(df, "name", [F.col("i")]).collect()}
+    got = {r["i"]: r["name"] for r in D.unique_names(df, "name", [F.col("i")], F.floor(F.col("i") / 2)).collect()}
     assert got == {0: "a.jpg", 1: "b.jpg", 2: "a_dup1.jpg", 3: "a_dup2.jpg"}
 
 
+def test_folder_layout(spark):
+    dirs = spark.createDataFrame([("/a/x",), ("/b/x",), ("/b/y",)], "dir string")
+    got = {r["dir"]: r["sample"] for r in D.folder_layout(dirs).collect()}
+    assert got == {"/a/x": "x", "/b/x": "x_1", "/b/y": "y"}
+
+
 def test_clean_counts_a_tube_once_and_keeps_the_rest(spark):
     rows = [("v", f, 1, "1", "run", 0.0, 0.0, 10.0, 10.0) for f in range(8)]
     rows += [("v", f, 2, "2", "run", 0.0, 0.0, 10.0 + 90 * (f == 20), 10.0) for f in range(20, 23)]

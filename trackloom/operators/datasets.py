@@ -256,17 +256,17 @@ def label_distribution(splits: DataFrame, labels: DataFrame) -> DataFrame:
     )
 
 
-def unique_names(df: DataFrame, name: str, order: list[Column], suffix: str = "_dup") -> DataFrame:
+def unique_names(
+    df: DataFrame, name: str, order: list[Column], chunk: Column, suffix: str = "_dup"
+) -> DataFrame:
     """``name`` made unique: the second and later rows get ``<stem><suffix><n><extension>``.
 
-    Equal names are a small group as a rule; they are numbered in chunks of the order hash-free
-    through ``row_numbers`` only where a name repeats.
+    Only names that repeat are numbered; ``chunk`` grows with ``order`` and cuts a name that
+    very many rows share.
     """
     repeated = df.groupBy(name).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > 1).select(name)
     single = df.join(repeated, name, "left_anti").withColumn("_copy", F.lit(1).cast("bigint"))
-    several = row_numbers(
-        df.join(repeated, name, "left_semi"), [name], order, F.struct(*order), "_copy"
-    )
+    several = row_numbers(df.join(repeated, name, "left_semi"), [name], order, chunk, "_copy")
     extension = F.regexp_extract(F.col(name), "(?<=.)(\\.[^.]*)$", 1)
     renamed = F.concat(
         stem(F.col(name)), F.lit(suffix), (F.col("_copy") - 1).cast("string"), extension
@@ -310,7 +310,8 @@ def flatten_names(files: DataFrame) -> DataFrame:
         .drop("_stem", "_ext", "_best")
     )
     order = [F.col(c) for c in (*folder, "file")]
-    return unique_names(named, "new_name", order)
+    chunk = F.struct("dataset", "action", F.left("sample", F.lit(4)))
+    return unique_names(named, "new_name", order, chunk)
 
 
 def merge_single(files: DataFrame, name: str = "merged_all") -> DataFrame:
@@ -328,7 +329,8 @@ def rename_by_action(boxes: DataFrame, name_format: str = "{action}__{orig}") ->
     named = majority_label(safe).withColumn(
         "new_name", sanitize(_fill(name_format, F.col("label"), F.col("video_id")))
     )
-    return unique_names(named.select("video_id", "new_name"), "new_name", [F.col("video_id")])
+    chunk = F.left("video_id", F.lit(4))
+    return unique_names(named.select("video_id", "new_name"), "new_name", [F.col("video_id")], chunk)
 
 
 def _fill(name_format: str, action: Column, orig: Column) -> Column:
@@ -347,4 +349,4 @@ def sample_manifest(samples: DataFrame, out_root: str) -> DataFrame:
 def folder_layout(dirs: DataFrame) -> DataFrame:
     """Target sample names of image folders: the base name, made unique with ``_<n>``."""
     named = dirs.select("dir", base_name(F.col("dir")).alias("sample"))
-    return unique_names(named, "sample", [F.col("dir")], "_")
+    return unique_names(named, "sample", [F.col("dir")], F.left("dir", F.lit(24)), "_")

@@ -43,7 +43,8 @@ def from_segments(rows: DataFrame) -> DataFrame:
 def nest(tube_boxes: DataFrame) -> DataFrame:
     """Nested form: arrays of [frame, x1, y1, x2, y2] per tube.
 
-    A tube is cut into parts of a fixed span of frames, so a long one is not gathered whole.
+    A tube has one box per frame and is cut into parts of a fixed span of frames, so a part is
+    an array of bounded length however long the tube is.
     """
     row = F.array(
         F.col("frame_idx").cast("double"), *[F.col(c) for c in ("x1", "y1", "x2", "y2")]
