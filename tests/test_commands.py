@@ -92,3 +92,33 @@ def test_command_line(spark, data, tmp_path, monkeypatch):
     monkeypatch.setattr(cli, "build_session", lambda *a: spark)
     cli.main(["time-bins", data.root, "--out", str(tmp_path / "o"), "--set", "spf=0.1"])
     assert spark.read.parquet(str(tmp_path / "o" / "time_bins")).count() == 1
+
+
+def test_tube_dataset_jobs(spark, tmp_path):
+    for name, labels in (("a", '{"0": "hit", "1": "run"}'), ("b", '{"0": "run", "1": "zap"}')):
+        notes = tmp_path / name / "annotations"
+        notes.mkdir(parents=True)
+        (tmp_path / name / "videos" / "x1").mkdir(parents=True)
+        (tmp_path / name / "videos" / "x1" / "1.jpg").write_bytes(b"x")
+        (notes / "labels_dict.json").write_text(labels)
+        (notes / "train.csv").write_text(f"videos/x1,0\nvideos/{name},1\n")
+        if name == "a":
+            (notes / "val.csv").write_text("videos/x1,1\n")
+    stats = J.tube_stats(J.Dataset(spark, str(tmp_path / "a")))
+    assert {(r["split"], r["label_name"]): r["count"] for r in stats["counts"].collect()} == {
+        ("train", "hit"): 1,
+        ("train", "run"): 1,
+        ("val", "run"): 1,
+    }
+    assert [r["path"] for r in stats["missing"].collect()] == ["videos/a"]
+    shared = stats["audit"].where("measure = 'train_val_shared'").first()["value"]
+    assert shared == 1.0
+    merged = J.merge_tube_datasets(spark, [str(tmp_path / n) for n in "ab"])
+    assert {tuple(r) for r in merged["labels"].collect()} == {(0, "hit"), (1, "run"), (2, "zap")}
+    rows = {(r["split"], r["path"]): r["label"] for r in merged["splits"].collect()}
+    assert rows == {
+        ("train", "videos/x1"): "0",
+        ("train", "videos/a"): "1",
+        ("train", "videos/b"): "2",
+        ("val", "videos/x1"): "1",
+    }

@@ -27,9 +27,10 @@ def ratio_split(
     if min(ratios) < 0 or sum(ratios) <= 0:
         raise ValueError("ratios must not be negative and must not all be zero")
     shares = [float(r) / float(sum(ratios)) for r in ratios]
-    hashed = df.withColumn(
-        "_hash", F.md5(F.concat(key.cast("string"), F.lit(f"#{seed}")).cast("binary"))
-    ).withColumn("_key", key.cast("string"))
+    text = F.coalesce(key.cast("string"), F.lit(""))
+    hashed = df.withColumns(
+        {"_hash": F.md5(F.concat(text, F.lit(f"#{seed}")).cast("binary")), "_key": text}
+    )
     ranked = row_numbers(
         hashed, [], [F.col("_hash"), F.col("_key")], F.left("_hash", F.lit(3)), "_rank", total="_total"
     )

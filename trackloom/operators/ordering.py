@@ -41,9 +41,9 @@ def row_numbers(
     name: str = "rn",
     total: str | None = None,
 ) -> DataFrame:
-    """1-based row number per key in ``order``; ``chunk`` must be non-null and follow that order.
+    """1-based row number per key in ``order``; ``chunk`` must follow that order.
 
-    ``total`` also adds the number of rows of the key.
+    Keys and ``chunk`` must not be null. ``total`` also adds the number of rows of the key.
     """
     part = [*keys, "_chunk"]
     cut = _cut(df, keys, chunk)
@@ -92,7 +92,7 @@ def label_runs(
 ) -> DataFrame:
     """Gaps and islands over rows ordered by index within each key.
 
-    Rows are unique by (keys, index), or by (keys, index, ``then``): rows of one index then
+    Keys and index must not be null. Rows are unique by (keys, index), or by (keys, index, ``then``): rows of one index then
     follow each other in the order of ``then`` with a step of 0.
 
     ``breaks(previous, current)`` says whether a new run starts; beside its arguments it may

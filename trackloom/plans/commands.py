@@ -9,6 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import cached_property
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -324,8 +325,17 @@ def pickle_to_std(data: Dataset, frames: DataFrame) -> Tables:
 
 
 def _listing(spark: SparkSession, root: str) -> DataFrame:
-    parts = [X.read_split(spark, f"{root}/annotations/{s}.csv", s) for s in D.SPLITS]
-    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+    """Split lists of a tube dataset; a split without a file has no rows."""
+    out = spark.createDataFrame([], "row_no bigint, path string, label string, split string")
+    for split in D.SPLITS:
+        try:
+            rows = X.read_split(spark, f"{root}/annotations/{split}.csv", split)
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            continue
+        out = out.unionByName(rows)
+    return out
 
 
 def tube_stats(data: Dataset) -> Tables:
