@@ -122,3 +122,43 @@ def test_tube_dataset_jobs(spark, tmp_path):
         ("train", "videos/b"): "2",
         ("val", "videos/x1"): "1",
     }
+
+
+def test_compare_job(data, tmp_path):
+    (tmp_path / "al.csv").write_text(
+        "video_id,sh_index,sh_file,ms_index,ms_file,k,mean,status\n"
+        "v1,1,a.jpg,1,a.jpg,0,0.1,ok\nv2,1,a.jpg,2,a.jpg,1,0.1,ok\n"
+    )
+    out = J.compare_aligned(data, data, str(tmp_path / "al.csv"))
+    steps = {r["video_id"]: r["count"] for r in out["run"].groupBy("video_id").count().collect()}
+    assert steps == {"v1": 8, "v2": 7}
+    summary = {r["video_id"]: r for r in out["per_video"].collect()}
+    assert summary["v1"]["ms_boxes"] == 16 and summary["v1"]["mean_ms_to_sh"] == 1.0
+    # Frame 4 of v2 has no boxes: it drops out of both sides, one step apart.
+    assert summary["v2"]["ms_boxes"] == 10
+    pairs = {(r["sh_action"], r["ms_action"]): r["count"] for r in out["action_pairs"].collect()}
+    assert pairs == {("hit", "hit"): 13, ("run", "run"): 13}
+    ends = {r["video_id"]: r["ends_first"] for r in out["endings"].collect()}
+    assert ends == {"v1": "tie", "v2": "ms"}
+    # v1: 8 steps of 2 boxes on both sides; v2: 7 steps, one of them empty, on either side.
+    assert out["merged"].count() == 2 * 16 + 2 * 12
+
+
+def test_interaction_jobs(spark, tmp_path):
+    (tmp_path / "actions.pbtxt").write_text('item {\n  name: "ball - pass"\n  label_id: 1\n}\n')
+    (tmp_path / "train.csv").write_text(
+        "v,0001,0.1,0.2,0.3,0.4,0.5,0.5,0.6,0.7,1,1,1\nv,0001,0.1,0.2,0.3,0.4,0.5,0.5,0.6,0.7,1,1,1\n"
+        "v,0002,0.1,0.2,1.3,0.4,,,,,9,2,\n"
+    )
+    paths, actions = {"train": str(tmp_path / "train.csv")}, str(tmp_path / "actions.pbtxt")
+    out = J.interaction_profile(spark, paths, actions)
+    basic = out["basic"].first()
+    assert (basic["num_rows_total"], basic["num_person_ids"], basic["num_instances"]) == (3, 2, 1)
+    assert out["duplicates"].first()[0] == 1 and out["unknown"].first()[0] == 1
+    assert out["anomalies_primary"].first()["coords_out_of_range"] == 1
+    second = out["anomalies_secondary"].first()
+    assert (second["missing_values"], second["coords_out_of_range"], second["num_boxes"]) == (1, 1, 2)
+    sizes = spark.createDataFrame([("v", 100, 50)], "video_id string, width int, height int")
+    shapes = J.interactions_to_shapes(spark, paths, actions, sizes, secondary=True)["shapes"]
+    assert shapes.count() == 5
+    assert shapes.where("team = '1'").first()["points"][2] == [60.0, 35.0]
