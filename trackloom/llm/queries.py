@@ -7,11 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from trackloom.llm.bpe import encode_texts
+from trackloom.llm.mixing import mix_report
 from trackloom.llm.storage import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix_report(table(spark, sf_dir, "documents"))
+
+
 def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_texts(table(spark, sf_dir, "documents"))
 
