@@ -9,7 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 from trackloom.llm.bpe import encode_texts
 from trackloom.llm.decision_list import quality_verdicts
 from trackloom.llm.mixing import mix_report
+from trackloom.llm.sharding import SHARDS, place
 from trackloom.llm.storage import table
+from trackloom.llm.wordpiece import token_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -18,6 +20,15 @@ def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_report(table(spark, sf_dir, "documents"))
 
 
+def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source")
+    return place(docs, "doc_id", [f"shard-{i:04d}" for i in range(SHARDS)]).select("doc_id", "slot", "shard")
+
+
+def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts(table(spark, sf_dir, "documents"))
+
+
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality_verdicts(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return judged.select(
