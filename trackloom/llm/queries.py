@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from trackloom.llm.bpe import encode_texts
 from trackloom.llm.decision_list import quality_verdicts
 from trackloom.llm.mixing import mix_report
+from trackloom.llm.near_dedup import near_duplicates
 from trackloom.llm.sharding import SHARDS, place
 from trackloom.llm.storage import table
 from trackloom.llm.wordpiece import token_counts
@@ -16,6 +17,10 @@ from trackloom.llm.wordpiece import token_counts
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op2_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_report(table(spark, sf_dir, "documents"))
 

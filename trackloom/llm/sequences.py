@@ -13,7 +13,7 @@ import pyarrow as pa
 
 #: The white space that ends a word.
 SPACES = b"\x20\x09\x0a\x0b\x0c\x0d"
-BLOCK_BYTES = 2_000_000
+BLOCK_BYTES = 1_000_000
 
 _IS_SPACE = np.zeros(256, bool)
 _IS_SPACE[list(SPACES)] = True
