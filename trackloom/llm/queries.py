@@ -12,6 +12,7 @@ from trackloom.llm.mixing import mix_report
 from trackloom.llm.near_dedup import near_duplicates
 from trackloom.llm.sharding import SHARDS, place
 from trackloom.llm.storage import table
+from trackloom.llm.vector_dedup import near_vectors
 from trackloom.llm.wordpiece import token_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -45,6 +46,10 @@ def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_texts(table(spark, sf_dir, "documents"))
 
 
+def op10_vector_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors(table(spark, sf_dir, "embeddings"))
+
+
 def queries() -> dict[str, Query]:
     return {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
 
