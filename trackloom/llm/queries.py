@@ -12,12 +12,17 @@ from trackloom.llm.mixing import mix_report
 from trackloom.llm.near_dedup import near_duplicates
 from trackloom.llm.sharding import SHARDS, place
 from trackloom.llm.storage import table
+from trackloom.llm.substring_dedup import remove_repeated_spans
 from trackloom.llm.vector_dedup import near_vectors
 from trackloom.llm.wordpiece import token_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeated_spans(table(spark, sf_dir, "documents"))
+
+
 def op2_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
