@@ -13,6 +13,7 @@ from trackloom.llm.near_dedup import near_duplicates
 from trackloom.llm.sharding import SHARDS, place
 from trackloom.llm.storage import table
 from trackloom.llm.substring_dedup import remove_repeated_spans
+from trackloom.llm.suffix_dedup import remove_repeated_bytes
 from trackloom.llm.vector_dedup import near_vectors
 from trackloom.llm.wordpiece import token_counts
 
@@ -31,6 +32,10 @@ def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_report(table(spark, sf_dir, "documents"))
 
 
+def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeated_bytes(table(spark, sf_dir, "documents"))
+
+
 def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "source")
     return place(docs, "doc_id", [f"shard-{i:04d}" for i in range(SHARDS)]).select("doc_id", "slot", "shard")
