@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from trackloom.llm.bpe import encode_texts
 from trackloom.llm.decision_list import quality_verdicts
+from trackloom.llm.html_extract import extract
 from trackloom.llm.mixing import mix_report
 from trackloom.llm.near_dedup import near_duplicates
 from trackloom.llm.sharding import SHARDS, place
@@ -45,6 +46,10 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"))
 
 
+def op7_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract(table(spark, sf_dir, "pages"))
+
+
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality_verdicts(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return judged.select(
