@@ -28,11 +28,11 @@ import pyarrow.compute
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trackloom.llm.sequences import mixed, range_hashes, signed, text_blocks
+from trackloom.llm.sequences import mixed, range_hashes, rolling_hashes, signed, text_blocks
 from trackloom.llm.storage import partitions
 
 #: Parts and shards for each shuffle partition; pieces that an anchor's shard may hold before it is dealt by window.
-PARTS, SHARDS, CROWD = 4, 16, 64
+PARTS, SHARDS, CROWD = 4, 16, 1000
 OCCURRENCE = "hash long, piece long, row long, doc long, start long, n long, part long, gone boolean"
 FOUND = "part long, row long, doc long, start long, n long, kind long, hash long"
 CONTENT = "shard long, part long, row long, doc long, start long, n long, units binary"
@@ -72,14 +72,13 @@ def pieces(windows: Windows, values: np.ndarray, firsts: np.ndarray) -> tuple[np
     n_windows = len(values) - windows.length + 1
     if n_windows < 1:
         return tuple(np.zeros(0, t) for t in (np.uint64, np.uint64, np.int64, np.int64, np.int64))
-    at = np.arange(len(values) - windows.gram + 1)
-    grams = range_hashes(values, at, at + windows.gram)
-    ranked = (grams & np.uint64(0xFFFFFFFF00000000)) | at.astype(np.uint64)
+    grams = rolling_hashes(values, windows.gram)
+    ranked = (grams & np.uint64(0xFFFFFFFF00000000)) | np.arange(len(grams), dtype=np.uint64)
     anchor = (_sliding_least(ranked, windows.length - windows.gram + 1) & np.uint64(0xFFFFFFFF)).astype(np.int64)
-    start = np.arange(n_windows)
-    doc = np.searchsorted(firsts, start, "right") - 1
-    whole = start + windows.length <= firsts[doc + 1]
-    start, anchor, doc = start[whole], anchor[whole], doc[whole]
+    n_in = np.maximum(np.diff(firsts) - windows.length + 1, 0)
+    doc = np.repeat(np.arange(len(n_in)), n_in)
+    start = np.arange(len(doc)) + np.repeat(firsts[:-1] - (np.cumsum(n_in) - n_in), n_in)
+    anchor = anchor[start]
     if not len(start):
         return tuple(np.zeros(0, t) for t in (np.uint64, np.uint64, np.int64, np.int64, np.int64))
     new = np.flatnonzero(np.concatenate([[True], (anchor[1:] != anchor[:-1]) | (doc[1:] != doc[:-1])]))
@@ -88,12 +87,18 @@ def pieces(windows: Windows, values: np.ndarray, firsts: np.ndarray) -> tuple[np
     return grams[anchor], range_hashes(values, start, start + n + windows.length - 1, "bytes"), doc, start, n
 
 
-def _blocks(table: pa.Table, windows: Windows) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
-    """(rows, ids, units, first units) of a part's documents, block by block."""
-    table = table.filter(pa.compute.is_valid(table["_id"]))
-    rows, ids = table["_row"].to_numpy(), table["_id"].to_numpy()
+def ordered(table: pa.Table) -> pa.Table:
+    """A part's documents in an order of their own, by which they are numbered; those without an id are last."""
+    return table.sort_by([("_id", "ascending"), ("_row", "ascending")])
+
+
+def _blocks(table: pa.Table, windows: Windows) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+    """(number of the first document, ids, units, first units) of a part's documents with an id, block by block."""
+    table = ordered(table)
+    table = table.slice(0, table.num_rows - table["_id"].null_count)
+    ids = table["_id"].to_numpy()
     for first, end, data, offsets in text_blocks(table["_text"]):
-        yield rows[first:end], ids[first:end], *windows.units(data, offsets)
+        yield first, ids[first:end], *windows.units(data, offsets)
 
 
 def _table(schema: str, *columns: np.ndarray | pa.Array) -> pa.Table:
@@ -123,34 +128,39 @@ def _suspects(parts: DataFrame, windows: Windows, buckets: int) -> DataFrame:
 
     def fingerprints(key: tuple, table: pa.Table) -> pa.Table:
         hashes, docs = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
-        for rows, _ids, values, firsts in _blocks(table, windows):
+        for _first, ids, values, firsts in _blocks(table, windows):
             found, _piece, doc, _start, _n = pieces(windows, values, firsts)
             hashes.append(found)
-            docs.append(rows[doc])
+            docs.append(ids[doc])
         hash_, doc = np.concatenate(hashes), np.concatenate(docs)
-        order = np.lexsort((doc, hash_))
+        order = np.argsort(hash_, kind="stable")  # documents stay in order
         hash_, doc = hash_[order], doc[order]
-        same = hash_[1:] == hash_[:-1]
-        again = np.unique(hash_[1:][same if windows.within else same & (doc[1:] != doc[:-1])])
-        once = np.setdiff1d(np.unique(hash_), again, assume_unique=True)
+        new = np.concatenate([[True], hash_[1:] != hash_[:-1]])[: len(hash_)]
+        repeat = ~new if windows.within else ~new & np.concatenate([[False], doc[1:] != doc[:-1]])[: len(hash_)]
+        often = np.zeros(int(new.sum()), bool)
+        often[np.cumsum(new)[repeat] - 1] = True
         packed = []
-        for values in (once, again):
-            bucket = values % np.uint64(buckets)
+        for values in (hash_[new][~often], hash_[new][often]):
+            bucket = (values % np.uint64(buckets)).astype(np.uint32)
             order = np.argsort(bucket, kind="stable")
-            cuts = np.searchsorted(bucket[order], np.arange(buckets + 1, dtype=np.uint64))
+            cuts = np.searchsorted(bucket[order], np.arange(buckets + 1))
             short = (values[order] >> np.uint64(32)).astype(np.uint32)
             packed.append([short[a:b].tobytes() for a, b in zip(cuts, cuts[1:])])
         part = pa.array([key[0].as_py()] * buckets, pa.int64())
         return _table(schema, pa.array(range(buckets), pa.int64()), part, *(pa.array(p, pa.binary()) for p in packed))
 
     def found(key: tuple, table: pa.Table) -> pa.Table:
-        once = [np.frombuffer(x, np.uint32) for x in table["once"].to_pylist()]
-        again = [np.frombuffer(x, np.uint32) for x in table["again"].to_pylist()]
-        each = [np.unique(np.concatenate(x)) for x in zip(once, again)]
-        values, counts = np.unique(np.concatenate(each), return_counts=True)
-        often = np.union1d(values[counts > 1], np.concatenate(again))
-        kept = [x[np.isin(x, often)].tobytes() for x in each]
-        bucket = pa.array([key[0].as_py()] * len(kept), pa.int64())
+        arrays = [np.frombuffer(x, np.uint32) for c in ("once", "again") for x in table[c].to_pylist()]
+        n_parts = table.num_rows
+        values, sizes = np.concatenate(arrays), [len(x) for x in arrays]
+        order = np.argsort(values, kind="stable")
+        same = values[order][1:] == values[order][:-1]
+        often = np.zeros(len(values), bool)
+        often[order[1:][same]] = often[order[:-1][same]] = True
+        often[sum(sizes[:n_parts]) :] = True
+        each = np.split(often, np.cumsum(sizes)[:-1])
+        kept = [a[k].tobytes() + b[l].tobytes() for a, k, b, l in zip(arrays, each, arrays[n_parts:], each[n_parts:])]
+        bucket = pa.array([key[0].as_py()] * n_parts, pa.int64())
         return pa.table({"part": table["part"], "bucket": bucket, "found": pa.array(kept, pa.binary())})
 
     packed = parts.groupBy("part").applyInArrow(fingerprints, schema)
@@ -176,25 +186,21 @@ def _occurrences(parts: DataFrame, suspects: DataFrame, windows: Windows, bucket
             wanted.append(np.frombuffer(found, np.uint32).astype(np.uint64) << np.uint64(32) | np.uint64(bucket))
         wanted = np.sort(np.concatenate(wanted))
         got = []
-        for rows, ids, values, firsts in _blocks(table, windows) if len(wanted) else ():
+        for first, ids, values, firsts in _blocks(table, windows) if len(wanted) else ():
             hash_, piece, doc, start, n = pieces(windows, values, firsts)
             mark = (hash_ & np.uint64(0xFFFFFFFF00000000)) | hash_ % np.uint64(buckets)
             at = np.searchsorted(wanted, mark)
             keep = wanted[np.minimum(at, len(wanted) - 1)] == mark
             doc, start = doc[keep], start[keep]
-            got.append((signed(hash_[keep]), signed(piece[keep]), rows[doc], ids[doc], start - firsts[doc], n[keep]))
+            got.append((signed(hash_[keep]), signed(piece[keep]), first + doc, ids[doc], start - firsts[doc], n[keep]))
         if not got:
             return _empty(OCCURRENCE)
         hash_, piece, row, doc, start, n = map(np.concatenate, zip(*got))
         order, late = _settled(windows, hash_, piece, doc, start)
         # what is settled needs no particular task further on
-        return _table(
-            OCCURRENCE,
-            np.where(late, row[order] + start[order], hash_[order]),
-            *(x[order] for x in (piece, row, doc, start, n)),
-            np.full(len(order), key[0].as_py() if key else 0),
-            late,
-        )
+        part = np.full(len(order), key[0].as_py())
+        hash_, piece, doc = (np.where(late, rest, x[order]) for x, rest in ((hash_, part), (piece, 0), (doc, 0)))
+        return _table(OCCURRENCE, hash_, piece, row[order], doc, *(x[order] for x in (start, n)), part, late)
 
     return parts.groupBy("part").cogroup(suspects.groupBy("part")).applyInArrow(task, OCCURRENCE)
 
@@ -206,10 +212,10 @@ def _resolved(occurrences: DataFrame, windows: Windows) -> DataFrame:
             return
         table = pa.Table.from_batches(batches)
         gone = table["gone"].to_numpy()
-        columns = {c: table[c].to_numpy() for c in table.column_names}
-        out = [(columns["part"], columns["row"], columns["doc"], columns["start"], columns["n"], np.zeros(len(gone), np.int64), columns["hash"])]
-        out = [tuple(x[gone] for x in out[0])]
-        hash_, piece, row, doc, start, n, part = (columns[c][~gone] for c in "hash piece row doc start n part".split())
+        hash_, piece, row, doc, start, n, part = (table[c].to_numpy() for c in "hash piece row doc start n part".split())
+        zero = np.zeros(int(gone.sum()), np.int64)
+        out = [(part[gone], row[gone], zero, start[gone], n[gone], zero, zero)]
+        hash_, piece, row, doc, start, n, part = (x[~gone] for x in (hash_, piece, row, doc, start, n, part))
         order, late = _settled(windows, hash_, piece, doc, start)
         hash_, piece, row, doc, start, n, part = (x[order] for x in (hash_, piece, row, doc, start, n, part))
         if len(hash_):
@@ -218,6 +224,7 @@ def _resolved(occurrences: DataFrame, windows: Windows) -> DataFrame:
             anchor = np.cumsum(new_anchor) - 1
             classes = np.bincount(anchor, new_piece).astype(np.int64)[anchor]
             kind = np.where(late, GONE, np.where(classes > CROWD, ASK_CROWDED, ASK))
+            doc, hash_ = np.where(late, 0, doc), np.where(late, 0, hash_)
             keep = late | (classes > 1)
             out.append(tuple(x[keep] for x in (part, row, doc, start, n, kind, hash_)))
         merged = _table(FOUND, *(np.concatenate(x) for x in zip(*out)))
@@ -231,31 +238,23 @@ def _contents(parts: DataFrame, resolved: DataFrame, windows: Windows, shards: i
     """The units to compare, and with null units what a part settles itself (equal windows of crowded anchors)."""
 
     def task(key: tuple, table: pa.Table, found: pa.Table) -> pa.Table:
-        found = found.filter(pa.compute.greater(found["kind"], GONE))
         if not found.num_rows:
             return _empty(CONTENT)
         row, doc, start, n, kind, hash_ = (found[c].to_numpy() for c in "row doc start n kind hash".split())
         order = np.lexsort((start, row))
         row, doc, start, n, kind, hash_ = (x[order] for x in (row, doc, start, n, kind, hash_))
-        table = table.filter(pa.compute.is_in(table["_row"], pa.array(np.unique(row))))
-        done: set[int] = set()
         plain, crowded = [], []
-        for rows, _ids, values, firsts in _blocks(table, windows):
-            for i, r in enumerate(rows.tolist()):
-                if r in done:  # a repeated row
+        for first, ids, values, firsts in _blocks(table, windows):
+            for j in range(np.searchsorted(row, first), np.searchsorted(row, first + len(ids))):
+                at = firsts[row[j] - first] + start[j]
+                units = values[at : at + n[j] + windows.length - 1]
+                place = int(row[j]), int(doc[j]), int(start[j])
+                if kind[j] == ASK:
+                    plain.append((int(hash_[j]), *place, int(n[j]), units.tobytes()))
                     continue
-                done.add(r)
-                for j in range(np.searchsorted(row, r), np.searchsorted(row, r, "right")):
-                    at = firsts[i] + start[j]
-                    units = values[at : at + n[j] + windows.length - 1]
-                    if kind[j] == ASK:
-                        plain.append((int(hash_[j]), r, int(doc[j]), int(start[j]), int(n[j]), units.tobytes()))
-                        continue
-                    begin = np.arange(n[j])
-                    own = range_hashes(units.astype(np.uint64), begin, begin + windows.length)
-                    for k, h in enumerate(signed(own).tolist()):
-                        content = units[k : k + windows.length].tobytes()
-                        crowded.append((h, r, int(doc[j]), int(start[j]) + k, 1, content))
+                own = rolling_hashes(units.astype(np.uint64), windows.length)
+                for k, h in enumerate(signed(own).tolist()):
+                    crowded.append((h, *place[:2], place[2] + k, 1, units[k : k + windows.length].tobytes()))
         # of equal windows of crowded anchors only those that may come first go on
         crowded.sort(key=lambda x: (x[0], x[5], x[2], x[3]))
         last = None
@@ -263,7 +262,7 @@ def _contents(parts: DataFrame, resolved: DataFrame, windows: Windows, shards: i
             if last is None or (entry[0], entry[5]) != (last[0], last[5]):
                 last = entry
             elif entry[2] > last[2] or windows.within and entry[3] > last[3]:
-                entry = (entry[1], *entry[1:5], None)
+                entry = (entry[3], *entry[1:5], None)
             plain.append(entry)
         hash_, row, doc, start, n, units = zip(*plain)
         shard = signed(mixed(np.array(hash_, np.int64).view(np.uint64)) % np.uint64(shards))
@@ -275,8 +274,8 @@ def _contents(parts: DataFrame, resolved: DataFrame, windows: Windows, shards: i
 
 
 def removals(parts: DataFrame, windows: Windows, settle: Callable) -> DataFrame:
-    """``part, row, start, n``: runs of windows that occur before, in rows of FOUND with kind GONE (others are there
-    too and mean nothing). ``settle(doc, start, n, units)`` says of some pieces in order of place which windows do:
+    """``part, row, start, n``: runs of windows that occur before, as rows of FOUND. ``row`` is the document's number
+    in its part. ``settle(doc, start, n, units)`` says of some pieces in order of place which windows do:
     it gives (piece, first window, windows) runs."""
     n = partitions(parts.sparkSession)
     suspects = _suspects(parts, windows, n)
@@ -301,8 +300,8 @@ def removals(parts: DataFrame, windows: Windows, settle: Callable) -> DataFrame:
         zero = pa.array(np.zeros(gone.num_rows, np.int64))
         return gone.append_column("kind", zero).append_column("hash", zero)
 
-    asked = _contents(parts, resolved, windows, SHARDS * n)
-    return resolved.unionByName(asked.groupBy("shard").applyInArrow(shard, FOUND))
+    asked = _contents(parts, resolved.where(F.col("kind") > GONE), windows, SHARDS * n)
+    return resolved.where(F.col("kind") == GONE).unionByName(asked.groupBy("shard").applyInArrow(shard, FOUND))
 
 
 def covered(n_units: int, start: np.ndarray, n: np.ndarray, length: int) -> np.ndarray:
@@ -315,7 +314,6 @@ def covered(n_units: int, start: np.ndarray, n: np.ndarray, length: int) -> np.n
 
 def by_row(found: pa.Table) -> dict[int, tuple[np.ndarray, np.ndarray]]:
     """Removed runs (start, windows) of each row of a part."""
-    found = found.filter(pa.compute.equal(found["kind"], GONE))
     row, start, n = (found[c].to_numpy() for c in ("row", "start", "n"))
     order = np.argsort(row, kind="stable")
     row, start, n = row[order], start[order], n[order]

@@ -89,6 +89,17 @@ def range_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray, base:
     return mixed((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64))
 
 
+def rolling_hashes(values: np.ndarray, width: int, base: str = "grams") -> np.ndarray:
+    """``range_hashes`` of every run of ``width`` values."""
+    up, down = _powers_of(base, len(values) + 1)
+    sums = np.zeros(len(values) + 1, np.uint64)
+    np.cumsum((values + np.uint64(1)) * up[: len(values)], dtype=np.uint64, out=sums[1:])
+    runs = sums[width:] - sums[:-width]
+    runs *= down[: len(runs)]
+    runs += np.uint64(width)
+    return mixed(runs)
+
+
 def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     return range_hashes(data.astype(np.uint64), starts, ends, "bytes")
 

@@ -17,7 +17,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from trackloom.llm.repeats import Windows, by_row, covered, parts_of, removals
+from trackloom.llm.repeats import Windows, by_row, covered, ordered, parts_of, removals
 from trackloom.llm.sequences import word_hashes, words_of
 
 #: Words of a span that must not occur again, and of an anchor.
@@ -131,9 +131,9 @@ def remove_repeated_spans(
     schema += "".join(f", _k{i} {fields[c]}" for i, c in enumerate(keep))
 
     def task(key: tuple, table: pa.Table, gone: pa.Table) -> pa.Table:
-        runs = by_row(gone)
+        runs, table = by_row(gone), ordered(table)
         n_words, n_removed, sha, texts = [], [], [], []
-        for row, value in zip(table["_row"].to_pylist(), table["_text"]):
+        for row, value in enumerate(table["_text"]):
             value = value.as_py()
             words = (value or "").encode().split()
             n_words.append(len(words))

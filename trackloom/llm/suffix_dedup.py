@@ -17,7 +17,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from trackloom.llm.repeats import Windows, by_row, covered, parts_of, removals
+from trackloom.llm.repeats import Windows, by_row, covered, ordered, parts_of, removals
 from trackloom.llm.sequences import range_hashes
 
 #: Bytes of a string that must not occur again, and of an anchor.
@@ -214,9 +214,9 @@ def remove_repeated_bytes(
     schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept binary" * with_bytes
 
     def task(key: tuple, table: pa.Table, gone: pa.Table) -> pa.Table:
-        runs = by_row(gone)
+        runs, table = by_row(gone), ordered(table)
         out: list[tuple] = []
-        for row, value in zip(table["_row"].to_pylist(), table["_text"]):
+        for row, value in enumerate(table["_text"]):
             data = (value.as_py() or "").encode()
             n, spans, kept = len(data), 0, data
             if row in runs:
