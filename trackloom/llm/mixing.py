@@ -18,7 +18,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from trackloom.llm.storage import stored
+from trackloom.llm.storage import partitions, stored
 
 #: The words of a text.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -26,7 +26,7 @@ WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS, SHARE, MOST = (3, 1, 2), 1.5, 2.0
 BLOCK_WORDS, SHARD_SLOTS, SEED = 64, 4096, 17
 #: Rows that one window orders at most on average.
-CHUNK = 20_000
+CHUNK = 2_000
 #: Rounds of the permutation.
 ROUNDS = 6
 
@@ -73,12 +73,14 @@ class Source:
 class Mix:
     """What the operator makes.
 
-    ``documents``: every input row with its kept columns and ``_row``, ``_source`` (number of the source), ``_size``
-    (words) and ``_from`` (its place among the words of its source). ``slots``: ``_shard, _source, _slot, _block``,
+    ``rows``: every input row with its kept columns and its number ``_row``. ``documents``: for each of them ``_row``,
+    ``_source`` (number of the source), ``_size`` (words) and ``_from`` (its place among the words of its source).
+    ``slots``: ``_shard, _source, _slot, _block``,
     one row for each block that the mix takes. ``uses``: ``_row, _block, _first, _words, _times``, the part of a
     document that lies in a block (first word, counted in the document, and number) and how often the mix takes it.
     """
 
+    rows: DataFrame
     documents: DataFrame
     slots: DataFrame
     uses: DataFrame
@@ -160,7 +162,7 @@ def mix(
 
     A null source is a source of its own, the last. Empty and null texts have no words: they stay in ``documents``
     and are in no block. Repeated rows count each. Of an empty table comes an empty mix. Columns other than ``keep``
-    are left out; kept names that begin with ``_`` must be renamed by the caller.
+    are left out; kept columns must not be named ``_name``, ``_size``, ``_hash`` or ``_row``.
     """
     spark = docs.sparkSession
     sized = stored(
@@ -184,9 +186,10 @@ def mix(
     names = spark.createDataFrame(
         [(s.name, i, -(-s.rows // CHUNK)) for i, s in enumerate(sources)], "_known string, _source int, _chunks long"
     )
-    numbered = sized.join(names, F.col("_name").eqNullSafe(F.col("_known"))).drop("_name", "_known")
+    numbered = sized.select("_name", "_size", "_hash", "_row").join(names, F.col("_name").eqNullSafe(F.col("_known"))).drop("_name", "_known")
     chunked = numbered.withColumn("_chunk", F.pmod("_hash", "_chunks"))
-    documents = _running(chunked, "_source", "_chunk", ["_hash", "_row"], "_size", "_from").drop("_chunk", "_chunks")
+    documents = _running(chunked, "_source", "_chunk", ["_hash", "_row"], "_size", "_from")
+    documents = documents.select("_row", "_source", "_size", "_from")
 
     total = sum(s.slots for s in sources)
     per_source = {k: [getattr(s, k) for s in sources] or [0] for k in ("blocks", "slots")}
@@ -207,7 +210,9 @@ def mix(
     )
     numbered_draws = _running(drawn, "_source", "_part", ["_shard"], "_count", "_before")
     last = F.least(F.col("_before") + F.col("_count"), _lookup(per_source["slots"], F.col("_source"), "long")) - 1
-    open_slots = numbered_draws.where(F.col("_before") <= last).select(
+    # a few draws become many slots: they are dealt out first
+    dealt = numbered_draws.repartition(partitions(spark), "_shard", "_source")
+    open_slots = dealt.where(F.col("_before") <= last).select(
         "_shard", "_source", F.explode(F.sequence(F.col("_before"), last)).alias("_slot")
     )
     have = drawn.groupBy(F.col("_source").alias("_drawn")).agg(F.sum("_count").alias("_have"))
@@ -266,7 +271,7 @@ def mix(
     uses = cut.join(times, (F.col("_source") == F.col("_s")) & (F.col("_block") == F.col("_b"))).select(
         "_row", "_block", "_first", "_words", "_times"
     )
-    return Mix(documents, slots, uses, sources)
+    return Mix(sized.drop("_name", "_size", "_hash"), documents, slots, uses, sources)
 
 
 def mix_report(docs: DataFrame, id_column: str = "doc_id", **options) -> DataFrame:
@@ -276,7 +281,8 @@ def mix_report(docs: DataFrame, id_column: str = "doc_id", **options) -> DataFra
         F.sum(F.col("_words") * F.col("_times")).alias("_taken")
     )
     sources = made.sources or [Source(None, 0, 0, 0.0, 0, 0)]
-    return made.documents.join(taken, F.col("_row") == F.col("_r"), "left").select(
+    joined = made.documents.join(taken, F.col("_row") == F.col("_r"), "left").drop("_r")
+    return joined.join(made.rows.withColumnRenamed("_row", "_r"), F.col("_row") == F.col("_r")).select(
         F.col(id_column).alias("doc_id"),
         F.col("_size").alias("size"),
         _lookup([s.size for s in sources], F.col("_source"), "long").alias("source_size"),
@@ -301,7 +307,7 @@ def mixed_documents(docs: DataFrame, text: str = "text", **options) -> DataFrame
         F.transform("_parts", lambda p: F.slice("_all", (p["_first"] + 1).cast("int"), p["_words"].cast("int")))
     )
     return (
-        made.documents.join(taken, F.col("_row") == F.col("_r"))
+        made.rows.join(taken, F.col("_row") == F.col("_r"))
         .withColumn("_all", words)
         .withColumn(text, F.array_join(parts, " "))
         .select(*columns)
