@@ -35,6 +35,9 @@ FEATURES = {
 }
 
 
+STATISTICS = ("n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words")
+
+
 @dataclass(frozen=True)
 class Condition:
     """``feature > limit`` if ``above``, else ``feature <= limit``."""
@@ -187,19 +190,23 @@ def text_statistics(docs: DataFrame, text: str = "text") -> DataFrame:
         ),
         lambda acc: acc["n"],
     )
-    return (
+    statistics = F.struct(
+        F.size("_words").cast("long").alias("n_words"),
+        F.length(F.array_join("_words", "")).cast("long").alias("word_chars"),
+        F.regexp_count(body, F.lit(SYMBOLS)).cast("long").alias("n_symbols"),
+        F.size("_lines").cast("long").alias("n_lines"),
+        (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long").alias("n_dup_lines"),
+        F.coalesce(covered, F.lit(0)).cast("long").alias("n_repeat_words"),
+    )
+    made = (
         docs.withColumn("_words", words)
         .withColumn("_lines", lines)
-        .withColumn("n_words", F.size("_words").cast("long"))
-        .withColumn("word_chars", F.length(F.array_join("_words", "")).cast("long"))
-        .withColumn("n_symbols", F.regexp_count(body, F.lit(SYMBOLS)).cast("long"))
-        .withColumn("n_lines", F.size("_lines").cast("long"))
-        .withColumn("n_dup_lines", (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long"))
         .withColumn("_windows", windows)
         .withColumn("_twice", twice)
-        .withColumn("n_repeat_words", F.coalesce(covered, F.lit(0)).cast("long"))
-        .drop("_words", "_lines", "_windows", "_twice")
     )
+    rest = [c for c in docs.columns if c not in STATISTICS]
+    # as a row of its own the struct is made once, however often filters and rules refer to its fields
+    return made.select(*rest, F.inline(F.array(statistics)))
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, id_column: str, text: str, label: str, rows: int) -> list[dict]:
