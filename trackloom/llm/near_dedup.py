@@ -4,16 +4,20 @@
    smallest id; everything else works on classes.
 2. MinHash samples, in bands of rows, give the keys of a class. The samples are also folded into an odd sketch: a
    bitmap in which each sample flips a bit, so that the bits in which two sketches differ estimate how many samples
-   differ. For high similarities that is precise, and a pair far below the threshold is dropped by one XOR.
-3. Within a key every class is compared with the smallest one only (a star, linear in the key's size). Links are
+   differ. For high similarities that is precise, and a pair far below the threshold is dropped by one XOR. A second
+   bitmap is folded from the set itself (from a sample of it by hash, if it is large): as many bits of two such
+   bitmaps differ as shingles do, at most, which tells pairs just below the threshold apart.
+3. Within a key every class is compared with a few leaders only (stars, linear in the key's size). Links are
    confirmed on the full sets.
-4. Where a key still holds classes of more than one component, pairs across components are compared too: pairs
-   inside a component can't change the result, so no bucket's pairs are all formed and no link between components is lost.
+4. Where a key still holds classes of more than one component, pairs across components go on whose sketches are near
+   the threshold, each in the first key that both have. Pairs inside a component can't change the result, so a
+   bucket's pairs are never all formed, and no link between components is lost.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -29,8 +33,13 @@ SHINGLE, PERCENT = 5, 75
 #: A pair at the threshold shares no band with a chance of (1 - 0.75**4)**40 = 2.6e-7.
 BANDS, ROWS = 40, 4
 #: Bits of an odd sketch over BANDS * ROWS samples. A pair is dropped where the estimate is below LEAST_ESTIMATE:
-#: seven standard deviations under the threshold.
-SKETCH_BITS, LEAST_ESTIMATE = 512, 0.5
+#: five standard deviations under the threshold.
+SKETCH_BITS, LEAST_ESTIMATE = 512, 0.57
+#: Bits of the bitmap of a set, which has the shingles of larger sets by 1 in 2, 4, ... only. From a sample, a pair is
+#: dropped beyond six standard deviations.
+SET_BITS, DEVIATIONS = 1024, 6
+#: Classes of a key that all others of it are compared with.
+LEADERS = 5
 
 _draw = np.random.default_rng(20_23)
 _FACTORS = _draw.integers(1 << 62, size=BANDS * ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -85,6 +94,21 @@ def odd_sketches(samples: np.ndarray, bits: int = SKETCH_BITS) -> np.ndarray:
     return np.packbits(odd.reshape(len(samples), bits), axis=1).view(np.uint64)
 
 
+def set_sketches(hashes: np.ndarray, firsts: np.ndarray, bits: int = SET_BITS) -> np.ndarray:
+    """Parity bitmaps of whole sets, or of the shingles that a large set's rate takes."""
+    sizes = np.diff(firsts)
+    doc = np.repeat(np.arange(len(sizes)), sizes)
+    rate = (np.uint64(1) << _halvings(sizes).astype(np.uint64)) - np.uint64(1)
+    taken = (hashes >> np.uint64(40)) & rate[doc] == 0
+    at = doc[taken] * bits + (hashes[taken] % np.uint64(bits)).astype(np.int64)
+    odd = (np.bincount(at, minlength=len(sizes) * bits) & 1).astype(np.uint8)
+    return np.packbits(odd.reshape(len(sizes), bits), axis=1).view(np.uint64)
+
+
+def _halvings(sizes: np.ndarray) -> np.ndarray:
+    return np.ceil(np.log2(np.maximum(sizes / SET_BITS, 1))).astype(np.int64)
+
+
 def most_odd_bits(estimate: float = LEAST_ESTIMATE, samples: int = BANDS * ROWS, bits: int = SKETCH_BITS) -> int:
     """Differing bits at which two sketches stand for a similarity of ``estimate``."""
     return int(bits / 2 * (1 - np.exp(-4 * samples * (1 - estimate) / bits)))
@@ -97,9 +121,11 @@ def _listed(values: np.ndarray) -> pa.Array:
 
 
 def signatures(docs: DataFrame, id_column: str, text: str) -> DataFrame:
-    """``doc_id, n_shingles, set_a, set_b`` (128 bits that stand for the set), ``bands, sketch`` (null for empty sets)."""
+    """``doc_id, n_shingles, set_a, set_b`` (128 bits that stand for the set), ``bands, sketch,
+    halvings, parity`` (arrays are null for empty sets)."""
     kind = docs.schema[id_column].dataType.simpleString()
     schema = f"doc_id {kind}, n_shingles long, set_a long, set_b long, bands array<long>, sketch array<long>"
+    schema += ", halvings int, parity array<long>"
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -118,7 +144,8 @@ def signatures(docs: DataFrame, id_column: str, text: str) -> DataFrame:
                     for i, base in enumerate(("grams", "bytes")):
                         whole[i][full] = signed(range_hashes(hashes, firsts[:-1][full], firsts[1:][full], base))
                 columns = [batch.column(0).slice(first, end - first), *map(pa.array, (sizes, *whole)), bands, sketch]
-                names = ["doc_id", "n_shingles", "set_a", "set_b", "bands", "sketch"]
+                columns += [pa.array(_halvings(sizes), pa.int32()), _listed(set_sketches(hashes, firsts))]
+                names = ["doc_id", "n_shingles", "set_a", "set_b", "bands", "sketch", "halvings", "parity"]
                 yield pa.RecordBatch.from_arrays(columns, names=names)
 
     return docs.select(docs[id_column].alias("doc_id"), docs[text].alias("text")).mapInArrow(task, schema)
@@ -138,16 +165,34 @@ def full_sets(docs: DataFrame, id_column: str, text: str) -> DataFrame:
     return docs.select(docs[id_column], docs[text]).mapInArrow(task, f"id {kind}, shingles array<long>")
 
 
-def _differing(a: Column, b: Column) -> Column:
-    return F.aggregate(F.zip_with(a, b, lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x)
+def _differing(a: Column, b: Column, bits: int) -> Column:
+    """Bits in which two bitmaps differ."""
+    words = (F.bit_count(F.get(a, F.lit(i)).bitwiseXOR(F.get(b, F.lit(i)))) for i in range(bits // 64))
+    return reduce(lambda x, y: x + y, words)
+
+
+def _may_link(a: Callable[[str], Column], b: Callable[[str], Column]) -> Column:
+    """Whether the bitmaps of two classes leave a link possible. ``a`` and ``b`` give a class's columns by name.
+
+    Sets that reach the threshold differ in a bounded share of all their shingles, and so do the bitmaps of sets.
+    """
+    share = (100 - PERCENT) / (100 + PERCENT)
+    most = (a("n_shingles") + b("n_shingles")) * share / F.pow(F.lit(2.0), a("halvings"))
+    most = F.when(a("halvings") > 0, most + DEVIATIONS * F.sqrt(most)).otherwise(most)
+    near = _differing(a("sketch"), b("sketch"), SKETCH_BITS) <= most_odd_bits()
+    return near & ((a("halvings") != b("halvings")) | (_differing(a("parity"), b("parity"), SET_BITS) <= most))
+
 
+SKETCHES = ("n_shingles", "sketch", "halvings", "parity")
 
-def _with_sketches(pairs: DataFrame, sketches: DataFrame) -> DataFrame:
-    """Pairs ``a, b`` whose odd sketches don't rule the threshold out."""
-    first = sketches.select(F.col("rep").alias("_ra"), F.col("sketch").alias("_sa"))
-    second = sketches.select(F.col("rep").alias("_rb"), F.col("sketch").alias("_sb"))
-    joined = pairs.join(first, F.col("a") == F.col("_ra")).join(second, F.col("b") == F.col("_rb"))
-    return joined.where(_differing(F.col("_sa"), F.col("_sb")) <= most_odd_bits()).select("a", "b").distinct()
+
+def _with_sketches(pairs: DataFrame, classes: DataFrame) -> DataFrame:
+    """Pairs ``a, b`` that the bitmaps don't rule out."""
+    first, second = (
+        classes.select(F.col("rep").alias(f"_rep{i}"), *[F.col(c).alias(f"_{c}{i}") for c in SKETCHES]) for i in (1, 2)
+    )
+    joined = pairs.join(first, F.col("a") == F.col("_rep1")).join(second, F.col("b") == F.col("_rep2"))
+    return joined.where(_may_link(lambda c: F.col(f"_{c}1"), lambda c: F.col(f"_{c}2"))).select("a", "b").distinct()
 
 
 def confirmed(pairs: DataFrame, docs: DataFrame, id_column: str, text: str) -> DataFrame:
@@ -180,39 +225,50 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text: str = "tex
         rows.where(F.col("n_shingles") > 0)
         .where(F.col("doc_id").isNotNull())
         .groupBy("set_a", "set_b")
-        .agg(F.min("doc_id").alias("rep"), F.any_value("bands").alias("bands"), F.any_value("sketch").alias("sketch"))
+        .agg(F.min("doc_id").alias("rep"), *[F.any_value(c).alias(c) for c in ("bands", *SKETCHES)])
     )
-    sketches = classes.select("rep", "sketch")
-    keys = classes.select("rep", F.explode("bands").alias("key"))
-    stars = keys.groupBy(F.col("key").alias("_key")).agg(F.min("rep").alias("_lead"), F.count("*").alias("_n"))
-    stars = stars.where("_n > 1")
-    tried = stored(
-        keys.join(stars, F.col("key") == F.col("_key"))
+    keys = classes.select("rep", F.posexplode("bands").alias("band", "key"))
+    # the smallest class by each of a few orders, one of them that of the ids
+    orders = [F.col("rep"), *(F.xxhash64(F.lit(i), "rep") for i in range(1, LEADERS))]
+    leaders = keys.groupBy(F.col("key").alias("_key")).agg(
+        F.count("*").alias("_n"), *(F.min(F.struct(o.alias("o"), "rep"))["rep"].alias(f"_l{i}") for i, o in enumerate(orders))
+    )
+    leaders = leaders.where("_n > 1")
+    stars = (
+        keys.join(leaders, F.col("key") == F.col("_key"))
+        .select("rep", F.explode(F.array_distinct(F.array([f"_l{i}" for i in range(LEADERS)]))).alias("_lead"))
         .where("rep != _lead")
-        .select(F.col("_lead").alias("a"), F.col("rep").alias("b"))
-        .distinct()
     )
-    links = stored(confirmed(stored(_with_sketches(tried, sketches)), docs, id_column, text))
+    tried = stored(stars.select(F.least("rep", "_lead").alias("a"), F.greatest("rep", "_lead").alias("b")).distinct())
+    links = stored(confirmed(stored(_with_sketches(tried, classes)), docs, id_column, text))
     reached = components(links)
 
     # keys that still hold several components: pairs across them
     known = reached.select(F.col("node").alias("_node"), F.col("component").alias("_comp"))
     labelled = (
-        keys.join(stars.where("_n > 2"), F.col("key") == F.col("_key"))
+        keys.join(leaders.where("_n > 2").select("_key"), F.col("key") == F.col("_key"))
         .join(known, F.col("rep") == F.col("_node"), "left")
-        .select("key", "rep", F.coalesce("_comp", "rep").alias("comp"))
+        .select("key", "band", "rep", F.coalesce("_comp", "rep").alias("comp"))
     )
     several = labelled.groupBy("key").agg(F.min("comp").alias("_least"), F.max("comp").alias("_most"))
     several = several.where("_least != _most").select(F.col("key").alias("_open"))
-    opened = stored(labelled.join(several, F.col("key") == F.col("_open"), "left_semi"))
-    other = opened.select(F.col("key").alias("_k"), F.col("rep").alias("b"), F.col("comp").alias("_c"))
-    across = (
-        opened.join(other, (F.col("key") == F.col("_k")) & (F.col("comp") != F.col("_c")) & (F.col("rep") < F.col("b")))
-        .select(F.col("rep").alias("a"), "b")
-        .distinct()
+    members = classes.select(F.col("rep").alias("_rep"), "bands", *SKETCHES)
+    opened = stored(
+        labelled.join(several, F.col("key") == F.col("_open"), "left_semi")
+        .join(members, F.col("rep") == F.col("_rep"))
+        .drop("_rep")
     )
-    fresh = across.join(tried, ["a", "b"], "left_anti")
-    candidates = stored(_with_sketches(fresh, sketches))
+    other = opened.select(*[F.col(c).alias(f"_{c}") for c in opened.columns])
+    first_common = F.array_position(F.zip_with("bands", "_bands", lambda x, y: x == y), True) - 1
+    across = opened.join(
+        other,
+        (F.col("key") == F.col("_key"))
+        & (F.col("rep") < F.col("_rep"))
+        & (F.col("comp") != F.col("_comp"))
+        & _may_link(F.col, lambda c: F.col(f"_{c}"))
+        & (first_common == F.col("band")),
+    ).select(F.col("rep").alias("a"), F.col("_rep").alias("b"))
+    candidates = stored(across.join(tried, ["a", "b"], "left_anti"))
     more = stored(confirmed(candidates, docs, id_column, text))
     reached = components(links.unionByName(more))
 
