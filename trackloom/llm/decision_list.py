@@ -27,14 +27,12 @@ LEAST_PRECISION, LEAST_COVER = 0.95, 5
 
 #: What rules may look at, as shares of a text's words or characters so that its length alone condemns nothing.
 FEATURES = {
-    "symbols_per_word": F.col("n_symbols") / F.greatest("n_words", F.lit(1)),
-    "dup_lines_per_line": F.col("n_dup_lines") / F.greatest("n_lines", F.lit(1)),
-    "repeat_words_per_word": F.col("n_repeat_words") / F.greatest("n_words", F.lit(1)),
-    "chars_per_word": F.col("word_chars") / F.greatest("n_words", F.lit(1)),
-    "words_per_line": F.col("n_words") / F.greatest("n_lines", F.lit(1)),
+    "symbols_per_word": "n_symbols / greatest(n_words, 1)",
+    "dup_lines_per_line": "n_dup_lines / greatest(n_lines, 1)",
+    "repeat_words_per_word": "n_repeat_words / greatest(n_words, 1)",
+    "chars_per_word": "word_chars / greatest(n_words, 1)",
+    "words_per_line": "n_words / greatest(n_lines, 1)",
 }
-
-
 STATISTICS = ("n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words")
 
 
@@ -50,7 +48,7 @@ class Condition:
         return (row[self.feature] > self.limit) == self.above
 
     def column(self) -> Column:
-        value = FEATURES[self.feature]
+        value = F.expr(FEATURES[self.feature])
         return value > self.limit if self.above else value <= self.limit
 
 
@@ -232,7 +230,7 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, id_column: str, text: st
     )
     sample = (
         text_statistics(found, "_text")
-        .select("_id", place.alias("place"), (1 - F.col("_label")).alias("bad"), *[c.alias(f) for f, c in FEATURES.items()])
+        .select("_id", place.alias("place"), (1 - F.col("_label")).alias("bad"), *[F.expr(c).alias(f) for f, c in FEATURES.items()])
         .orderBy("place", "_id")
     )
     return [row.asDict() for row in sample.collect()]
