@@ -71,6 +71,47 @@ def test_rewriting_jobs(data, tmp_path):
     assert J.filter_std(data, include=("v1",))["summary"].first()["kept"] == 1
 
 
+def test_records_are_written_back_as_they_were(spark, tmp_path):
+    """Polygons, flags, unknown keys, a seven-digit frame, an emptied frame, an unreadable shape."""
+    folder = tmp_path / "d" / "v1"
+    folder.mkdir(parents=True)
+    shape = {"label": "p", "points": [[1, 2.5], [9, 2.5], [5, 30.25]], "group_id": 3, "shape_type": "polygon", "flags": {"hard": True}, "note": {"a": [1, None]}}
+    for f in range(1234560, 1234570):
+        run = shape | {"attributes": {"action": "run", "id": 3}}
+        other = {"label": "q", "points": [[0, 0], [4, 4]], "group_id": 4, "attributes": {"action": "hit"}, "occluded": False}
+        broken = {"label": "z", "points": [], "group_id": 9}
+        shapes = [run] if f == 1234562 else [run, other, broken] if f % 2 else [other, run]
+        record = {"version": "5.0", "imagePath": f"img_{f}.png", "imageData": None, "imageWidth": 64, "imageHeight": 48, "extra": {"k": 1.5}, "shapes": shapes}
+        (folder / f"{f}.json").write_text(json.dumps(record))
+    out = tmp_path / "t"
+    for name, table in J.ingest(J.Dataset(spark, str(tmp_path / "d"), from_json=True)).items():
+        table.write.parquet(str(out / name))
+    before = {p.name: json.loads(p.read_text()) for p in folder.iterdir()}
+
+    def written(tables):
+        return {r["path"].rsplit("/", 1)[1]: json.loads(r["value"]) for r in tables["records"].collect()}
+
+    for data in (J.Dataset(spark, str(tmp_path / "d"), from_json=True), J.Dataset(spark, str(out))):
+        clean = written(J.clean_json(data, sigma=50.0, max_len=5))
+        kept = {n: [s for s in r["shapes"] if s.get("group_id") == 4] for n, r in before.items()}
+        assert clean.keys() == before.keys() and clean["1234562.json"]["shapes"] == []
+        for name, record in clean.items():
+            assert record | {"shapes": []} == before[name] | {"shapes": []}
+            assert all(s in before[name]["shapes"] for s in record["shapes"])
+            assert record["shapes"] == kept[name] or record["shapes"] == []
+        (tmp_path / "rm.txt").write_text("v1,4\n")
+        left = written(J.remove_tubes(data, str(tmp_path / "rm.txt")))
+        for name, record in before.items():
+            assert left[name] == record | {"shapes": [s for s in record["shapes"] if s["group_id"] != 4]}
+        (tmp_path / "rm.txt").write_text("v1,3\n")
+        assert "1234562.json" not in written(J.remove_tubes(data, str(tmp_path / "rm.txt")))
+        (tmp_path / "map.csv").write_text("label,label2\nrun,walk\nhit,\n")
+        mapped = written(J.convert_std(data, str(tmp_path / "map.csv")))
+        walk = shape | {"attributes": {"action": "walk", "id": 3}}
+        assert mapped["1234562.json"] == before["1234562.json"] | {"shapes": [walk]}
+        assert walk in mapped["1234563.json"]["shapes"]
+
+
 def test_window_jobs(data, tmp_path):
     (tmp_path / "train.csv").write_text("videos/v1,x\n")
     out = J.split_by_tube_fpswin(data, 4, splits={"train": str(tmp_path / "train.csv")})

@@ -1,4 +1,4 @@
-"""Pairs: the tiled path for crowded frames gives what the plain join gives, and both a loop's result."""
+"""Pairs give a loop's result whatever the size of a block."""
 
 import os
 import random
@@ -49,10 +49,10 @@ def loop_pairs(rows):
     }
 
 
-@pytest.mark.parametrize("crowded,hot,block", [(False, 4096, 4096), (True, 4, 3), (True, 1, 100), (None, 5, 2)])
-def test_frame_pairs(spark, crowded, hot, block):
+@pytest.mark.parametrize("block", [4096, 100, 3, 1])
+def test_frame_pairs(spark, block):
     rows = make(4)
-    pairs = O.frame_pairs(spark.createDataFrame(rows, COLUMNS), crowded=crowded, hot_frame=hot, block=block)
+    pairs = O.frame_pairs(spark.createDataFrame(rows, COLUMNS), block=block)
     got = {(r["frame_idx"], r["a_pos"], r["b_pos"]): r["iou"] for r in pairs.collect()}
     assert pairs.count() == len(got)
     want = loop_pairs(rows)
@@ -60,11 +60,11 @@ def test_frame_pairs(spark, crowded, hot, block):
     assert all(got[k] == pytest.approx(want[k]) and 0 < got[k] <= 1 for k in got)
 
 
-@pytest.mark.parametrize("crowded", [False, True])
-def test_cross_pairs(spark, crowded):
+@pytest.mark.parametrize("block", [4096, 2])
+def test_cross_pairs(spark, block):
     a, b = make(5), make(6)
     left, right = (O.valid_boxes(spark.createDataFrame(r, COLUMNS)) for r in (a, b))
-    pairs = O.cross_pairs(left, right, O.FRAME, crowded=crowded, hot_frame=3, block=2)
+    pairs = O.cross_pairs(left, right, O.FRAME, block=block)
     got = {(r["frame_idx"], r["a_pos"], r["b_pos"]): r["iou"] for r in pairs.collect()}
     want = {
         (x[1], x[2], y[2]): iou(x, y) for x in valid(a) for y in valid(b) if x[1] == y[1] and iou(x, y) > 0
@@ -117,9 +117,9 @@ def test_sudden_changes(spark):
 
 
 def test_one_crowded_frame(spark):
-    """A frame beyond the default limit."""
+    """A frame of more than one block."""
     rng = np.random.default_rng(2)
-    n = O.HOT_FRAME + 500
+    n = O.BLOCK + 500
     x, y = rng.uniform(0, 1800, n), rng.uniform(0, 1000, n)
     corners = zip(x.tolist(), y.tolist())
     rows = [("v", 0, i, "1", "a", a, b, a + 9, b + 7, 1920, 1080) for i, (a, b) in enumerate(corners, 1)]
@@ -127,17 +127,40 @@ def test_one_crowded_frame(spark):
     want = 0
     for i in range(n - 1):
         want += int(((np.abs(x[i + 1 :] - x[i]) < 9) & (np.abs(y[i + 1 :] - y[i]) < 7)).sum())
-    assert O.is_crowded(boxes)
     pairs = O.frame_pairs(boxes, (), block=64)
     assert pairs.count() == want == pairs.select("a_pos", "b_pos").distinct().count()
 
 
-def test_hot_frames_are_numbered_alike(spark, monkeypatch):
+def test_chunks_are_numbered_alike(spark, monkeypatch):
     from trackloom.plans import fixtures
 
     folder = "/root/testdata/sf0.001"
     if not os.path.isdir(folder):
         pytest.skip("no test data")
     plain = sorted(map(tuple, fixtures.Views(spark, folder).boxes().collect()))
-    monkeypatch.setattr(fixtures, "HOT_ROWS", 1)
+    monkeypatch.setattr(fixtures, "CHUNK_LINES", 2)
     assert sorted(map(tuple, fixtures.Views(spark, folder).boxes().collect())) == plain
+
+
+def test_no_job_runs_while_queries_are_built(spark):
+    from trackloom.plans import registry
+
+    folder = "/root/testdata/sf0.001"
+    if not os.path.isdir(folder):
+        pytest.skip("no test data")
+    names = "pair_iou overlap_by_action iou_summary xds_summary tubes_annotated tubes_auto bbox_quantiles frame_records".split()
+    before = set(spark.sparkContext.statusTracker().getJobIdsForGroup(None))
+    spark.read.parquet(*[f"{folder}/{t}.parquet" for t in ("lineitem",)])
+    built = registry.queries()
+    schema_jobs = len(set(spark.sparkContext.statusTracker().getJobIdsForGroup(None)) - before)
+    for name in names:
+        start = set(spark.sparkContext.statusTracker().getJobIdsForGroup(None))
+        built[name](spark, folder)
+        fresh = set(spark.sparkContext.statusTracker().getJobIdsForGroup(None)) - start
+        tasks = [
+            spark.sparkContext.statusTracker().getStageInfo(s).numTasks
+            for j in fresh
+            for s in spark.sparkContext.statusTracker().getJobInfo(j).stageIds
+        ]
+        assert all(n <= 1 for n in tasks), name  # reading a footer is one task
+    assert schema_jobs <= 1

@@ -5,7 +5,7 @@ import os
 import pytest
 
 from trackloom.plans import registry
-from trackloom.plans.check import compare, connect
+from comparison import compare, connect
 
 SF = os.environ.get("TRACKLOOM_SF", "/root/testdata/sf0.001")
 CORE = (

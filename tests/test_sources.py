@@ -82,9 +82,10 @@ def test_raw_keeps_every_key(spark, dataset):
 
 def test_records_round_trip(spark, dataset, tmp_path):
     boxes = L.read_boxes(spark, str(dataset)).where("x1 IS NOT NULL AND x1 < x2 AND frame_idx = 3")
-    L.write_records(L.frame_records(boxes, per_record=1), str(tmp_path / "out"))
+    L.write_records(L.frame_records(boxes), str(tmp_path / "out"))
     back = spark.read.json(str(tmp_path / "out"))
-    assert back.count() == 2 and set(back.columns) >= {"video_id", "shapes", "imagePath"}
+    assert back.count() == 1 and set(back.columns) >= {"video_id", "shapes", "imagePath"}
+    assert len(back.first()["shapes"]) == boxes.count() == 2
 
 
 def test_folders_and_images(spark, dataset):

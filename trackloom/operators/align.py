@@ -82,25 +82,25 @@ def both_sides(ms: DataFrame, sh: DataFrame) -> DataFrame:
     return a.join(b, STEP)
 
 
-def step_pairs(ms: DataFrame, sh: DataFrame, crowded: bool | None = None) -> DataFrame:
+def step_pairs(ms: DataFrame, sh: DataFrame) -> DataFrame:
     """Pairs of boxes of the two sides with IoU > 0; side a is ms, side b is sh."""
-    return cross_pairs(ms, sh, STEP, crowded=crowded)
+    return cross_pairs(ms, sh, STEP)
 
 
-def histogram(ms: DataFrame, sh: DataFrame, crowded: bool | None = None) -> DataFrame:
+def histogram(ms: DataFrame, sh: DataFrame) -> DataFrame:
     """Ten IoU bins over all cross pairs."""
     total = both_sides(ms, sh).agg(
         F.coalesce(F.sum(F.col("ms_boxes") * F.col("sh_boxes")), F.lit(0)).alias("n")
     )
-    return bin_counts(step_pairs(ms, sh, crowded), total)
+    return bin_counts(step_pairs(ms, sh), total)
 
 
-def best_matches(ms: DataFrame, sh: DataFrame, crowded: bool | None = None) -> DataFrame:
+def best_matches(ms: DataFrame, sh: DataFrame) -> DataFrame:
     """Best IoU of every box towards the other side, 0 without a match.
 
     Only steps where both sides have boxes count. Columns: video_id, t, side, pos, best.
     """
-    pairs = step_pairs(ms, sh, crowded)
+    pairs = step_pairs(ms, sh)
     steps = both_sides(ms, sh).select(*STEP)
 
     def side(boxes: DataFrame, name: str, pos: str) -> DataFrame:
@@ -130,11 +130,11 @@ def match_summary(best: DataFrame, keys: list[str], thresholds=(0.5, 0.75)) -> D
 
 
 def action_pairs(
-    ms: DataFrame, sh: DataFrame, threshold: float = 0.5, crowded: bool | None = None
+    ms: DataFrame, sh: DataFrame, threshold: float = 0.5
 ) -> DataFrame:
     """Pairs above the threshold by (sh action, ms action)."""
     return (
-        step_pairs(ms, sh, crowded)
+        step_pairs(ms, sh)
         .where(F.col("iou") > threshold)
         .groupBy(F.col("b_action").alias("sh_action"), F.col("a_action").alias("ms_action"))
         .agg(F.count(F.lit(1)).alias("count"))
@@ -173,17 +173,17 @@ def action_pair_ids(
 
 
 def pairs_over(
-    ms: DataFrame, sh: DataFrame, threshold: float, crowded: bool | None = None
+    ms: DataFrame, sh: DataFrame, threshold: float
 ) -> DataFrame:
     """Every pair above the threshold, one row each."""
-    return step_pairs(ms, sh, crowded).where(F.col("iou") > threshold)
+    return step_pairs(ms, sh).where(F.col("iou") > threshold)
 
 
 def first_high(
-    ms: DataFrame, sh: DataFrame, threshold: float = 0.9, crowded: bool | None = None
+    ms: DataFrame, sh: DataFrame, threshold: float = 0.9
 ) -> DataFrame:
     """Pairs of the first step per video that has any IoU at or above the threshold."""
-    high = step_pairs(ms, sh, crowded).where(F.col("iou") >= threshold)
+    high = step_pairs(ms, sh).where(F.col("iou") >= threshold)
     first = high.groupBy("video_id").agg(F.min("t").alias("t"))
     return high.join(first, STEP, "left_semi")
 

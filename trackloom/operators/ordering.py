@@ -15,8 +15,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 CHUNK_FRAMES = 1024
-# A frame with more boxes than this is split over tasks.
-HOT_FRAME = 4096
 
 
 def _cut(df: DataFrame, keys: list[str], chunk: Column) -> DataFrame:
@@ -65,21 +63,6 @@ def row_numbers(
     return local.join(offsets, part).select(*columns)
 
 
-def largest_group(df: DataFrame, keys: list[str]) -> int:
-    """Rows of the largest key; one job that counts on the map side."""
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-    return counts.agg(F.max("n")).first()[0] or 0
-
-
-def is_crowded(boxes: DataFrame, hot_frame: int = HOT_FRAME) -> bool:
-    """Whether any frame holds more boxes than one task should pair.
-
-    Positions in a frame run from 1, so only such a frame has boxes beyond this position; on
-    stored boxes the test is a pushed-down filter.
-    """
-    return not boxes.where(F.col("pos") > hot_frame).select("pos").isEmpty()
-
-
 def label_runs(
     df: DataFrame,
     keys: list[str],

@@ -1,8 +1,8 @@
 """Same-frame and cross-dataset box overlaps.
 
 Only pairs that share area are built; pairs without overlap are counted by arithmetic. Boxes of
-ordinary frames meet in one equi-join on the frame. A frame with more boxes than a task should
-pair is cut into tiles, and a crowded tile into blocks, so no task holds the whole frame.
+a frame are dealt to blocks of bounded size and meet block by block in one equi-join; an ordinary
+frame is one block, so no task holds a crowded frame.
 """
 
 from __future__ import annotations
@@ -12,12 +12,10 @@ from pyspark.sql import functions as F
 
 from trackloom.functions.fields import UNKNOWN
 from trackloom.functions.geometry import intersects, iou, is_valid_box
-from trackloom.operators.ordering import HOT_FRAME, is_crowded
 from trackloom.operators.quantiles import five_numbers
 
 FRAME = ["video_id", "frame_idx"]
 BOX = ["x1", "y1", "x2", "y2"]
-TILE_PX = 64.0
 BLOCK = 4096
 THRESHOLDS = (0.1, 0.3, 0.5)
 
@@ -32,16 +30,6 @@ def _side(df: DataFrame, prefix: str, keys: list[str], columns: list[str]) -> Da
     return df.select(*keys, *[F.col(c).alias(f"{prefix}{c}") for c in columns])
 
 
-def _tiles(df: DataFrame, prefix: str) -> DataFrame:
-    """One row per tile that the box touches."""
-
-    def span(axis: str) -> Column:
-        low, high = F.col(f"{prefix}{axis}1"), F.col(f"{prefix}{axis}2")
-        return F.explode(F.sequence(F.floor(low / TILE_PX), F.floor(high / TILE_PX)))
-
-    return df.withColumn("tile_x", span("x")).withColumn("tile_y", span("y"))
-
-
 def _blocked_join(left: DataFrame, right: DataFrame, keys: list[str], block: int) -> DataFrame:
     """Join on ``keys`` where a large group is split into (block of left, block of right) cells."""
     sizes = (
@@ -67,53 +55,24 @@ def _blocked_join(left: DataFrame, right: DataFrame, keys: list[str], block: int
     )
 
 
-def _hot_pairs(a: DataFrame, b: DataFrame, keys: list[str], block: int) -> DataFrame:
-    """Overlapping pairs of crowded frames, each kept only in the tile of its common corner."""
-
-    def in_tile(axis: str) -> Column:
-        corner = F.greatest(F.col(f"a_{axis}1"), F.col(f"b_{axis}1"))
-        return F.floor(corner / TILE_PX) == F.col(f"tile_{axis}")
-
-    pairs = _blocked_join(_tiles(a, "a_"), _tiles(b, "b_"), [*keys, "tile_x", "tile_y"], block)
-    return pairs.where(in_tile("x") & in_tile("y")).drop("tile_x", "tile_y")
-
-
-def _overlaps(
-    a: DataFrame, b: DataFrame, keys: list[str], same_side: bool, crowded: bool, hot_frame: int, block: int
-) -> DataFrame:
+def _overlaps(a: DataFrame, b: DataFrame, keys: list[str], same_side: bool, block: int) -> DataFrame:
     """Pairs with a positive common area; sides carry prefixes ``a_`` and ``b_``."""
     meet = intersects("a_", "b_")
     if same_side:
         meet = meet & (F.col("a_pos") < F.col("b_pos"))
-    if not crowded:
-        return a.join(b, keys).where(meet).withColumn("iou", iou("a_", "b_"))
-    hot = (
-        a.where(F.col("a_pos") > hot_frame)
-        .select(*keys)
-        .unionByName(b.where(F.col("b_pos") > hot_frame).select(*keys))
-        .distinct()
-    )
-    plain = a.join(hot, keys, "left_anti").join(b, keys).where(meet)
-    tiled = _hot_pairs(
-        a.join(hot, keys, "left_semi"), b.join(hot, keys, "left_semi"), keys, block
-    ).where(meet)
-    return plain.unionByName(tiled).withColumn("iou", iou("a_", "b_"))
+    return _blocked_join(a, b, keys, block).where(meet).withColumn("iou", iou("a_", "b_"))
 
 
 def frame_pairs(
     boxes: DataFrame,
     columns: tuple[str, ...] = ("action",),
-    crowded: bool | None = None,
-    hot_frame: int = HOT_FRAME,
     block: int = BLOCK,
 ) -> DataFrame:
     """Pairs of valid boxes of one frame with IoU > 0: keys, a_*, b_*, iou (a_pos < b_pos)."""
-    if crowded is None:
-        crowded = is_crowded(boxes, hot_frame)
     valid = valid_boxes(boxes)
     names = ["pos", *columns, *BOX]
     sides = [_side(valid, p, FRAME, names) for p in ("a_", "b_")]
-    return _overlaps(*sides, FRAME, True, crowded, hot_frame, block)
+    return _overlaps(*sides, FRAME, True, block)
 
 
 def cross_pairs(
@@ -121,17 +80,11 @@ def cross_pairs(
     b: DataFrame,
     keys: list[str],
     columns: tuple[str, ...] = ("action",),
-    crowded: bool | None = None,
-    hot_frame: int = HOT_FRAME,
     block: int = BLOCK,
 ) -> DataFrame:
     """Pairs of boxes of two datasets that share ``keys``, with IoU > 0."""
-    if crowded is None:
-        crowded = is_crowded(a, hot_frame) or is_crowded(b, hot_frame)
     names = ["pos", *columns, *BOX]
-    return _overlaps(
-        _side(a, "a_", keys, names), _side(b, "b_", keys, names), keys, False, crowded, hot_frame, block
-    )
+    return _overlaps(_side(a, "a_", keys, names), _side(b, "b_", keys, names), keys, False, block)
 
 
 def frame_counts(boxes: DataFrame) -> DataFrame:
@@ -145,7 +98,7 @@ def frame_counts(boxes: DataFrame) -> DataFrame:
     )
 
 
-def totals(boxes: DataFrame, crowded: bool | None = None) -> DataFrame:
+def totals(boxes: DataFrame) -> DataFrame:
     """Frames with boxes, frames with an overlap, boxes and pairs."""
     counts = frame_counts(boxes).agg(
         F.count(F.lit(1)).alias("frames_with_boxes"),
@@ -153,7 +106,7 @@ def totals(boxes: DataFrame, crowded: bool | None = None) -> DataFrame:
         F.coalesce(F.sum("n_pairs"), F.lit(0)).alias("total_pairs"),
     )
     overlapping = (
-        frame_pairs(boxes, (), crowded)
+        frame_pairs(boxes, ())
         .select(*FRAME)
         .distinct()
         .agg(F.count(F.lit(1)).alias("frames_with_overlaps"))
@@ -188,11 +141,11 @@ def _by_threshold(wide: DataFrame, thresholds: tuple[float, ...]) -> DataFrame:
 
 
 def counts_by_threshold(
-    boxes: DataFrame, thresholds=THRESHOLDS, crowded: bool | None = None
+    boxes: DataFrame, thresholds=THRESHOLDS
 ) -> DataFrame:
     """All pairs with IoU at or above each threshold."""
     counts = [F.count_if(F.col("iou") >= t).alias(f"_n{i}") for i, t in enumerate(thresholds)]
-    wide = frame_pairs(boxes, (), crowded).agg(*counts)
+    wide = frame_pairs(boxes, ()).agg(*counts)
     rows = F.array(
         *[
             F.struct(F.lit(float(t)).alias("threshold"), F.col(f"_n{i}").alias("pairs"))
@@ -202,22 +155,22 @@ def counts_by_threshold(
     return wide.select(F.inline(rows))
 
 
-def same_action(boxes: DataFrame, thresholds=THRESHOLDS, crowded: bool | None = None) -> DataFrame:
+def same_action(boxes: DataFrame, thresholds=THRESHOLDS) -> DataFrame:
     """Per threshold and action: pairs of equal action, and frames that hold one."""
-    equal = frame_pairs(boxes, crowded=crowded).where(F.col("a_action") == F.col("b_action"))
+    equal = frame_pairs(boxes).where(F.col("a_action") == F.col("b_action"))
     per_frame = _reached(equal, thresholds, [F.col("a_action").alias("action"), *FRAME])
     return per_frame.groupBy("threshold", "action").agg(
         F.sum("n").alias("pairs"), F.count(F.lit(1)).alias("frames")
     )
 
 
-def action_pairs(boxes: DataFrame, thresholds=THRESHOLDS, crowded: bool | None = None) -> DataFrame:
+def action_pairs(boxes: DataFrame, thresholds=THRESHOLDS) -> DataFrame:
     """Per threshold and unordered pair of actions: pairs."""
     keys = [
         F.least("a_action", "b_action").alias("action_a"),
         F.greatest("a_action", "b_action").alias("action_b"),
     ]
-    return _reached(frame_pairs(boxes, crowded=crowded), thresholds, keys).withColumnRenamed(
+    return _reached(frame_pairs(boxes), thresholds, keys).withColumnRenamed(
         "n", "pairs"
     )
 
@@ -239,14 +192,14 @@ def bin_counts(pairs: DataFrame, total: DataFrame) -> DataFrame:
     )
 
 
-def iou_histogram(boxes: DataFrame, crowded: bool | None = None) -> DataFrame:
+def iou_histogram(boxes: DataFrame) -> DataFrame:
     total = frame_counts(boxes).agg(F.coalesce(F.sum("n_pairs"), F.lit(0)).alias("n"))
-    return bin_counts(frame_pairs(boxes, (), crowded), total)
+    return bin_counts(frame_pairs(boxes, ()), total)
 
 
-def iou_summary(boxes: DataFrame, crowded: bool | None = None) -> DataFrame:
+def iou_summary(boxes: DataFrame) -> DataFrame:
     """Five-number summary of IoU over all pairs, the ones without overlap included as zeros."""
-    met = frame_pairs(boxes, (), crowded).groupBy("iou").agg(F.count(F.lit(1)).alias("w"))
+    met = frame_pairs(boxes, ()).groupBy("iou").agg(F.count(F.lit(1)).alias("w"))
     total = frame_counts(boxes).agg(F.coalesce(F.sum("n_pairs"), F.lit(0)).alias("n"))
     positive = met.agg(F.coalesce(F.sum("w"), F.lit(0))).scalar()
     zeros = total.select(F.lit(0.0).alias("iou"), (F.col("n") - positive).alias("w"))
@@ -256,14 +209,14 @@ def iou_summary(boxes: DataFrame, crowded: bool | None = None) -> DataFrame:
 
 
 def degree_histogram(
-    boxes: DataFrame, thresholds=THRESHOLDS, crowded: bool | None = None
+    boxes: DataFrame, thresholds=THRESHOLDS
 ) -> DataFrame:
     """Boxes by number of partners at each threshold.
 
     ``degree`` is the true number; ``degree_ref`` is one less, as the copied rule subtracts the
     box itself although it was never counted. Isolated boxes have no ``degree_ref``.
     """
-    ends = frame_pairs(boxes, (), crowded).select(
+    ends = frame_pairs(boxes, ()).select(
         *FRAME, "iou", F.explode(F.array("a_pos", "b_pos")).alias("pos")
     )
     per_box = _reached(ends, thresholds, [*FRAME, "pos"]).withColumnRenamed("n", "degree")
@@ -287,9 +240,9 @@ def degree_histogram(
     )
 
 
-def frame_maxima(boxes: DataFrame, crowded: bool | None = None) -> DataFrame:
+def frame_maxima(boxes: DataFrame) -> DataFrame:
     """Largest IoU per frame that has valid boxes; 0 where nothing overlaps."""
-    best = frame_pairs(boxes, (), crowded).groupBy(*FRAME).agg(F.max("iou").alias("max_iou"))
+    best = frame_pairs(boxes, ()).groupBy(*FRAME).agg(F.max("iou").alias("max_iou"))
     return (
         frame_counts(boxes)
         .join(best, FRAME, "left")

@@ -5,11 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from trackloom.functions.fields import stride_rule
+from trackloom.functions.fields import pad_number, stride_rule
 from trackloom.operators.ordering import (
     distinct_diffs,
     first_per_group,
-    is_crowded,
     label_runs,
     row_numbers,
 )
@@ -136,29 +135,15 @@ def tube_segments(
     )
 
 
-def annotated_rows(boxes: DataFrame, frames: DataFrame, crowded: bool | None = None) -> DataFrame:
+def annotated_rows(boxes: DataFrame, frames: DataFrame) -> DataFrame:
     """Every usable box in a frame that has an image, with the segment it belongs to.
 
     Adds ``run_no`` (0-based per tube key), ``stride`` and ``start_f``. The stride is the mode
-    over frames that have both an image and a usable box, else 1. When a frame may hold very
-    many boxes (``crowded``, looked up when not given) they are numbered inside their frame in
-    chunks, on top of runs over distinct frames; otherwise the boxes themselves are walked.
+    over frames that have both an image and a usable box, else 1. Runs are walked over distinct
+    frames; copies of a key in one frame are numbered in chunks.
     """
     manifest = frames.select("video_id", "frame_idx").distinct()
     usable = in_tube(boxes).join(manifest, ["video_id", "frame_idx"], "left_semi")
-    if crowded is None:
-        crowded = is_crowded(boxes)
-    if not crowded:
-        stepped = _with_stride(usable, usable, "annotated")
-        runs = label_runs(
-            stepped,
-            KEY,
-            "frame_idx",
-            lambda prev, cur: cur - prev != F.col("stride"),
-            constants=("stride",),
-            then=("pos",),
-        )
-        return runs.withColumnRenamed("head", "start_f").drop("prev", "brk", "tail")
     runs = tube_runs(usable, "annotated").select(
         *KEY, "frame_idx", "copies", "pos_first", "pos_last", "stride", "head", "tail", "run_no"
     )
@@ -323,9 +308,3 @@ def segment_name() -> Column:
         F.lit("__seg"),
         pad_number(F.col("run_no"), 2),
     )
-
-
-def pad_number(number: Column, width: int) -> Column:
-    """Zero-padded number; longer numbers are kept whole."""
-    text = number.cast("string")
-    return F.when(F.length(text) >= width, text).otherwise(F.lpad(text, width, "0"))

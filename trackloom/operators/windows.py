@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from trackloom.functions.fields import stem
+from trackloom.functions.fields import pad_number, stem
 from trackloom.functions.geometry import clamp
 from trackloom.operators.ordering import first_per_group, row_numbers
-from trackloom.operators.tubes import SEGMENT, pad_number, reference_boxes, segment_name
+from trackloom.operators.tubes import SEGMENT, reference_boxes, segment_name
 
 WINDOW = [*SEGMENT, "win_no"]
 

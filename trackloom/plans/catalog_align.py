@@ -45,7 +45,6 @@ class Pair:
         self.run = A.common_run(self.alignment, v.bare_boxes(), self.b)
         self.ms = A.run_boxes(self.run, self.a, "ms")
         self.sh = A.run_boxes(self.run, self.b, "sh")
-        self.crowded = v.crowded
 
 
 def summary_sql(keys: str) -> str:
@@ -62,38 +61,38 @@ def summary_sql(keys: str) -> str:
 
 def _over(v: Views):
     p = Pair(v)
-    return A.pairs_over(p.ms, p.sh, 0.5, p.crowded).select(
+    return A.pairs_over(p.ms, p.sh, 0.5).select(
         *A.STEP, "a_pos", "b_pos", "a_action", "b_action", F.round("iou", 6).alias("iou")
     )
 
 
 def _pairs(v: Views):
     p = Pair(v)
-    return A.step_pairs(p.ms, p.sh, p.crowded).select(
+    return A.step_pairs(p.ms, p.sh).select(
         *A.STEP, "a_pos", "b_pos", F.round("iou", 6).alias("iou")
     )
 
 
 def _best(v: Views):
     p = Pair(v)
-    return A.best_matches(p.ms, p.sh, p.crowded)
+    return A.best_matches(p.ms, p.sh)
 
 
 def _first_high(v: Views):
     p = Pair(v)
-    return A.first_high(p.ms, p.sh, 0.9, p.crowded).select(
+    return A.first_high(p.ms, p.sh, 0.9).select(
         *A.STEP, "a_pos", "b_pos", F.round("iou", 6).alias("iou")
     )
 
 
 def _hist(v: Views):
     p = Pair(v)
-    return A.histogram(p.ms, p.sh, p.crowded)
+    return A.histogram(p.ms, p.sh)
 
 
 def _actions(v: Views):
     p = Pair(v)
-    return A.action_pairs(p.ms, p.sh, 0.5, p.crowded)
+    return A.action_pairs(p.ms, p.sh, 0.5)
 
 
 def _action_ids(v: Views):

@@ -42,7 +42,7 @@ def summary_sql(value: str, name: str, digits: int = 6) -> str:
 
 
 def _pair_iou(v: Views):
-    return O.frame_pairs(v.boxes(), crowded=v.crowded).select(
+    return O.frame_pairs(v.boxes()).select(
         *O.FRAME, "a_pos", "b_pos", "a_action", "b_action", F.round("iou", 6).alias("iou")
     )
 
@@ -69,41 +69,41 @@ QUERIES = {
         + " SELECT video_id, frame_idx, a_pos, b_pos, a_action, b_action, round(iou, 6) AS iou FROM all_pairs WHERE iou > 0",
     ),
     "overlap_basic": (
-        lambda v: O.totals(v.boxes(), crowded=v.crowded),
+        lambda v: O.totals(v.boxes()),
         PAIRS
         + """ SELECT (SELECT count(*) FROM (SELECT DISTINCT video_id, frame_idx FROM valid)) AS frames_with_boxes,
  (SELECT count(*) FROM (SELECT DISTINCT video_id, frame_idx FROM all_pairs WHERE iou > 0)) AS frames_with_overlaps,
  (SELECT count(*) FROM valid) AS total_boxes, (SELECT count(*) FROM all_pairs) AS total_pairs""",
     ),
     "overlap_counts": (
-        lambda v: O.counts_by_threshold(v.boxes(), crowded=v.crowded),
+        lambda v: O.counts_by_threshold(v.boxes()),
         PAIRS
         + " SELECT threshold, (SELECT count(*) FROM all_pairs WHERE iou >= threshold) AS pairs FROM th",
     ),
     "overlap_by_action": (
-        lambda v: O.same_action(v.boxes(), crowded=v.crowded),
+        lambda v: O.same_action(v.boxes()),
         PAIRS
         + """ SELECT threshold, a_action AS action, count(*) AS pairs, count(DISTINCT (video_id, frame_idx)) AS frames
  FROM all_pairs JOIN th ON iou >= threshold WHERE a_action = b_action GROUP BY ALL""",
     ),
     "overlap_action_pairs": (
-        lambda v: O.action_pairs(v.boxes(), crowded=v.crowded),
+        lambda v: O.action_pairs(v.boxes()),
         PAIRS
         + """ SELECT threshold, least(a_action, b_action) AS action_a, greatest(a_action, b_action) AS action_b, count(*) AS pairs
  FROM all_pairs JOIN th ON iou >= threshold GROUP BY ALL""",
     ),
     "iou_hist": (
-        lambda v: O.iou_histogram(v.boxes(), crowded=v.crowded),
+        lambda v: O.iou_histogram(v.boxes()),
         PAIRS
         + """ SELECT bin::INT AS bin, count(iou) AS pairs FROM range(10) r(bin)
  LEFT JOIN all_pairs ON least(9, floor(iou * 10)) = bin GROUP BY 1""",
     ),
     "iou_summary": (
-        lambda v: O.iou_summary(v.boxes(), crowded=v.crowded),
+        lambda v: O.iou_summary(v.boxes()),
         PAIRS + f" SELECT {summary_sql('iou', 'iou')} FROM all_pairs",
     ),
     "overlap_degree": (
-        lambda v: O.degree_histogram(v.boxes(), crowded=v.crowded),
+        lambda v: O.degree_histogram(v.boxes()),
         PAIRS
         + """, n AS (SELECT video_id, frame_idx FROM valid GROUP BY ALL HAVING count(*) >= 2),
  box AS (SELECT threshold, valid.video_id, valid.frame_idx, valid.pos FROM valid JOIN n USING (video_id, frame_idx), th),
@@ -113,13 +113,13 @@ QUERIES = {
  SELECT threshold, degree, CASE WHEN degree > 0 THEN degree - 1 END AS degree_ref, count(*) AS boxes FROM deg GROUP BY ALL""",
     ),
     "frame_max_iou": (
-        lambda v: O.frame_maxima(v.boxes(), crowded=v.crowded).withColumn("max_iou", F.round("max_iou", 6)),
+        lambda v: O.frame_maxima(v.boxes()).withColumn("max_iou", F.round("max_iou", 6)),
         PAIRS
         + """ SELECT v.video_id, v.frame_idx, round(coalesce(max(iou), 0.0), 6) AS max_iou
  FROM (SELECT DISTINCT video_id, frame_idx FROM valid) v LEFT JOIN all_pairs USING (video_id, frame_idx) GROUP BY ALL""",
     ),
     "frame_max_summary": (
-        lambda v: five_numbers(O.frame_maxima(v.boxes(), crowded=v.crowded), [], {"max_iou": F.col("max_iou")}),
+        lambda v: five_numbers(O.frame_maxima(v.boxes()), [], {"max_iou": F.col("max_iou")}),
         PAIRS
         + f""", m AS (SELECT coalesce(max(iou), 0.0) AS v
  FROM (SELECT DISTINCT video_id, frame_idx FROM valid) v LEFT JOIN all_pairs USING (video_id, frame_idx)

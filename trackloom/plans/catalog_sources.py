@@ -7,6 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from trackloom.functions.fields import pad_number
 from trackloom.operators import align as A
 from trackloom.operators import datasets as D
 from trackloom.operators import profile as P
@@ -21,7 +22,7 @@ from trackloom.sources import labelme as L
 from trackloom.sources import sinks as K
 from trackloom.sources import tables as R
 
-PADDED = "lpad(CAST(frame_idx AS VARCHAR), 6, '0')"
+PADDED = "printf('%06d', frame_idx)"
 
 
 def record_texts(v: Views):
@@ -31,7 +32,7 @@ def record_texts(v: Views):
         F.lit("/data/videos/"),
         F.col("video_id"),
         F.lit("/"),
-        F.lpad(F.col("frame_idx").cast("string"), 6, "0"),
+        pad_number(F.col("frame_idx"), 6),
         F.lit(".json"),
     )
     text = F.to_json(F.struct("imagePath", "imageWidth", "imageHeight", "shapes"))
@@ -86,8 +87,8 @@ def _images(v: Views):
     n = F.col("frame_idx")
     name = (
         F.when(n % 3 == 0, F.col("image_name"))
-        .when(n % 3 == 1, F.concat(F.lit("img_"), F.lpad(n.cast("string"), 5, "0"), F.lit(".JPG")))
-        .otherwise(F.concat(F.lit("x"), F.lpad(n.cast("string"), 6, "0"), F.lit("_a.jpeg")))
+        .when(n % 3 == 1, F.concat(F.lit("img_"), pad_number(n, 5), F.lit(".JPG")))
+        .otherwise(F.concat(F.lit("x"), pad_number(n, 6), F.lit("_a.jpeg")))
     )
     return v.frames().select("video_id", "frame_idx", name.alias("image_name"))
 
@@ -101,12 +102,12 @@ def _find(v: Views):
 def _records(v: Views):
     """Records whose image path is right, stale or blank."""
     n = F.col("frame_idx")
-    path = F.when(n % 4 == 0, F.concat(F.lpad(n.cast("string"), 6, "0"), F.lit(".jpg"))).when(
+    path = F.when(n % 4 == 0, F.concat(pad_number(n, 6), F.lit(".jpg"))).when(
         n % 4 == 1, F.lit("gone.jpg")
     ).otherwise(F.lit(""))
     return v.bare_boxes().select("video_id", "frame_idx").distinct().select(
         "video_id",
-        F.concat(F.lpad(n.cast("string"), 6, "0"), F.lit(".json")).alias("record_name"),
+        F.concat(pad_number(n, 6), F.lit(".json")).alias("record_name"),
         path.alias("image_path"),
     )
 
@@ -185,7 +186,7 @@ def _interaction_texts(v: Views):
 
     rows = v.table("lineitem").select(
         F.concat(F.lit("v"), F.col("l_orderkey").cast("string")).alias("video_id"),
-        F.lpad(F.col("l_linenumber").cast("string"), 4, "0").alias("frame_id"),
+        pad_number(F.col("l_linenumber"), 4).alias("frame_id"),
         *[
             F.when(F.col("l_linenumber") == 7, F.lit("bad")).otherwise(F.col("l_tax").cast("string")).alias(c)
             for c in schema.INTERACTION_COLUMNS[2:10]
@@ -201,7 +202,7 @@ def _interaction_texts(v: Views):
 
 def _pair_texts(v: Views):
     p = Pair(v)
-    texts = K.pair_records(A.pairs_over(p.ms, p.sh, 0.5, p.crowded), 0.5)
+    texts = K.pair_records(A.pairs_over(p.ms, p.sh, 0.5), 0.5)
     back = F.from_json("value", "ms_action string, sh_action string, iou double, ms_box array<double>, threshold double")
     return texts.withColumn("_r", back).select(
         "video_id",
@@ -258,10 +259,10 @@ QUERIES = {
     ),
     "frame_records": (
         lambda v: L.frame_records(v.boxes()).select(
-            "video_id", "frame_idx", "part", "imagePath", F.size("shapes").cast("bigint").alias("n_shapes")
+            "video_id", "frame_idx", "imagePath", F.size("shapes").cast("bigint").alias("n_shapes")
         ),
         ctes("fx_boxes")
-        + f" SELECT video_id, frame_idx, 0 AS part, concat({PADDED}, '.jpg') AS imagePath, count(*) AS n_shapes FROM fx_boxes GROUP BY ALL",
+        + f" SELECT video_id, frame_idx, concat({PADDED}, '.jpg') AS imagePath, count(*) AS n_shapes FROM fx_boxes GROUP BY ALL",
     ),
     "list_samples": (
         lambda v: S.list_samples(_paths(v)),
@@ -298,7 +299,7 @@ QUERIES = {
     "frames_index": (
         _index,
         ctes("fx_boxes", "fx_frames")
-        + f""" SELECT f.video_id, f.frame_idx, f.image_name, CASE WHEN b.frame_idx IS NULL THEN concat(lpad(f.frame_idx::VARCHAR, 6, '0'), '.json') ELSE concat('r', f.frame_idx, '.json') END AS record_name,
+        + f""" SELECT f.video_id, f.frame_idx, f.image_name, CASE WHEN b.frame_idx IS NULL THEN concat(printf('%06d', f.frame_idx), '.json') ELSE concat('r', f.frame_idx, '.json') END AS record_name,
  b.frame_idx IS NOT NULL AS has_record FROM fx_frames f LEFT JOIN (SELECT DISTINCT video_id, frame_idx FROM fx_boxes) b USING (video_id, frame_idx)""",
     ),
     "pair_images": (
@@ -311,8 +312,8 @@ QUERIES = {
         _find,
         ctes("fx_interactions", "fx_frames")
         + """, w AS (SELECT DISTINCT video_id, frame_id, frame_id::BIGINT AS n FROM fx_interactions),
- i AS (SELECT video_id, frame_idx, CASE frame_idx % 3 WHEN 0 THEN image_name WHEN 1 THEN concat('img_', lpad(frame_idx::VARCHAR, 5, '0'), '.JPG')
- ELSE concat('x', lpad(frame_idx::VARCHAR, 6, '0'), '_a.jpeg') END AS name FROM fx_frames),
+ i AS (SELECT video_id, frame_idx, CASE frame_idx % 3 WHEN 0 THEN image_name WHEN 1 THEN concat('img_', printf('%05d', frame_idx), '.JPG')
+ ELSE concat('x', printf('%06d', frame_idx), '_a.jpeg') END AS name FROM fx_frames),
  e AS (SELECT w.video_id, w.frame_id, min(name) AS name FROM w JOIN i ON i.video_id = w.video_id AND frame_idx = n AND frame_idx % 3 < 2 GROUP BY ALL),
  l AS (SELECT w.video_id, w.frame_id, min(name) AS name FROM (SELECT * FROM w ANTI JOIN e USING (video_id, frame_id)) w JOIN i ON i.video_id = w.video_id
  AND (contains(name, n::VARCHAR) OR contains(name, frame_id)) GROUP BY ALL)
@@ -350,7 +351,7 @@ QUERIES = {
     ),
     "hhi_scan": (
         _interaction_texts,
-        """SELECT concat('v', l_orderkey) AS video_id, lpad(l_linenumber::VARCHAR, 4, '0') AS frame_id, CASE WHEN l_linenumber <> 7 THEN l_tax END AS x1,
+        """SELECT concat('v', l_orderkey) AS video_id, printf('%04d', l_linenumber::BIGINT) AS frame_id, CASE WHEN l_linenumber <> 7 THEN l_tax END AS x1,
  CASE WHEN l_linenumber <> 7 THEN l_tax END AS y2_2, l_partkey AS action_id, l_suppkey AS person_id, NULL::BIGINT AS instance_id FROM lineitem""",
     ),
     "labels_text": (

@@ -82,7 +82,7 @@ class Parts:
     def __init__(self, v: Views, pad: bool = False):
         self.boxes, self.frames = v.boxes(), v.frames()
         # Read several times below, so it is written once to the checkpoint folder.
-        self.rows = cut_lineage(T.annotated_rows(self.boxes, self.frames, v.crowded))
+        self.rows = cut_lineage(T.annotated_rows(self.boxes, self.frames))
         self.segments = T.annotated_segments(self.rows)
         self.starts = W.window_starts(self.rows, self.segments, self.frames, WIN, STEP, pad=pad)
         self.plan = W.window_frames(self.starts, self.frames, WIN, pad)
@@ -129,7 +129,7 @@ def _split_by_tube(v: Views):
 
 def _crop(strategy: str):
     return lambda v: W.crop_plan(
-        cut_lineage(T.annotated_rows(v.boxes(), v.frames(), v.crowded)), strategy
+        cut_lineage(T.annotated_rows(v.boxes(), v.frames())), strategy
     )
 
 

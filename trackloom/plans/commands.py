@@ -24,7 +24,6 @@ from trackloom.operators import relabel as R
 from trackloom.operators import tubes as T
 from trackloom.operators import tubetable as B
 from trackloom.operators import windows as W
-from trackloom.operators.ordering import is_crowded
 from trackloom.operators.quantiles import five_numbers
 from trackloom.session import cut_lineage
 from trackloom.sources import files as S
@@ -46,6 +45,13 @@ class Dataset:
     def files(self) -> DataFrame:
         return S.list_files(self.spark, self.root)
 
+    @cached_property
+    def records(self) -> DataFrame:
+        """Record texts (path, value) as they are in the files, for jobs that write records back."""
+        if not self.from_json:
+            return self.spark.read.parquet(f"{self.root}/records")
+        return L.read_texts(self.spark, self.root)
+
     @cached_property
     def boxes(self) -> DataFrame:
         """Every shape; those whose points give no box have null coordinates."""
@@ -70,18 +76,14 @@ class Dataset:
         )
         return images.join(sizes, ["video_id", "frame_idx"], "left")
 
-    @cached_property
-    def crowded(self) -> bool:
-        return is_crowded(self.boxes)
-
     @cached_property
     def rows(self) -> DataFrame:
         """Annotated tube rows; several results read them, so they are written once."""
-        return cut_lineage(T.annotated_rows(self.usable, self.frames, self.crowded))
+        return cut_lineage(T.annotated_rows(self.usable, self.frames))
 
 
 def ingest(data: Dataset) -> Tables:
-    return {"boxes": data.boxes, "frames": data.frames}
+    return {"boxes": data.boxes, "frames": data.frames, "records": data.records}
 
 
 def analyze_dirs(data: Dataset) -> Tables:
@@ -105,17 +107,17 @@ def analyze_folder(data: Dataset, video: str) -> Tables:
 
 
 def analyze_overlaps(data: Dataset, thresholds: tuple[float, ...] = O.THRESHOLDS) -> Tables:
-    boxes, crowded = data.usable, data.crowded
+    boxes = data.usable
     return {
-        "basic": O.totals(boxes, crowded),
-        "counts_ge": O.counts_by_threshold(boxes, thresholds, crowded),
-        "same_action": O.same_action(boxes, thresholds, crowded),
-        "action_pairs": O.action_pairs(boxes, thresholds, crowded),
-        "iou": O.iou_summary(boxes, crowded),
-        "histogram": O.iou_histogram(boxes, crowded),
-        "degree": O.degree_histogram(boxes, thresholds, crowded),
+        "basic": O.totals(boxes),
+        "counts_ge": O.counts_by_threshold(boxes, thresholds),
+        "same_action": O.same_action(boxes, thresholds),
+        "action_pairs": O.action_pairs(boxes, thresholds),
+        "iou": O.iou_summary(boxes),
+        "histogram": O.iou_histogram(boxes),
+        "degree": O.degree_histogram(boxes, thresholds),
         "frame_max": five_numbers(
-            O.frame_maxima(boxes, crowded), [], {"max_iou": F.col("max_iou")}, rescan=False
+            O.frame_maxima(boxes), [], {"max_iou": F.col("max_iou")}, rescan=False
         ),
     }
 
@@ -142,20 +144,22 @@ def time_bins(data: Dataset, spf: float = 0.04) -> Tables:
 def clean_json(
     data: Dataset, sigma: float = 3.0, max_len: int = 64, exceptions: tuple[str, ...] = C.LONG_ALLOWED
 ) -> Tables:
+    """Records as they were without the shapes that the rules remove; emptied records are written too."""
     kept = C.clean_boxes(data.boxes, sigma, max_len, exceptions)
     return {
-        "records": L.frame_records(kept),
+        "records": L.keep_shapes(data.records, kept).select("path", "value"),
         "limits": P.size_thresholds(data.usable, sigma),
         "summary": C.clean_summary(data.boxes, sigma, max_len, exceptions),
     }
 
 
 def remove_tubes(data: Dataset, listed: str) -> Tables:
-    """The list is matched against the group id of the shapes."""
+    """The list is matched against the group id of the shapes; records left empty are not written."""
     gone = X.read_removals(data.spark, listed)
+    kept = C.remove_tubes(data.boxes, gone, track="group_id")
     boxes = data.boxes.withColumn("track_id", F.col("group_id"))
     return {
-        "records": L.frame_records(C.remove_tubes(boxes, gone)),
+        "records": L.keep_shapes(data.records, kept, emptied=False).select("path", "value"),
         "summary": C.remove_tubes_summary(boxes, gone),
     }
 
@@ -176,15 +180,20 @@ def filter_std(data: Dataset, include: tuple[str, ...] = (), exclude: tuple[str,
 def convert_std(data: Dataset, mapping: str) -> Tables:
     names = X.read_mapping(data.spark, mapping)
     return {
-        "records": L.frame_records(R.relabel(data.boxes, names)),
+        "records": _relabelled(data.records, names).select("path", "value"),
         "summary": R.relabel_summary(data.boxes, names),
     }
 
 
+def _relabelled(texts: DataFrame, names: DataFrame) -> DataFrame:
+    """Mapped record texts without those that the mapping empties."""
+    return R.relabel_records(texts, names).where("n_before = 0 OR n_after > 0")
+
+
 def convert_records(data: Dataset, mapping: str) -> Tables:
     """Mapped record texts with every key kept; records left without shapes are dropped."""
     names = X.read_mapping(data.spark, mapping)
-    changed = R.relabel_records(L.read_texts(data.spark, data.root), names)
+    changed = R.relabel_records(data.records, names)
     emptied = (F.col("n_before") > 0) & (F.col("n_after") == 0)
     return {
         "records": changed.where(~emptied).select("path", "value"),
@@ -397,17 +406,16 @@ def compare_aligned(ms: Dataset, sh: Dataset, alignment: str, threshold: float =
     rows = A.usable_alignment(X.read_alignment(ms.spark, alignment))
     run = A.common_run(rows, ms.frames, sh.frames)
     a, b = A.run_boxes(run, ms.usable, "ms"), A.run_boxes(run, sh.usable, "sh")
-    crowded = ms.crowded or sh.crowded
-    best = A.best_matches(a, b, crowded)
+    best = A.best_matches(a, b)
     endings = A.endings(rows, ms.frames, sh.frames)
     return {
         "run": run,
-        "histogram": A.histogram(a, b, crowded),
+        "histogram": A.histogram(a, b),
         "per_frame": A.match_summary(best, A.STEP),
         "per_video": A.match_summary(best, ["video_id"]),
-        "action_pairs": A.action_pairs(a, b, threshold, crowded),
-        "pairs": A.pairs_over(a, b, threshold, crowded),
-        "first_high": A.first_high(a, b, crowded=crowded),
+        "action_pairs": A.action_pairs(a, b, threshold),
+        "pairs": A.pairs_over(a, b, threshold),
+        "first_high": A.first_high(a, b),
         "endings": endings,
         "ending_counts": A.ending_counts(endings),
         "ending_summary": A.ending_summary(endings),

@@ -7,7 +7,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from trackloom.operators.ordering import HOT_FRAME, largest_group, row_numbers
+from trackloom.operators.ordering import row_numbers
 
 # The view definitions are fixed expressions shared by both engines.
 COLUMNS = {
@@ -27,17 +27,17 @@ COLUMNS = {
     "fx_frames": [
         "concat('v', lpad(cast(o_orderkey % 50 AS STRING), 3, '0')) AS video_id",
         'cast(floor(o_orderkey / 50) AS BIGINT) AS frame_idx',
-        "concat(lpad(cast(cast(floor(o_orderkey / 50) AS BIGINT) AS STRING), 6, '0'), '.jpg') AS image_name",
+        "concat(printf('%06d', cast(floor(o_orderkey / 50) AS BIGINT)), '.jpg') AS image_name",
         '1280 AS img_w',
         '720 AS img_h',
     ],
     "fx_predictions": [
-        "concat('v', lpad(cast(o_orderkey % 50 AS STRING), 3, '0'), '/', lpad(cast(cast(floor(o_orderkey / 50) AS BIGINT) AS STRING), 6, '0'), '.jpg') AS id",
+        "concat('v', lpad(cast(o_orderkey % 50 AS STRING), 3, '0'), '/', printf('%06d', cast(floor(o_orderkey / 50) AS BIGINT)), '.jpg') AS id",
         "CASE WHEN o_orderstatus = 'P' AND o_orderkey % 5 <> 0 THEN 'non_tactical' ELSE 'tactical' END AS label_name",
     ],
     "fx_interactions": [
         "concat('v', lpad(cast(l_orderkey % 50 AS STRING), 3, '0')) AS video_id",
-        "lpad(cast(cast(floor(l_orderkey / 50) AS BIGINT) AS STRING), 4, '0') AS frame_id",
+        "printf('%04d', cast(floor(l_orderkey / 50) AS BIGINT)) AS frame_id",
         'cast((l_partkey * 37) % 1000 AS DOUBLE) / 1000.0 AS x1',
         'cast((l_suppkey * 53) % 500 AS DOUBLE) / 1000.0 AS y1',
         'cast((l_partkey * 37) % 1000 AS DOUBLE) / 1000.0 + l_discount AS x2',
@@ -72,8 +72,8 @@ SQL = {v: f"SELECT {', '.join(COLUMNS[v])} FROM {SOURCES[v]}" for v in COLUMNS}
     "fx_action_list": "SELECT * FROM (VALUES (1, 'basketball - pass'), (2, 'basketball - screen'), (3, 'basketball - shot'), (4, 'volleyball - serve'), (5, 'volleyball - spike'), (6, 'volleyball - block')) AS t(action_id, action_name)",
 }
 
-# A frame with more boxes than this is numbered chunk by chunk.
-HOT_ROWS = 1_000_000
+# Lines of an order that are numbered together.
+CHUNK_LINES = 1024
 
 # Views that read other views.
 NEEDS = {
@@ -103,15 +103,6 @@ class Views:
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.dir}/{name}.parquet")
 
-    @cached_property
-    def frame_size(self) -> int:
-        """Boxes in the fullest frame: decides whether frames must be cut into chunks."""
-        return largest_group(self.table("lineitem"), ["l_orderkey"])
-
-    @property
-    def crowded(self) -> bool:
-        return self.frame_size > HOT_FRAME
-
     def bare_boxes(self) -> DataFrame:
         """Boxes without their position in the frame, for operators that do not need it."""
         columns = [c for c in COLUMNS["fx_boxes"] if not c.startswith("row_number()")]
@@ -131,12 +122,8 @@ class Views:
                 "l_shipdate",
             )
         ]
-        if self.frame_size > HOT_ROWS:
-            chunk = F.struct("l_linenumber", F.floor(F.col("l_partkey") / 64))
-            line = row_numbers(line, ["l_orderkey"], order, chunk, name="pos")
-        else:
-            number = F.row_number().over(Window.partitionBy("l_orderkey").orderBy(*order))
-            line = line.withColumn("pos", number.cast("bigint"))
+        chunk = F.floor(F.col("l_linenumber") / CHUNK_LINES)
+        line = row_numbers(line, ["l_orderkey"], order, chunk, name="pos")
         columns = [c for c in COLUMNS["fx_boxes"] if not c.startswith("row_number()")]
         return line.selectExpr("pos", *columns)
 

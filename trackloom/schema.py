@@ -1,4 +1,4 @@
-"""Schemas of the input files."""
+"""Schemas of the input files. The field names of the formats."""
 
 from pyspark.sql import types as T
 
@@ -38,30 +38,6 @@ INTERACTION_COLUMNS = [
     "instance_id",
 ]
 
-COCO = T.StructType(
-    [
-        T.StructField(
-            "categories",
-            T.ArrayType(
-                T.StructType(
-                    [T.StructField("id", T.LongType()), T.StructField("name", T.StringType())]
-                )
-            ),
-        ),
-        T.StructField(
-            "annotations",
-            T.ArrayType(
-                T.StructType(
-                    [
-                        T.StructField("id", T.LongType()),
-                        T.StructField("category_id", T.LongType()),
-                    ]
-                )
-            ),
-        ),
-    ]
-)
-
 ALIGNMENT = T.StructType(
     [
         T.StructField("video_id", T.StringType()),

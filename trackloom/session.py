@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -28,9 +29,11 @@ def build_session(app: str = "trackloom", cpus: str | None = None) -> SparkSessi
 
 
 def scratch_dir(spark: SparkSession) -> str:
-    """Shared folder the cluster names in ``spark.checkpoint.dir``; a local one only when none is named."""
+    """Shared folder the cluster names in ``spark.checkpoint.dir``; only a local session may go without one."""
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named is None:
+        if not re.fullmatch(r"local(\[.*\])?", spark.conf.get("spark.master", "local")):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         named = tempfile.mkdtemp(prefix="spark-", dir="/tmp")
         spark.conf.set("spark.checkpoint.dir", named)
     return named.rstrip("/")

@@ -6,10 +6,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trackloom import schema
-from trackloom.functions.fields import action_of, frame_index, track_of
+from trackloom.functions.fields import action_of, frame_index, pad_number, track_of
 from trackloom.functions.geometry import box_from_points, rect_points
 
-SHAPES_PER_RECORD = 4096
+# Records as maps, so that every key survives a rewrite.
+RECORD = "map<string,variant>"
+SHAPES = "array<map<string,variant>>"
 
 
 def sample_of(path: Column) -> Column:
@@ -130,21 +132,52 @@ def shape_struct() -> Column:
     )
 
 
-def frame_records(
-    boxes: DataFrame, image_name: Column | None = None, per_record: int = SHAPES_PER_RECORD
-) -> DataFrame:
-    """Records (video_id, frame_idx, imagePath, sizes, shapes) of boxes.
+def rebuilt(record: Column, shapes: Column) -> Column:
+    """JSON text of a record (a map of VARIANT) with other shapes and every other key as it was."""
+    rest = F.map_filter(record, lambda k, _v: k != "shapes")
+    return F.to_json(F.map_concat(rest, F.create_map(F.lit("shapes"), F.to_variant_object(shapes))))
 
-    A frame is one record unless it holds more than ``per_record`` shapes; then it is several,
-    which the reader stacks again.
+
+def keep_shapes(texts: DataFrame, kept: DataFrame, emptied: bool = True) -> DataFrame:
+    """Record texts (path, value) with the shapes that ``kept`` (path, pos from 1) names.
+
+    A shape and all keys beside it stay as they were. Records left without shapes are written
+    when ``emptied``, else dropped; unreadable records are dropped. Adds ``n_before`` and ``n_after``.
+    """
+    places = kept.groupBy(F.col("path").alias("_path")).agg(F.collect_set(F.col("pos").cast("int")).alias("_kept"))
+    out = (
+        texts.where(F.try_parse_json("value").isNotNull())
+        .join(places, F.col("path") == F.col("_path"), "left")
+        .withColumn("_record", F.from_json("value", RECORD))
+        .withColumn(
+            "_shapes",
+            F.coalesce(F.try_variant_get(F.col("_record")["shapes"], "$", SHAPES), F.array().cast(SHAPES)),
+        )
+        .withColumn(
+            "_left",
+            F.filter("_shapes", lambda _s, i: F.coalesce(F.array_contains("_kept", i + 1), F.lit(False))),
+        )
+        .select(
+            "path",
+            rebuilt(F.col("_record"), F.col("_left")).alias("value"),
+            F.size("_shapes").alias("n_before"),
+            F.size("_left").alias("n_after"),
+        )
+    )
+    return out if emptied else out.where("n_after > 0")
+
+
+def frame_records(boxes: DataFrame, image_name: Column | None = None) -> DataFrame:
+    """Records (video_id, frame_idx, imagePath, sizes, shapes) for boxes that have none: one per frame.
+
+    Boxes read from records are written back by ``keep_shapes``.
     """
     name = image_name if image_name is not None else F.concat(
-        F.lpad(F.col("frame_idx").cast("string"), 6, "0"), F.lit(".jpg")
+        pad_number(F.col("frame_idx"), 6), F.lit(".jpg")
     )
-    part = F.floor((F.col("pos") - 1) / per_record)
     packed = boxes.withColumn("_s", F.struct("pos", shape_struct().alias("shape")))
     return (
-        packed.groupBy("video_id", "frame_idx", part.alias("part"))
+        packed.groupBy("video_id", "frame_idx")
         .agg(
             F.first(name).alias("imagePath"),
             F.max("img_w").alias("imageWidth"),
