@@ -303,12 +303,13 @@ def mixed_documents(docs: DataFrame, text: str = "text", **options) -> DataFrame
         .agg(F.sort_array(F.collect_list(F.struct("_first", "_words"))).alias("_parts"))
     )
     words = F.regexp_extract_all(F.col(text), F.lit(WORD), F.lit(0))
-    parts = F.flatten(
-        F.transform("_parts", lambda p: F.slice("_all", (p["_first"] + 1).cast("int"), p["_words"].cast("int")))
-    )
-    return (
-        made.rows.join(taken, F.col("_row") == F.col("_r"))
-        .withColumn("_all", words)
-        .withColumn(text, F.array_join(parts, " "))
-        .select(*columns)
-    )
+
+    def taken_words(all_words: Column) -> Column:
+        parts = F.transform(
+            "_parts", lambda p: F.slice(all_words, (p["_first"] + 1).cast("int"), p["_words"].cast("int"))
+        )
+        return F.array_join(F.flatten(parts), " ")
+
+    # as a lambda's variable the words of a text are taken once, not once for each part
+    joined = made.rows.join(taken, F.col("_row") == F.col("_r"))
+    return joined.withColumn(text, F.get(F.transform(F.array(words), taken_words), F.lit(0))).select(*columns)
