@@ -33,7 +33,11 @@ from trackloom.llm.storage import partitions
 
 #: Parts and shards for each shuffle partition; pieces that an anchor's shard may hold before it is dealt by window.
 PARTS, SHARDS, CROWD = 4, 16, 1000
-OCCURRENCE = "hash long, piece long, row long, doc long, start long, n long, part long, gone boolean"
+#: Of a piece's hash so many bits are kept beside the 64 of its anchor's. Rows of OCCURRENCE have the first window,
+#: the number of windows (NUMBER_BITS) and whether they are settled in one number: they are the widest shuffle.
+PIECE_BITS, NUMBER_BITS = 40, 15
+PIECE_MASK = np.uint64((1 << PIECE_BITS) - 1)
+OCCURRENCE = "hash long, piece long, row long, doc long, place long, part long"
 FOUND = "part long, row long, doc long, start long, n long, kind long, hash long"
 CONTENT = "shard long, part long, row long, doc long, start long, n long, units binary"
 #: Kinds of rows: windows to remove; pieces to compare, of an ordinary or a crowded anchor.
@@ -53,6 +57,10 @@ class Windows:
     gram: int
     within: bool
 
+    def __post_init__(self):
+        if not 0 < self.gram <= self.length < 1 << NUMBER_BITS:
+            raise ValueError(f"an anchor must fit in a window, and a window has fewer than {1 << NUMBER_BITS} units")
+
 
 def _sliding_least(values: np.ndarray, width: int) -> np.ndarray:
     """The least of each run of ``width`` values."""
@@ -192,7 +200,7 @@ def _occurrences(parts: DataFrame, suspects: DataFrame, windows: Windows, bucket
             at = np.searchsorted(wanted, mark)
             keep = wanted[np.minimum(at, len(wanted) - 1)] == mark
             doc, start = doc[keep], start[keep]
-            got.append((signed(hash_[keep]), signed(piece[keep]), first + doc, ids[doc], start - firsts[doc], n[keep]))
+            got.append((signed(hash_[keep]), signed(piece[keep] & PIECE_MASK), first + doc, ids[doc], start - firsts[doc], n[keep]))
         if not got:
             return _empty(OCCURRENCE)
         hash_, piece, row, doc, start, n = map(np.concatenate, zip(*got))
@@ -200,7 +208,8 @@ def _occurrences(parts: DataFrame, suspects: DataFrame, windows: Windows, bucket
         # what is settled needs no particular task further on
         part = np.full(len(order), key[0].as_py())
         hash_, piece, doc = (np.where(late, rest, x[order]) for x, rest in ((hash_, part), (piece, 0), (doc, 0)))
-        return _table(OCCURRENCE, hash_, piece, row[order], doc, *(x[order] for x in (start, n)), part, late)
+        place = (start[order] << NUMBER_BITS | n[order]) << 1 | late
+        return _table(OCCURRENCE, hash_, piece, row[order], doc, place, part)
 
     return parts.groupBy("part").cogroup(suspects.groupBy("part")).applyInArrow(task, OCCURRENCE)
 
@@ -211,8 +220,9 @@ def _resolved(occurrences: DataFrame, windows: Windows) -> DataFrame:
         if not batches:
             return
         table = pa.Table.from_batches(batches)
-        gone = table["gone"].to_numpy()
-        hash_, piece, row, doc, start, n, part = (table[c].to_numpy() for c in "hash piece row doc start n part".split())
+        hash_, piece, row, doc, place, part = (table[c].to_numpy() for c in "hash piece row doc place part".split())
+        gone = (place & 1).astype(bool)
+        start, n = place >> NUMBER_BITS + 1, place >> 1 & (1 << NUMBER_BITS) - 1
         zero = np.zeros(int(gone.sum()), np.int64)
         out = [(part[gone], row[gone], zero, start[gone], n[gone], zero, zero)]
         hash_, piece, row, doc, start, n, part = (x[~gone] for x in (hash_, piece, row, doc, start, n, part))
