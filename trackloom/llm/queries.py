@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from trackloom.llm import oracles
 from trackloom.llm.bpe import encode_texts
 from trackloom.llm.decision_list import quality_verdicts
 from trackloom.llm.html_extract import extract
@@ -70,4 +71,10 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    """Learned rules, hashed draws, vocabularies and page markup have no SQL: tests hold them against plain loops."""
+    return {
+        "op1_substring_dedup": oracles.SUBSTRING_DEDUP,
+        "op2_near_dedup": oracles.NEAR_DEDUP,
+        "op4_suffix_dedup": oracles.SUFFIX_DEDUP,
+        "op10_vector_dedup": oracles.VECTOR_DEDUP,
+    }
