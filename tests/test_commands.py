@@ -112,6 +112,41 @@ def test_records_are_written_back_as_they_were(spark, tmp_path):
         assert walk in mapped["1234563.json"]["shapes"]
 
 
+def test_pickles_with_labels_of_their_own(spark, tmp_path):
+    import pickle
+
+    import numpy as np
+
+    tube = np.array([[1, 0, 1, 2, 3, 4], [2, 0, 1, 2, 3, 4]])
+    for name, labels in (("a", ["walk", "run"]), ("b", ["run", "walk"])):
+        data = {"labels": labels, "videos": ["v"], "gttubes": {"v": {0: [tube], 1: [tube[:1, :3]]}}}
+        (tmp_path / f"{name}.pkl").write_bytes(pickle.dumps(data))
+    lengths = J.tube_lengths_of_pickles(J.Dataset(spark, str(tmp_path)))["lengths"]
+    assert {r["action"]: (r["count"], r["min"], r["max"]) for r in lengths.collect()} == {
+        "walk": (2, 1, 2), "run": (2, 1, 2), "__all__": (4, 1, 2)
+    }
+    frames = spark.createDataFrame([("v", 1, "1.jpg"), ("v", 2, "2.jpg")], "video_id string, frame_idx long, image_name string")
+    shapes = J.pickle_to_std(J.Dataset(spark, str(tmp_path)), frames)["shapes"]
+    assert sorted(r["action"] for r in shapes.collect()) == ["run", "run", "walk", "walk"]
+
+
+def test_sizes_come_from_records(spark, tmp_path):
+    """Records without images, an image without a record, names without a number."""
+    folder = tmp_path / "v1"
+    folder.mkdir()
+    shape = {"points": [[0, 0], [4, 4]], "group_id": 1, "attributes": {"action": "run"}}
+    for name, width in (("1", 64), ("2", 64), ("3", 32), ("first", 64)):
+        (folder / f"{name}.json").write_text(json.dumps({"imageWidth": width, "imageHeight": 48, "shapes": [shape]}))
+    for name in ("1", "9", "first"):
+        (folder / f"{name}.jpg").write_bytes(b"x")
+    data = J.Dataset(spark, str(tmp_path), from_json=True)
+    out = J.analyze_dirs(data)
+    assert {r["resolution"]: r["count"] for r in out["resolutions"].collect()} == {"64x48": 3, "32x48": 1}
+    rows = {r["video_id"]: r for r in out["videos"].collect()}
+    assert rows["v1"]["num_images"] == 3 and rows["v1"]["num_boxes"] == 4
+    assert data.frames.where("frame_idx IS NULL").count() == 0
+
+
 def test_window_jobs(data, tmp_path):
     (tmp_path / "train.csv").write_text("videos/v1,x\n")
     out = J.split_by_tube_fpswin(data, 4, splits={"train": str(tmp_path / "train.csv")})

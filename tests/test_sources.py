@@ -162,7 +162,11 @@ def test_tube_pickle(spark, tmp_path):
     }
     (tmp_path / "gt.pkl").write_bytes(pickle.dumps(data))
     got = sorted(P.read_tubes(spark, str(tmp_path / "gt.pkl")).drop("path").collect())
-    assert [tuple(r) for r in got] == [("v", 0, "run", 0, 1, 1, 2, 3, 4), ("v", 0, "run", 0, 2, 5, 6, 7, 8)]
+    assert [tuple(r) for r in got] == [
+        ("v", 0, "run", 0, 1, 1, 2, 3, 4),
+        ("v", 0, "run", 0, 2, 5, 6, 7, 8),
+        ("v", 3, "3", 0, 0, None, None, None, None),
+    ]
     video = P.read_videos(spark, str(tmp_path / "gt.pkl")).first()
     assert (video["split"], video["nframes"], video["height"], video["width"]) == ("train", 9, 20, 30)
     with pytest.raises(pickle.UnpicklingError):

@@ -106,6 +106,12 @@ def lengths(tube_boxes: DataFrame, labels: DataFrame) -> DataFrame:
     return length_summary(tubes, weight=None)
 
 
+def file_lengths(tubes: DataFrame) -> DataFrame:
+    """``lengths`` of the tubes of several files (``path``), each with the label names of its own file."""
+    each = tubes.groupBy("path", *TUBE, F.col("label_name").alias("action"))
+    return length_summary(each.agg(F.count(F.lit(1)).alias("length")), weight=None)
+
+
 def oriented_sizes(tube_boxes: DataFrame, columns: tuple[str, str, str, str]) -> DataFrame:
     """Widths and heights of four raw columns under the order inferred per tube.
 
@@ -233,13 +239,18 @@ def global_ids(tube_boxes: DataFrame) -> DataFrame:
     )
 
 
-def to_shapes(tube_boxes: DataFrame, labels: DataFrame, frames: DataFrame) -> DataFrame:
-    """Shapes of a tube table in the frames that have an image: corners, label and track id."""
-    names = labels.select(F.col("label_id").cast("bigint").alias("class_id"), "label_name")
+def to_shapes(tube_boxes: DataFrame, labels: DataFrame | None, frames: DataFrame) -> DataFrame:
+    """Shapes of a tube table in the frames that have an image: corners, label and track id.
+
+    Without ``labels`` the rows have a ``label_name`` of their own. Rows without a box are left out.
+    """
+    if labels is not None:
+        names = labels.select(F.col("label_id").cast("bigint").alias("class_id"), "label_name")
+        tube_boxes = tube_boxes.join(names, "class_id", "left")
     text = F.col("class_id").cast("string")
     return (
-        tube_boxes.join(frames.select("video_id", "frame_idx", "image_name"), ["video_id", "frame_idx"])
-        .join(names, "class_id", "left")
+        tube_boxes.where(F.col("x1").isNotNull())
+        .join(frames.select("video_id", "frame_idx", "image_name"), ["video_id", "frame_idx"])
         .select(
             "video_id",
             "frame_idx",

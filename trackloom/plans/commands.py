@@ -52,6 +52,11 @@ class Dataset:
             return self.spark.read.parquet(f"{self.root}/records")
         return L.read_texts(self.spark, self.root)
 
+    @cached_property
+    def record_frames(self) -> DataFrame:
+        """One row per record with the image size that it states."""
+        return L.frames_of(L.parse_text(self.records))
+
     @cached_property
     def boxes(self) -> DataFrame:
         """Every shape; those whose points give no box have null coordinates."""
@@ -67,13 +72,19 @@ class Dataset:
 
     @cached_property
     def frames(self) -> DataFrame:
-        """Images with the size that their record gives (null without a record)."""
+        """Images with the size that their record gives (null without a record).
+
+        An image whose name holds no number has its place in file order, as the boxes of such a frame do.
+        """
         if not self.from_json:
             return self.spark.read.parquet(f"{self.root}/frames")
-        images = S.frame_manifest(self.files).where(F.col("frame_idx").isNotNull())
-        sizes = L.frames_of(L.read_records(self.spark, self.root)).select(
-            "video_id", "frame_idx", "img_w", "img_h"
+        images = S.frame_manifest(self.files)
+        ranks = W.name_ranks(images.select("video_id", "image_name").distinct())
+        places = ranks.select("video_id", "image_name", (F.col("rank") - 1).cast("bigint").alias("_place"))
+        images = images.join(places, ["video_id", "image_name"]).select(
+            "video_id", "image_name", F.coalesce("frame_idx", "_place").alias("frame_idx")
         )
+        sizes = self.record_frames.select("video_id", "frame_idx", "img_w", "img_h")
         return images.join(sizes, ["video_id", "frame_idx"], "left")
 
     @cached_property
@@ -92,8 +103,8 @@ def analyze_dirs(data: Dataset) -> Tables:
         "action_distribution": P.action_distribution(data.usable),
         "bbox_normalized": five_numbers(data.usable, [], P.box_sizes()),
         "anomalies": P.anomalies(data.boxes),
-        "resolutions": P.resolutions(data.frames),
-        "image_size": P.image_sizes(data.frames),
+        "resolutions": P.resolutions(data.record_frames),
+        "image_size": P.image_sizes(data.record_frames),
         "tubes_per_action": P.tubes_per_action(T.tube_segments(data.usable, "fixed")),
         "ignored": P.shapes_without_track(data.usable),
     }
@@ -103,6 +114,7 @@ def analyze_folder(data: Dataset, video: str) -> Tables:
     one = Dataset(data.spark, data.root, data.from_json)
     one.boxes = data.boxes.where(F.col("video_id") == video)
     one.frames = data.frames.where(F.col("video_id") == video)
+    one.record_frames = data.record_frames.where(F.col("video_id") == video)
     return analyze_dirs(one)
 
 
@@ -128,9 +140,7 @@ def tube_lengths(data: Dataset) -> Tables:
 
 
 def tube_lengths_of_pickles(data: Dataset) -> Tables:
-    tubes = K.read_tubes(data.spark, data.root)
-    labels = tubes.select(F.col("class_id").alias("label_id"), "label_name").distinct()
-    return {"lengths": B.lengths(tubes, labels)}
+    return {"lengths": B.file_lengths(K.read_tubes(data.spark, data.root))}
 
 
 def length_bins(data: Dataset) -> Tables:
@@ -328,9 +338,7 @@ def std_to_tubes(data: Dataset) -> Tables:
 
 
 def pickle_to_std(data: Dataset, frames: DataFrame) -> Tables:
-    tubes = K.read_tubes(data.spark, data.root)
-    labels = tubes.select(F.col("class_id").alias("label_id"), "label_name").distinct()
-    return {"shapes": B.to_shapes(tubes, labels, frames)}
+    return {"shapes": B.to_shapes(K.read_tubes(data.spark, data.root), None, frames)}
 
 
 def _listing(spark: SparkSession, root: str) -> DataFrame:

@@ -56,9 +56,10 @@ def _tubes(path: str, data: dict) -> Iterator:
             name = labels[number] if 0 <= number < len(labels) else str(class_id)
             for tube_no, tube in enumerate(tubes if isinstance(tubes, list) else ()):
                 rows = np.asarray(tube, dtype=float)
-                if rows.ndim != 2 or rows.shape[1] < 5:
+                if rows.ndim != 2 or not rows.size:
                     continue
-                box = rows[:, -4:]
+                # a row too short for a frame and a box still counts as a frame of its tube
+                box = rows[:, -4:].astype(object) if rows.shape[1] > 4 else np.full((len(rows), 4), None)
                 yield pd.DataFrame(
                     {
                         "path": path,
@@ -76,7 +77,7 @@ def _tubes(path: str, data: dict) -> Iterator:
 
 
 def read_tubes(spark: SparkSession, path: str) -> DataFrame:
-    """Tube table of pickle files."""
+    """Tube table of pickle files; rows of fewer than five numbers have a null box."""
 
     def parse(batches):
         for batch in batches:
