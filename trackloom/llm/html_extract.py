@@ -200,14 +200,10 @@ def extract(
     rows = pages.select(
         pages[id_column].alias("_id"), pages[url].alias("_url"), pages[page].alias("_html")
     ).withColumn("_host", host)
-    sizes = rows.groupBy(F.col("_host").alias("_h")).agg(F.ceil(F.count("*") / group_pages).alias("_groups"))
-    dealt = (
-        rows.join(sizes, F.col("_host") == F.col("_h"))
-        .withColumn("_group", F.pmod(F.xxhash64("_id", "_url"), F.col("_groups")))
-        .select("_id", "_url", "_html", "_host", "_group")
-    )
+    fields = f"_id {kind}, _url string, _host string"
 
-    def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, list[str], list[list[str]], list[list[str]]]]:
+        """Some pages, their content, and the blocks without a mark (where there is no content) and outside it."""
         for batch in batches:
             for first in range(0, batch.num_rows, 256):
                 part = batch.slice(first, 256)
@@ -217,42 +213,57 @@ def extract(
                     content.append(" ".join(text for zone, text in found if zone == CONTENT))
                     other.append([] if content[-1] else [text for zone, text in found if zone == NEUTRAL])
                     outside.append([text for zone, text in found if zone == DROPPED or zone == NEUTRAL and content[-1]])
-                texts = pa.list_(pa.string())
-                columns = [part.column(0), part.column(1), part.column(3), part.column(4), pa.array(content, pa.string())]
-                columns += [pa.array(other, texts), pa.array(outside, texts)]
-                names = ["_id", "_url", "_host", "_group", "content", "other", "outside"]
-                yield pa.RecordBatch.from_arrays(columns, names=names)
+                yield part, content, other, outside
 
-    parsed = dealt.mapInArrow(
-        parse,
-        f"_id {kind}, _url string, _host string, _group long, content string, other array<string>, outside array<string>",
-    )
+    def marked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Pages whose markup settles their text."""
+        for part, content, other, _outside in parse(batches):
+            text = pa.array(content, pa.string())
+            columns = [part.column(0), part.column(1), text, pa.array(map(len, content), pa.int64())]
+            done = pa.array([not found for found in other], pa.bool_())
+            yield pa.RecordBatch.from_arrays(columns, names=["page_id", "url", "text", "n_chars"]).filter(done)
+
+    def streams_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """What lies outside the content of pages, for their hosts."""
+        for part, _content, other, outside in parse(batches):
+            texts = (pa.array(x, pa.list_(pa.string())) for x in (other, outside))
+            columns = [part.column(0), part.column(1), part.column(3), *texts]
+            yield pa.RecordBatch.from_arrays(columns, names=["_id", "_url", "_host", "other", "outside"])
 
     def settle(table: pa.Table) -> pa.Table:
-        text = table["content"].to_pylist()
         other = table["other"].to_pylist()
+        ids, urls, text = [], [], []
         if any(other):
             names = list(zip(table["_id"].to_pylist(), table["_url"].to_pylist()))
             once = list({name: i for i, name in reversed(list(enumerate(names)))}.values())
             streams = [[b.split() for b in [*other[i], *outside]] for i, outside in zip(once, _take(table["outside"], once))]
             cover = {names[i]: found for i, found in zip(once, boilerplate(streams, least_tokens, least_pages))}
-            for i, found in enumerate(other):
-                kept = []
-                for block, inside in zip(found, cover[names[i]]):
-                    kept += [token for token, covered in zip(block.split(), inside.tolist()) if not covered]
-                text[i] = text[i] or " ".join(kept)
+            for name, found in zip(names, other):
+                if found:
+                    kept = []
+                    for block, inside in zip(found, cover[name]):
+                        kept += [token for token, covered in zip(block.split(), inside.tolist()) if not covered]
+                    ids.append(name[0])
+                    urls.append(name[1])
+                    text.append(" ".join(kept))
         return pa.table(
             {
-                "page_id": table["_id"],
-                "url": table["_url"],
+                "page_id": pa.array(ids, table["_id"].type),
+                "url": pa.array(urls, pa.string()),
                 "text": pa.array(text, pa.string()),
                 "n_chars": pa.array(map(len, text), pa.int64()),
             }
         )
 
-    return parsed.groupBy("_host", "_group").applyInArrow(
-        settle, f"page_id {kind}, url string, text string, n_chars long"
+    # texts that markup settles are not shuffled; pages are read again for what their hosts are asked
+    schema = f"page_id {kind}, url string, text string, n_chars long"
+    sizes = rows.groupBy(F.col("_host").alias("_h")).agg(F.ceil(F.count("*") / group_pages).alias("_groups"))
+    asked = rows.mapInArrow(streams_of, f"{fields}, other array<string>, outside array<string>")
+    dealt = asked.join(sizes, F.col("_host") == F.col("_h")).withColumn(
+        "_group", F.pmod(F.xxhash64("_id", "_url"), F.col("_groups"))
     )
+    grouped = dealt.select("_id", "_url", "_host", "_group", "other", "outside").groupBy("_host", "_group")
+    return rows.mapInArrow(marked, schema).unionByName(grouped.applyInArrow(settle, schema))
 
 
 def _take(column: pa.ChunkedArray, rows: list[int]) -> list:
