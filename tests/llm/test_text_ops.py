@@ -312,3 +312,27 @@ def test_token_counts(docs, texts):
         assert (row["n_words"], row["n_unknown"]) == (len(each), each.count(0))
         assert row["n_tokens"] == sum(each) + each.count(0)
     assert wordpiece.token_counts(empty(docs)).count() == 0
+
+
+def test_token_counts_over_the_whole_vocabulary(spark):
+    import public_tokenizers
+    import sentencepiece
+
+    model = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path("piece_bpe_32k.model"))
+    kinds = (model.is_control, model.is_unknown, model.is_byte)
+    pieces = {model.id_to_piece(i) for i in range(model.get_piece_size()) if not any(kind(i) for kind in kinds)}
+
+    def greedy(word):
+        word, at, n = wordpiece.MARK + word, 0, 0
+        while at < len(word):
+            end = next((e for e in range(len(word), at, -1) if word[at:e] in pieces), None)
+            if end is None:
+                return 0
+            at, n = end, n + 1
+        return n
+
+    text = "ñandú ça ßen Índice 中国人民 日本 plain ▁a ▁▁▁ a▁b \u0378x " + "国" * 300
+    want = [greedy(w) for w in words(text)]
+    row = wordpiece.token_counts(spark.createDataFrame([(1, text)], "doc_id long, text string")).first()
+    assert want.count(0) == 1 and min(want[:6]) > 1 and want[-1] > 300
+    assert (row["n_words"], row["n_tokens"], row["n_unknown"]) == (len(want), sum(want) + 1, 1)

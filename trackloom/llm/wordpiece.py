@@ -25,7 +25,7 @@ NO_NODE = -1
 
 
 class PieceCounter:
-    """Greedy longest-match piece counts for a vocabulary of first pieces (with the mark) and further pieces."""
+    """Greedy longest-match piece counts of marked words for a vocabulary; the lone mark can be a piece too."""
 
     def __init__(self, pieces: Iterable[str]):
         self.edges: list[dict[str, int]] = [{}]
@@ -39,7 +39,7 @@ class PieceCounter:
                     piece.append(False)
                 node = self.edges[node][letter]
             piece[node] = node > 0
-        # further pieces can't begin with the mark, so the root serves both first and further pieces
+        # the mark is a letter like any other, so the root serves both first and further pieces
         self.fail, self.popped = [NO_NODE] * len(self.edges), [0] * len(self.edges)
         waiting = deque((0, letter, node) for letter, node in self.edges[0].items())
         while waiting:
@@ -100,7 +100,7 @@ def counter(vocabulary: str) -> PieceCounter:
         model = sentencepiece.SentencePieceProcessor(model_file=path)
         plain = (i for i in range(model.get_piece_size()) if not (model.is_control(i) or model.is_unknown(i) or model.is_byte(i)))
         pieces = (model.id_to_piece(i) for i in plain)
-        _counters[vocabulary] = PieceCounter(p for p in pieces if MARK not in p[1:] and p != MARK)
+        _counters[vocabulary] = PieceCounter(pieces)
     return _counters[vocabulary]
 
 
@@ -109,8 +109,9 @@ def token_counts(
 ) -> DataFrame:
     """``doc_id, n_words, n_tokens, n_unknown`` for every row.
 
-    Words are runs without white space. A word's tokens are its greedy longest-match pieces: a piece with the mark
-    first, then pieces without it; a word that can't be covered is one unknown token. Null and empty texts have none;
+    Words are runs without white space. A word's tokens are the greedy longest-match pieces of the mark and the word
+    together, over all of the vocabulary's text pieces (the lone mark is one, so a word may begin with any piece after
+    it); a word that can't be covered is one unknown token. Null and empty texts have none;
     repeated rows count each; a null id stays null. Columns other than id and text are left out. No shuffle.
     """
     kind = docs.schema[id_column].dataType.simpleString()
