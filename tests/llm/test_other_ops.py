@@ -103,6 +103,25 @@ def test_unmarked_pages_lose_what_their_host_repeats(spark):
     assert again.keys() == got.keys()
 
 
+def test_marks_do_not_cost_a_page_its_other_blocks(spark):
+    made = [
+        ("<h1 class='entry-title'>Title</h1><div>first part</div><div>second part</div>", "Title first part second part"),
+        ("<div>before</div><p class='post-meta'>by me</p><div>the text</div>", "before by me the text"),
+        ("<div class='content has-sidebar'><p>kept</p></div>", "kept"),
+        ("<div class='post related-open'><p>kept</p></div>", "kept"),
+        ("<div id='layout-with-sidebar' class='no-comments'><p>kept</p></div>", "kept"),
+        ("<article><p>one</p><section class='alert alert-info'>two</section><p>three</p></article>", "one two three"),
+        ("<article><p>one</p><div class='related'>gone</div></article><div class='sidebar'>gone</div><div>tail</div>", "one tail"),
+    ]
+    rows = [(i, f"https://h{i}.example/", f"<body>{page}</body>") for i, (page, _text) in enumerate(made)]
+    got = html_extract.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    assert {r["page_id"]: r["text"] for r in got} == {i: text for i, (_page, text) in enumerate(made)}
+    # pages of one id and url keep their own blocks, and count as one page
+    rows = [(1, "https://h.example/", f"<p>{'same words on each of them ' * n}own{n}</p>") for n in (1, 2, 3)]
+    got = html_extract.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    assert sorted(r["text"] for r in got) == sorted("same words on each of them " * n + f"own{n}" for n in (1, 2, 3))
+
+
 def test_lookup_table_is_even_and_steady():
     names = [f"n{i}" for i in range(20)]
     table = sharding.lookup_table(names, 2039)

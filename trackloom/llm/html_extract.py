@@ -4,9 +4,12 @@ A page is read into blocks of text. Its markup says of most blocks what they are
 element whose class, id or role says so) they are content; menus, headers, footers, sidebars, notices, adverts, forms
 and comments are not. Blocks of which the markup says nothing are settled by the host: the token streams of what lies
 outside the content of its pages are laid end to end, their suffix array shows the long runs of tokens that several
-pages share, and blocks are cut to the runs that no such boilerplate covers. They are the page's text if it has no
+pages share, and blocks are cut to the runs that no such boilerplate covers. What is left of them is text, also beside
 marked content. Marked content is never cut, also where pages share passages of it.
 
+A class, id or role is read name by name ("post related-open" has two). A name of good words only makes content; one of
+bad words drops an element that no good word stands in; words after "has", "with", "no" and the like say nothing.
+
 A host's pages are dealt to groups of bounded size, so one host may hold any share of all pages.
 """
 
@@ -42,10 +45,12 @@ _BAD_WORDS = frozenset(
     "ad ads advert adverts advertisement advertising adsense banner sponsor sponsored promo promotion sidebar sidebars nav "
     "navbar navigation menu menus breadcrumb breadcrumbs footer comment comments respond disqus cookie cookies consent "
     "gdpr notice notices popup modal overlay newsletter subscribe subscription signup login share sharing social related "
-    "recommended widget pager pagination masthead toolbar skip complementary contentinfo search banner alert form".split()
+    "recommended widget pager pagination masthead toolbar skip complementary contentinfo search banner form".split()
 )
 _HEADERS = frozenset("header masthead topbar".split())
 _GOOD_WORDS = frozenset("article main content post entry story articlebody postcontent entrycontent maincontent".split())
+#: What follows in a name doesn't say what the element is ("has-sidebar", "no-comments").
+_MODIFIERS = frozenset("has have with without no not non hide".split())
 
 _TOKENS = re.compile(
     rf"<!--.*?(?:--\s*>|\Z)|<(?P<raw>{_RAW})\b[^>]*>.*?(?:</(?P=raw)\s*>|\Z)"
@@ -67,17 +72,24 @@ def _zone(name: str, rest: str, outer: int) -> int:
     if name == "header" and outer != CONTENT:
         return DROPPED
     if rest and name not in ("html", "body"):
-        marks = [next(filter(None, m), "") for m in _MARKS.findall(rest)]
-        words = {w.lower() for mark in marks for w in _WORDS.findall(mark)}
-        words |= {re.sub(r"[^a-z]", "", mark.lower()) for mark in marks}
-        good = bool(words & _GOOD_WORDS)
-        if words & _BAD_WORDS or (words & _HEADERS and not good and outer != CONTENT):
-            return DROPPED
-        if good:
+        names = [_words_of(n) for m in _MARKS.findall(rest) for n in next(filter(None, m), "").split()]
+        words = set().union(*names)
+        if any(n & _GOOD_WORDS and not n & _BAD_WORDS for n in names):
             return CONTENT
+        if not words & _GOOD_WORDS and (words & _BAD_WORDS or words & _HEADERS and outer != CONTENT):
+            return DROPPED
     return outer
 
 
+def _words_of(name: str) -> set[str]:
+    """The words of a name up to a modifier, and the name as one word if it has none."""
+    words = [w.lower() for w in _WORDS.findall(name)]
+    for i, word in enumerate(words):
+        if word in _MODIFIERS:
+            return set(words[:i])
+    return {*words, re.sub(r"[^a-z]", "", name.lower())}
+
+
 def blocks(page: str) -> list[tuple[int, str]]:
     """(zone, text) of each block in page order; white space is one space, character references are decoded."""
     out: list[tuple[int, str]] = []
@@ -134,21 +146,25 @@ def blocks(page: str) -> list[tuple[int, str]]:
     return out
 
 
-def boilerplate(streams: list[list[list[str]]], least_tokens: int = LEAST_TOKENS, least_pages: int = LEAST_PAGES) -> list[list[np.ndarray]]:
-    """For every page and block of tokens, which tokens lie in a run of ``least_tokens`` that ``least_pages`` pages share.
+def boilerplate(
+    streams: list[list[list[str]]], owners: list[int], least_tokens: int = LEAST_TOKENS, least_pages: int = LEAST_PAGES
+) -> list[list[np.ndarray]]:
+    """For every stream and block of tokens, which tokens lie in a run of ``least_tokens`` that ``least_pages`` pages share.
+
+    ``owners`` has the page of each stream.
 
     A block shorter than that counts as a run if it is whole (blocks end with a mark of their own).
     """
     number: dict[str, int] = {}
     text: list[int] = []
     page_of: list[int] = []
-    for p, page in enumerate(streams):
+    for p, page in zip(owners, streams):
         for block in page:
             text += [number.setdefault(token, len(number) + 2) for token in block]
             text.append(1)
             page_of += [p] * (len(block) + 1)
     text.append(0)
-    page_of.append(len(streams))
+    page_of.append(-1)
     array = suffix_array(text, len(number) + 2)
     shared = np.array(permuted_prefixes(text, array))
     array, pages = np.array(array), np.array(page_of)
@@ -202,47 +218,47 @@ def extract(
     ).withColumn("_host", host)
     fields = f"_id {kind}, _url string, _host string"
 
-    def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, list[str], list[list[str]], list[list[str]]]]:
-        """Some pages, their content, and the blocks without a mark (where there is no content) and outside it."""
+    def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, list[list[tuple[int, str]]], list[bool]]]:
+        """Some pages, their blocks, and whether there are some without a mark."""
         for batch in batches:
             for first in range(0, batch.num_rows, 256):
                 part = batch.slice(first, 256)
-                content, other, outside = [], [], []
-                for source in part.column(2).to_pylist():
-                    found = blocks(source or "")
-                    content.append(" ".join(text for zone, text in found if zone == CONTENT))
-                    other.append([] if content[-1] else [text for zone, text in found if zone == NEUTRAL])
-                    outside.append([text for zone, text in found if zone == DROPPED or zone == NEUTRAL and content[-1]])
-                yield part, content, other, outside
+                found = [blocks(source or "") for source in part.column(2).to_pylist()]
+                yield part, found, [any(zone == NEUTRAL for zone, _text in page) for page in found]
 
     def marked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Pages whose markup settles their text."""
-        for part, content, other, _outside in parse(batches):
+        for part, found, asks in parse(batches):
+            content = [" ".join(text for zone, text in page if zone == CONTENT) for page in found]
             text = pa.array(content, pa.string())
             columns = [part.column(0), part.column(1), text, pa.array(map(len, content), pa.int64())]
-            done = pa.array([not found for found in other], pa.bool_())
+            done = pa.array([not asked for asked in asks], pa.bool_())
             yield pa.RecordBatch.from_arrays(columns, names=["page_id", "url", "text", "n_chars"]).filter(done)
 
     def streams_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """What lies outside the content of pages, for their hosts."""
-        for part, _content, other, outside in parse(batches):
-            texts = (pa.array(x, pa.list_(pa.string())) for x in (other, outside))
-            columns = [part.column(0), part.column(1), part.column(3), *texts]
-            yield pa.RecordBatch.from_arrays(columns, names=["_id", "_url", "_host", "other", "outside"])
+        """What lies outside the content of pages, for their hosts; with the content of pages that ask them."""
+        for part, found, asks in parse(batches):
+            found = [[b for b in page if asked or b[0] != CONTENT] for page, asked in zip(found, asks)]
+            zones = pa.array([[zone for zone, _text in page] for page in found], pa.list_(pa.int32()))
+            texts = pa.array([[text for _zone, text in page] for page in found], pa.list_(pa.string()))
+            columns = [part.column(0), part.column(1), part.column(3), zones, texts]
+            yield pa.RecordBatch.from_arrays(columns, names=["_id", "_url", "_host", "zones", "texts"])
 
     def settle(table: pa.Table) -> pa.Table:
-        other = table["other"].to_pylist()
+        zones, texts = table["zones"].to_pylist(), table["texts"].to_pylist()
         ids, urls, text = [], [], []
-        if any(other):
+        if any(NEUTRAL in page for page in zones):
             names = list(zip(table["_id"].to_pylist(), table["_url"].to_pylist()))
-            once = list({name: i for i, name in reversed(list(enumerate(names)))}.values())
-            streams = [[b.split() for b in [*other[i], *outside]] for i, outside in zip(once, _take(table["outside"], once))]
-            cover = {names[i]: found for i, found in zip(once, boilerplate(streams, least_tokens, least_pages))}
-            for name, found in zip(names, other):
-                if found:
-                    kept = []
-                    for block, inside in zip(found, cover[name]):
-                        kept += [token for token, covered in zip(block.split(), inside.tolist()) if not covered]
+            number = {name: i for i, name in enumerate(dict.fromkeys(names))}
+            streams = [[t.split() for z, t in zip(*page) if z != CONTENT] for page in zip(zones, texts)]
+            cover = boilerplate(streams, [number[name] for name in names], least_tokens, least_pages)
+            for name, page_zones, page_texts, found in zip(names, zones, texts, cover):
+                if NEUTRAL in page_zones:
+                    kept, inside = [], iter(found)
+                    for zone, block in zip(page_zones, page_texts):
+                        covered = [False] * len(block.split()) if zone == CONTENT else next(inside).tolist()
+                        if zone != DROPPED:
+                            kept += [token for token, out in zip(block.split(), covered) if not out]
                     ids.append(name[0])
                     urls.append(name[1])
                     text.append(" ".join(kept))
@@ -258,13 +274,9 @@ def extract(
     # texts that markup settles are not shuffled; pages are read again for what their hosts are asked
     schema = f"page_id {kind}, url string, text string, n_chars long"
     sizes = rows.groupBy(F.col("_host").alias("_h")).agg(F.ceil(F.count("*") / group_pages).alias("_groups"))
-    asked = rows.mapInArrow(streams_of, f"{fields}, other array<string>, outside array<string>")
+    asked = rows.mapInArrow(streams_of, f"{fields}, zones array<int>, texts array<string>")
     dealt = asked.join(sizes, F.col("_host") == F.col("_h")).withColumn(
         "_group", F.pmod(F.xxhash64("_id", "_url"), F.col("_groups"))
     )
-    grouped = dealt.select("_id", "_url", "_host", "_group", "other", "outside").groupBy("_host", "_group")
+    grouped = dealt.select("_id", "_url", "_host", "_group", "zones", "texts").groupBy("_host", "_group")
     return rows.mapInArrow(marked, schema).unionByName(grouped.applyInArrow(settle, schema))
-
-
-def _take(column: pa.ChunkedArray, rows: list[int]) -> list:
-    return column.take(pa.array(rows, pa.int64())).to_pylist()
