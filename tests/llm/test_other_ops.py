@@ -122,6 +122,44 @@ def test_marks_do_not_cost_a_page_its_other_blocks(spark):
     assert sorted(r["text"] for r in got) == sorted("same words on each of them " * n + f"own{n}" for n in (1, 2, 3))
 
 
+@pytest.mark.parametrize("group_pages", [2, 7, 1000])
+def test_boilerplate_is_found_over_all_pages_of_a_host(spark, group_pages):
+    draw = random.Random(8)
+    own = [" ".join(f"w{draw.randint(0, 10**6)}" for _ in range(20)) for _ in range(60)]
+    few = {11: "<div>seen on three pages of many</div>", 31: "<div>seen on three pages of many</div>", 51: "<p>Top</p><p>seen on three pages of many</p>"}
+    two = {5: "<div>but this is on two only</div>", 45: "<div>but this is on two only</div>"}
+    rows = [(i, f"https://big.example/{i}", f"{few.get(i, '')}<p>{t}</p>{two.get(i, '')}") for i, t in enumerate(own)]
+    want = {i: t + (" but this is on two only" if i in two else "") for i, t in enumerate(own)}
+    want[51] = "Top " + own[51]
+    got = html_extract.extract(spark.createDataFrame(rows, "page_id long, url string, html string"), group_pages=group_pages)
+    assert {r["page_id"]: r["text"] for r in got.collect()} == want
+
+
+def test_runs_against_a_loop():
+    draw = random.Random(12)
+    for _ in range(150):
+        streams = [[[draw.choice("abc") for _ in range(draw.randint(1, 7))] for _ in range(draw.randint(0, 4))] for _ in range(6)]
+        owners = [0, 1, 2, 2, 3, 4]
+        pages = {}
+
+        def windows(block):
+            return [(s, tuple([*block, "|"][s : s + 5])) for s in range(len(block))]
+
+        for owner, page in zip(owners, streams):
+            for block in page:
+                for _s, window in windows(block):
+                    pages.setdefault(window, set()).add(owner)
+        runs = html_extract.Runs(streams, owners)
+        cover = runs.covered([n >= 3 for *_, n in runs.found])
+        for page, found in zip(streams, cover):
+            for block, inside in zip(page, found):
+                cut = [False] * (len(block) + 1)
+                for s, window in windows(block):
+                    if len(pages[window]) >= 3 and (len(window) == 5 or s == 0):
+                        cut[s : s + len(window)] = [True] * len(window)
+                assert inside.tolist() == cut[:-1]
+
+
 def test_lookup_table_is_even_and_steady():
     names = [f"n{i}" for i in range(20)]
     table = sharding.lookup_table(names, 2039)

@@ -10,7 +10,10 @@ marked content. Marked content is never cut, also where pages share passages of
 A class, id or role is read name by name ("post related-open" has two). A name of good words only makes content; one of
 bad words drops an element that no good word stands in; words after "has", "with", "no" and the like say nothing.
 
-A host's pages are dealt to groups of bounded size, so one host may hold any share of all pages.
+A host's pages are dealt to groups of bounded size, so one host may hold any share of all pages. Each group's suffix array
+counts the pages of every run; the counts of a run are added over all groups of the host, and what is boilerplate in
+the whole host goes back to the groups that have it. The groups thus don't change what is found. Hosts without an
+unmarked block ask nothing and are not counted.
 """
 
 from __future__ import annotations
@@ -18,10 +21,11 @@ from __future__ import annotations
 import html
 import re
 from collections.abc import Iterator
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from trackloom.llm.suffix_dedup import permuted_prefixes, suffix_array
@@ -146,54 +150,72 @@ def blocks(page: str) -> list[tuple[int, str]]:
     return out
 
 
-def boilerplate(
-    streams: list[list[list[str]]], owners: list[int], least_tokens: int = LEAST_TOKENS, least_pages: int = LEAST_PAGES
-) -> list[list[np.ndarray]]:
-    """For every stream and block of tokens, which tokens lie in a run of ``least_tokens`` that ``least_pages`` pages share.
+class Runs:
+    """The runs of ``least_tokens`` tokens in the streams of some pages, by a suffix array.
 
-    ``owners`` has the page of each stream.
-
-    A block shorter than that counts as a run if it is whole (blocks end with a mark of their own).
+    ``owners`` has the page of each stream. A block shorter than a run counts as one if it is whole (blocks end with a
+    mark of their own).
     """
-    number: dict[str, int] = {}
-    text: list[int] = []
-    page_of: list[int] = []
-    for p, page in zip(owners, streams):
-        for block in page:
-            text += [number.setdefault(token, len(number) + 2) for token in block]
-            text.append(1)
-            page_of += [p] * (len(block) + 1)
-    text.append(0)
-    page_of.append(-1)
-    array = suffix_array(text, len(number) + 2)
-    shared = np.array(permuted_prefixes(text, array))
-    array, pages = np.array(array), np.array(page_of)
-    marks = np.array(text) <= 1
-    ends = np.minimum.accumulate(np.where(marks, np.arange(len(text)), len(text))[::-1])[::-1]
-    want = np.minimum(least_tokens, ends - np.arange(len(text)) + 1)  # to the block's mark, if that is nearer
-    covered = np.zeros(len(text) + 1, np.int64)
-    # a block's mark belongs to its short run, so that "x" matches a block "x" and not a block "x y"
-    for size in range(2, least_tokens + 1):
-        new = shared[array] < size
-        stretch = np.cumsum(new) - 1
-        order = np.lexsort((pages[array], stretch))
-        fresh = np.ones(len(order), bool)
-        fresh[1:] = (stretch[order][1:] != stretch[order][:-1]) | (pages[array][order][1:] != pages[array][order][:-1])
-        n_pages = np.bincount(stretch[order][fresh], minlength=stretch[-1] + 1)
-        start = array[(want[array] == size) & (n_pages[stretch] >= least_pages) & ~marks[array]]
-        if size < least_tokens:
-            at_start = np.concatenate([[True], marks[:-1]])
-            start = start[at_start[start]]
-        np.add.at(covered, start, 1)
-        np.add.at(covered, start + size, -1)
-    inside = np.cumsum(covered[:-1]) > 0
-    out, at = [], 0
-    for page in streams:
-        out.append([])
-        for block in page:
-            out[-1].append(inside[at : at + len(block)])
-            at += len(block) + 1
-    return out
+
+    def __init__(self, streams: list[list[list[str]]], owners: list[int], least_tokens: int = LEAST_TOKENS):
+        self.streams, number = streams, {}
+        text: list[int] = []
+        page_of: list[int] = []
+        for p, page in zip(owners, streams):
+            for block in page:
+                text += [number.setdefault(token, len(number) + 2) for token in block]
+                text.append(1)
+                page_of += [p] * (len(block) + 1)
+        text.append(0)
+        page_of.append(-1)
+        array = suffix_array(text, len(number) + 2)
+        shared = np.array(permuted_prefixes(text, array))
+        array, pages = np.array(array), np.array(page_of)
+        self.text, self.tokens = np.array(text), ["", "", *number]
+        marks = self.text <= 1
+        ends = np.minimum.accumulate(np.where(marks, np.arange(len(text)), len(text))[::-1])[::-1]
+        want = np.minimum(least_tokens, ends - np.arange(len(text)) + 1)  # to the block's mark, if that is nearer
+        self.at_start = np.concatenate([[True], marks[:-1]])
+        #: Of each size of run: size, the runs' starts, the number of each start's run, pages of each run.
+        self.found: list[tuple[int, np.ndarray, np.ndarray, np.ndarray]] = []
+        # a block's mark belongs to its short run, so that "x" matches a block "x" and not a block "x y"
+        for size in range(2, least_tokens + 1):
+            new = shared[array] < size
+            stretch = np.cumsum(new) - 1
+            ask = (want[array] == size) & ~marks[array]
+            start = array[ask]
+            _, first, run = np.unique(stretch[ask], return_index=True, return_inverse=True)
+            order = np.lexsort((pages[start], run))
+            fresh = np.ones(len(order), bool)
+            fresh[1:] = (run[order][1:] != run[order][:-1]) | (pages[start][order][1:] != pages[start][order][:-1])
+            self.found.append((size, start, run, np.bincount(run[order][fresh], minlength=len(first))))
+
+    def keys(self, host: str) -> list[list[bytes]]:
+        """128 bits for each run of each size: equal for equal runs of a host, in any group."""
+        out = []
+        for size, start, run, n_pages in self.found:
+            first = np.zeros(len(n_pages), np.int64)
+            first[run] = start
+            named = ([self.tokens[x] for x in self.text[a : a + size]] for a in first.tolist())
+            out.append([blake2b(" ".join([host, *tokens]).encode("utf-8", "surrogatepass"), digest_size=16).digest() for tokens in named])
+        return out
+
+    def covered(self, chosen: list[np.ndarray]) -> list[list[np.ndarray]]:
+        """For every stream and block, which tokens lie in a chosen run (of each size, a flag for each run)."""
+        change = np.zeros(len(self.text) + 1, np.int64)
+        for (size, start, run, _n), flags in zip(self.found, chosen):
+            # ends of blocks count as a short run's copies, but only whole blocks are cut for one
+            start = start[flags[run] & (self.at_start[start] | (size == self.found[-1][0]))]
+            np.add.at(change, start, 1)
+            np.add.at(change, start + size, -1)
+        inside = np.cumsum(change[:-1]) > 0
+        out, at = [], 0
+        for page in self.streams:
+            out.append([])
+            for block in page:
+                out[-1].append(inside[at : at + len(block)])
+                at += len(block) + 1
+        return out
 
 
 def extract(
@@ -244,15 +266,31 @@ def extract(
             columns = [part.column(0), part.column(1), part.column(3), zones, texts]
             yield pa.RecordBatch.from_arrays(columns, names=["_id", "_url", "_host", "zones", "texts"])
 
-    def settle(table: pa.Table) -> pa.Table:
-        zones, texts = table["zones"].to_pylist(), table["texts"].to_pylist()
-        ids, urls, text = [], [], []
+    def runs_of(table: pa.Table) -> tuple[list[tuple], Runs]:
+        """A group's rows by name, and the runs outside their content."""
+        names = list(zip(table["_id"].to_pylist(), table["_url"].to_pylist()))
+        number = {name: i for i, name in enumerate(dict.fromkeys(names))}
+        made = list(zip(names, table["zones"].to_pylist(), table["texts"].to_pylist()))
+        streams = [[t.split() for z, t in zip(zones, texts) if z != CONTENT] for _name, zones, texts in made]
+        return made, Runs(streams, [number[name] for name in names], least_tokens)
+
+    def count(key: tuple, table: pa.Table) -> pa.Table:
+        """Pages of a group for each of its runs."""
+        host, group = (k.as_py() for k in key)
+        _made, runs = runs_of(table)
+        keys = [k for of_size in runs.keys(host) for k in of_size]
+        n_pages = np.concatenate([n for *_, n in runs.found])
+        columns = [pa.array([x] * len(keys), kind) for x, kind in ((host, pa.string()), (group, pa.int64()))]
+        columns += [pa.array(keys, pa.binary()), pa.array(n_pages, pa.int64())]
+        return pa.table(dict(zip(("_host", "_group", "run", "n"), columns)))
+
+    def settle(key: tuple, table: pa.Table, common: pa.Table) -> pa.Table:
+        zones, ids, urls, text = table["zones"].to_pylist(), [], [], []
         if any(NEUTRAL in page for page in zones):
-            names = list(zip(table["_id"].to_pylist(), table["_url"].to_pylist()))
-            number = {name: i for i, name in enumerate(dict.fromkeys(names))}
-            streams = [[t.split() for z, t in zip(*page) if z != CONTENT] for page in zip(zones, texts)]
-            cover = boilerplate(streams, [number[name] for name in names], least_tokens, least_pages)
-            for name, page_zones, page_texts, found in zip(names, zones, texts, cover):
+            made, runs = runs_of(table)
+            known = set(common["run"].to_pylist())
+            cover = runs.covered([np.array([k in known for k in keys], bool) for keys in runs.keys(key[0].as_py())])
+            for (name, page_zones, page_texts), found in zip(made, cover):
                 if NEUTRAL in page_zones:
                     kept, inside = [], iter(found)
                     for zone, block in zip(page_zones, page_texts):
@@ -273,10 +311,16 @@ def extract(
 
     # texts that markup settles are not shuffled; pages are read again for what their hosts are asked
     schema = f"page_id {kind}, url string, text string, n_chars long"
-    sizes = rows.groupBy(F.col("_host").alias("_h")).agg(F.ceil(F.count("*") / group_pages).alias("_groups"))
     asked = rows.mapInArrow(streams_of, f"{fields}, zones array<int>, texts array<string>")
-    dealt = asked.join(sizes, F.col("_host") == F.col("_h")).withColumn(
+    sizes = asked.groupBy(F.col("_host").alias("_h")).agg(
+        F.ceil(F.count("*") / group_pages).alias("_groups"), F.max(F.array_contains("zones", NEUTRAL)).alias("_asks")
+    )
+    dealt = asked.join(sizes.where("_asks"), F.col("_host") == F.col("_h")).withColumn(
         "_group", F.pmod(F.xxhash64("_id", "_url"), F.col("_groups"))
     )
     grouped = dealt.select("_id", "_url", "_host", "_group", "zones", "texts").groupBy("_host", "_group")
-    return rows.mapInArrow(marked, schema).unionByName(grouped.applyInArrow(settle, schema))
+    counts = grouped.applyInArrow(count, "_host string, _group long, run binary, n long")
+    total = F.sum("n").over(Window.partitionBy("run"))
+    common = counts.withColumn("total", total).where(F.col("total") >= least_pages).select("_host", "_group", "run")
+    settled = grouped.cogroup(common.groupBy("_host", "_group")).applyInArrow(settle, schema)
+    return rows.mapInArrow(marked, schema).unionByName(settled)
