@@ -128,6 +128,22 @@ def test_byte_dedup(docs, texts, monkeypatch, crowd):
     assert suffix_dedup.remove_repeated_bytes(empty(docs)).count() == 0
 
 
+def test_pieces_of_one_anchor_that_share_40_bits_of_hash(spark):
+    pairs = [
+        ("dsrohuswoeivxtturfzjnfqrqaagilgovncffqvehddtjghlhh", "nkqeewbewwpuhtturfzjnfqrqaagilgovncffidxywkegdyoew"),
+        ("nmjuqfumnpsoitturfzjnfqrqaagilgovncffyrnzvpabdwher", "vvfuymnwmqtostturfzjnfqrqaagilgovncffhhywcwambhwdp"),
+    ]
+    rows = [(i, t) for i, t in enumerate(t for pair in pairs for t in pair)]
+    data = np.frombuffer("".join(t for _i, t in rows).encode(), np.uint8)
+    windows = repeats.Windows(suffix_dedup._byte_units, 50, 24, within=False)
+    anchor, piece, _doc, _start, n = repeats.pieces(windows, *suffix_dedup._byte_units(data, np.arange(5) * 50))
+    assert len(set(anchor.tolist())) == 1 and n.tolist() == [1] * 4
+    assert len({p & (1 << 40) - 1 for p in piece.tolist()}) == 2 and len(set(piece.tolist())) == 4
+    docs = spark.createDataFrame(rows + [(9, rows[0][1])], "doc_id long, text string")
+    got = by_id(suffix_dedup.remove_repeated_bytes(docs))
+    assert [got[i][0]["n_removed"] for i in (0, 1, 2, 3, 9)] == [0, 0, 0, 0, 50]
+
+
 def test_suffix_array_and_prefixes():
     draw = random.Random(3)
     for _ in range(500):

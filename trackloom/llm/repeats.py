@@ -33,10 +33,10 @@ from trackloom.llm.storage import partitions
 
 #: Parts and shards for each shuffle partition; pieces that an anchor's shard may hold before it is dealt by window.
 PARTS, SHARDS, CROWD = 4, 16, 1000
-#: Of a piece's hash so many bits are kept beside the 64 of its anchor's. Rows of OCCURRENCE have the first window,
-#: the number of windows (NUMBER_BITS) and whether they are settled in one number: they are the widest shuffle.
-PIECE_BITS, NUMBER_BITS = 40, 15
-PIECE_MASK = np.uint64((1 << PIECE_BITS) - 1)
+#: Rows of OCCURRENCE have the first window, the number of windows (NUMBER_BITS) and whether they are settled in one
+#: number: they are the widest shuffle. Hashes keep their 64 bits: among one anchor's pieces only the piece's hash and
+#: its number of windows tell different pieces apart.
+NUMBER_BITS = 15
 OCCURRENCE = "hash long, piece long, row long, doc long, place long, part long"
 FOUND = "part long, row long, doc long, start long, n long, kind long, hash long"
 CONTENT = "shard long, part long, row long, doc long, start long, n long, units binary"
@@ -175,11 +175,12 @@ def _suspects(parts: DataFrame, windows: Windows, buckets: int) -> DataFrame:
     return packed.groupBy("bucket").applyInArrow(found, "part long, bucket long, found binary")
 
 
-def _settled(windows: Windows, hash_, piece, doc, start) -> tuple[np.ndarray, np.ndarray]:
+def _settled(windows: Windows, hash_, piece, doc, start, n) -> tuple[np.ndarray, np.ndarray]:
     """(order by anchor, piece and place; whether an equal piece comes strictly before), both in that order."""
-    order = np.lexsort((start, doc, piece, hash_))
-    new = np.ones(len(order), bool)
-    new[1:] = (hash_[order][1:] != hash_[order][:-1]) | (piece[order][1:] != piece[order][:-1])
+    order = np.lexsort((start, doc, n, piece, hash_))
+    new = np.arange(len(order)) == 0
+    for x in (hash_, piece, n):
+        new[1:] |= x[order][1:] != x[order][:-1]
     first = np.flatnonzero(new)[np.cumsum(new) - 1]
     late = doc[order] > doc[order][first]
     if windows.within:
@@ -200,11 +201,11 @@ def _occurrences(parts: DataFrame, suspects: DataFrame, windows: Windows, bucket
             at = np.searchsorted(wanted, mark)
             keep = wanted[np.minimum(at, len(wanted) - 1)] == mark
             doc, start = doc[keep], start[keep]
-            got.append((signed(hash_[keep]), signed(piece[keep] & PIECE_MASK), first + doc, ids[doc], start - firsts[doc], n[keep]))
+            got.append((signed(hash_[keep]), signed(piece[keep]), first + doc, ids[doc], start - firsts[doc], n[keep]))
         if not got:
             return _empty(OCCURRENCE)
         hash_, piece, row, doc, start, n = map(np.concatenate, zip(*got))
-        order, late = _settled(windows, hash_, piece, doc, start)
+        order, late = _settled(windows, hash_, piece, doc, start, n)
         # what is settled needs no particular task further on
         part = np.full(len(order), key[0].as_py())
         hash_, piece, doc = (np.where(late, rest, x[order]) for x, rest in ((hash_, part), (piece, 0), (doc, 0)))
@@ -226,11 +227,11 @@ def _resolved(occurrences: DataFrame, windows: Windows) -> DataFrame:
         zero = np.zeros(int(gone.sum()), np.int64)
         out = [(part[gone], row[gone], zero, start[gone], n[gone], zero, zero)]
         hash_, piece, row, doc, start, n, part = (x[~gone] for x in (hash_, piece, row, doc, start, n, part))
-        order, late = _settled(windows, hash_, piece, doc, start)
+        order, late = _settled(windows, hash_, piece, doc, start, n)
         hash_, piece, row, doc, start, n, part = (x[order] for x in (hash_, piece, row, doc, start, n, part))
         if len(hash_):
             new_anchor = np.concatenate([[True], hash_[1:] != hash_[:-1]])
-            new_piece = new_anchor | np.concatenate([[True], piece[1:] != piece[:-1]])
+            new_piece = new_anchor | np.concatenate([[True], (piece[1:] != piece[:-1]) | (n[1:] != n[:-1])])
             anchor = np.cumsum(new_anchor) - 1
             classes = np.bincount(anchor, new_piece).astype(np.int64)[anchor]
             kind = np.where(late, GONE, np.where(classes > CROWD, ASK_CROWDED, ASK))
