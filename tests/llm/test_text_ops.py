@@ -2,6 +2,7 @@
 
 import base64
 import hashlib
+import math
 import random
 import re
 from collections import Counter, defaultdict
@@ -221,6 +222,19 @@ def test_sketches_never_drop_links():
         assert np.bitwise_count(whole[0] ^ whole[1]).sum() <= len(a ^ b)
 
 
+def test_sketches_lose_fewer_links_than_bands():
+    samples, bits = near_dedup.BANDS * near_dedup.ROWS, near_dedup.SKETCH_BITS
+    most, odd = near_dedup.most_odd_bits(), np.arange(bits + 1)
+    chance, beyond = (odd == 0).astype(float), []
+    for _ in range(samples + 1):  # each differing sample flips a bit in either sketch
+        beyond.append(chance[most + 1 :].sum())
+        for _ in range(2):
+            up, down = chance * (bits - odd) / bits, chance * odd / bits
+            chance = np.append(down[1:], 0) + np.append(0, up[:-1])
+    lost = sum(math.comb(samples, d) * 0.25**d * 0.75 ** (samples - d) * p for d, p in enumerate(beyond))
+    assert lost <= (1 - 0.75**near_dedup.ROWS) ** near_dedup.BANDS
+
+
 def test_mixing(docs, texts, spark):
     made = mixing.mix_report(docs, block_words=8, shard_slots=16)
     got = [r.asDict() for r in made.collect()]

@@ -32,9 +32,9 @@ from trackloom.llm.storage import stored
 SHINGLE, PERCENT = 5, 75
 #: A pair at the threshold shares no band with a chance of (1 - 0.75**4)**40 = 2.6e-7.
 BANDS, ROWS = 40, 4
-#: Bits of an odd sketch over BANDS * ROWS samples. A pair is dropped where the estimate is below LEAST_ESTIMATE:
-#: five standard deviations under the threshold.
-SKETCH_BITS, LEAST_ESTIMATE = 512, 0.57
+#: Bits of an odd sketch over BANDS * ROWS samples. A pair is dropped where the estimate is below LEAST_ESTIMATE: one at
+#: the threshold with a chance of 1.4e-7 (exact, binomial samples and parity of bits), less than it shares no band.
+SKETCH_BITS, LEAST_ESTIMATE = 512, 0.51
 #: Bits of the bitmap of a set, which has the shingles of larger sets by 1 in 2, 4, ... only. From a sample, a pair is
 #: dropped beyond six standard deviations.
 SET_BITS, DEVIATIONS = 1024, 6
