@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
+import atexit
 import os
 import re
+import shutil
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: Folders of local applications that name none, by application.
+_own_dirs: dict[str, str] = {}
+
 
 def build_session(app: str = "trackloom", cpus: str | None = None) -> SparkSession:
     """Session for local runs; on a cluster ``spark-submit`` supplies master and sizes."""
@@ -29,13 +34,20 @@ def build_session(app: str = "trackloom", cpus: str | None = None) -> SparkSessi
 
 
 def scratch_dir(spark: SparkSession) -> str:
-    """Shared folder the cluster names in ``spark.checkpoint.dir``; only a local session may go without one."""
+    """Shared folder the cluster names in ``spark.checkpoint.dir``; only a local session may go without one.
+
+    A local session without the setting gets a folder of its own under ``/tmp``, which goes when Python ends. No setting
+    is changed: core settings of a running session can't be.
+    """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named is None:
-        if not re.fullmatch(r"local(\[.*\])?", spark.conf.get("spark.master", "local")):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        named = tempfile.mkdtemp(prefix="spark-", dir="/tmp")
-        spark.conf.set("spark.checkpoint.dir", named)
+        application = spark.sparkContext.applicationId
+        if application not in _own_dirs:
+            if not re.fullmatch(r"local(\[.*\])?", spark.conf.get("spark.master", "local")):
+                raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+            _own_dirs[application] = tempfile.mkdtemp(prefix="spark-", dir="/tmp")
+            atexit.register(shutil.rmtree, _own_dirs[application], ignore_errors=True)
+        named = _own_dirs[application]
     return named.rstrip("/")
 
 
