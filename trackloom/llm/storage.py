@@ -2,31 +2,20 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+from trackloom.session import scratch_dir
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that ``spark.checkpoint.dir`` names. Only a local session may go without: it gets one under /tmp."""
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    if named is None:
-        master = spark.conf.get("spark.master", "local")
-        if not master.startswith("local") or master.startswith("local-cluster"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        named = tempfile.mkdtemp(prefix="spark-", dir="/tmp")
-        spark.conf.set("spark.checkpoint.dir", named)
-    return named.rstrip("/")
-
-
 def stored(df: DataFrame) -> DataFrame:
     """``df`` written once to the shared folder and read back: its lineage ends there and lost executors cost nothing."""
-    path = f"{shared_dir(df.sparkSession)}/{uuid.uuid4().hex}"
+    path = f"{scratch_dir(df.sparkSession)}/{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
