@@ -64,3 +64,38 @@ links AS (
 n AS (SELECT a AS id, count(*) AS n FROM ways GROUP BY 1)
 SELECT v.vec_id, coalesce(n.n, 0) AS n_links, coalesce(comp.c, v.vec_id) AS component_id, coalesce(comp.c, v.vec_id) = v.vec_id AS kept
 FROM v LEFT JOIN n ON n.id = v.vec_id LEFT JOIN comp ON comp.id = v.vec_id"""
+
+
+EXACT_DEDUP = r"""
+WITH d AS (SELECT doc_id, length(coalesce(text, '')) AS chars, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g') AS t FROM documents),
+r AS (
+  SELECT doc_id, t, first_value(doc_id) OVER w AS keep_id, row_number() OVER w AS r, count(*) OVER (PARTITION BY t) AS n
+  FROM d WINDOW w AS (PARTITION BY t ORDER BY chars DESC, doc_id))
+SELECT doc_id, keep_id, n AS group_size, r = 1 AS kept, sha256(t) AS text_sha256 FROM r"""
+
+#: The checksum byte by byte, from its table; near words by the strings that are left when one code point goes.
+SPELLING = r"""
+WITH RECURSIVE byte AS (
+  SELECT list(list_reduce(range(8), lambda c, k: xor(c >> 1, 3988292384 * (c & 1)), i) ORDER BY i) AS t FROM (SELECT unnest(range(256)) AS i)),
+run AS (
+  SELECT coalesce(CAST(doc_id AS VARCHAR), '') AS id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-z\x{C0}-\x{FF}]+')) AS r
+  FROM documents),
+found AS (SELECT id, r, count(*) AS n, hex(encode(id || ':' || r)) AS h FROM run WHERE length(r) >= 7 GROUP BY 1, 2),
+crc AS (
+  SELECT r, n, xor(list_reduce(list_transform(range(length(h) // 2), lambda i: CAST('0x' || substr(h, 2 * i + 1, 2) AS BIGINT)),
+    lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1]), 4294967295), 4294967295) AS c FROM found, byte),
+made AS (SELECT CASE WHEN c % 31 = 0 THEN substr(r, 1, c % length(r)) || substr(r, c % length(r) + 2) ELSE r END AS word, n FROM crc),
+w AS (SELECT word, CAST(sum(n) AS BIGINT) AS n FROM made WHERE length(word) >= 7 GROUP BY 1 HAVING sum(n) >= 2),
+cut AS (SELECT word, n, i, substr(word, 1, i) || substr(word, i + 2) AS rest FROM (SELECT word, n, unnest(range(length(word))) AS i FROM w)),
+pair AS (
+  SELECT a.word, a.n, b.word AS near, b.n AS near_n FROM cut a JOIN cut b ON a.i = b.i AND a.rest = b.rest AND a.word <> b.word
+  UNION SELECT a.word, a.n, b.word, b.n FROM cut a JOIN w b ON a.rest = b.word
+  UNION SELECT b.word, b.n, a.word, a.n FROM cut a JOIN w b ON a.rest = b.word),
+best AS (
+  SELECT word, n, count(*) OVER (PARTITION BY word) AS n_near, near, near_n FROM pair
+  QUALIFY row_number() OVER (PARTITION BY word ORDER BY near_n DESC, encode(near)) = 1),
+form AS (SELECT word, near AS form, near_n AS form_n FROM best WHERE near_n >= 10 * n),
+walk(word, place) AS (SELECT word, word FROM w UNION ALL SELECT walk.word, form.form FROM walk JOIN form ON form.word = walk.place),
+root AS (SELECT word, place AS root FROM walk WHERE place NOT IN (SELECT word FROM form))
+SELECT w.word, form, root, w.n, coalesce(n_near, 0) AS n_near, form_n
+FROM w LEFT JOIN best USING (word) LEFT JOIN form USING (word) JOIN root USING (word)"""

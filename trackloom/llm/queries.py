@@ -9,10 +9,12 @@ from pyspark.sql import DataFrame, SparkSession
 from trackloom.llm import oracles
 from trackloom.llm.bpe import encode_texts
 from trackloom.llm.decision_list import quality_verdicts
+from trackloom.llm.exact_dedup import exact_duplicates
 from trackloom.llm.html_extract import extract
 from trackloom.llm.mixing import mix_report
 from trackloom.llm.near_dedup import near_duplicates
 from trackloom.llm.sharding import SHARDS, place
+from trackloom.llm.spelling import spelling_variants
 from trackloom.llm.storage import table
 from trackloom.llm.substring_dedup import remove_repeated_spans
 from trackloom.llm.suffix_dedup import remove_repeated_bytes
@@ -66,6 +68,14 @@ def op10_vector_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_vectors(table(spark, sf_dir, "embeddings"))
 
 
+def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants(table(spark, sf_dir, "documents"))
+
+
+def op13_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_duplicates(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Query]:
     return {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
 
@@ -77,4 +87,6 @@ def oracle_sql() -> dict[str, str]:
         "op2_near_dedup": oracles.NEAR_DEDUP,
         "op4_suffix_dedup": oracles.SUFFIX_DEDUP,
         "op10_vector_dedup": oracles.VECTOR_DEDUP,
+        "op12_spelling": oracles.SPELLING,
+        "op13_exact_dedup": oracles.EXACT_DEDUP,
     }
