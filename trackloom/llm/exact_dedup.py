@@ -31,8 +31,9 @@ WHITE = "\x20\x09\x0a\x0b\x0c\x0d"
 #: Rows of a run at most, entries of a message at most, and digest bits of a round (2**BITS runs are merged at once).
 RUN_ROWS, MESSAGE_ROWS, BITS = 200_000, 20_000, 4
 
+#: An entry of a run; its digest as four numbers, the leading one first.
 ENTRY = np.dtype(
-    [("digest", ">u8", 4), ("length", "<i8"), ("chars", "<i8"), ("no_id", "<i8"), ("id", "<i8"), ("row", "<i8"), ("n", "<i8")]
+    [("digest", "<u8", 4), ("length", "<i8"), ("chars", "<i8"), ("no_id", "<i8"), ("id", "<i8"), ("row", "<i8"), ("n", "<i8")]
 )
 
 
@@ -42,7 +43,7 @@ def merge(pieces: list[np.ndarray]) -> np.ndarray:
     The stable sort takes the pieces as the runs they are. A row without an id comes after those with one.
     """
     rows = pieces[0] if len(pieces) == 1 else np.concatenate(pieces)
-    digest = rows["digest"].astype(np.uint64)
+    digest = rows["digest"]
     order = np.lexsort(
         (rows["row"], rows["id"], rows["no_id"], -rows["chars"], rows["length"], digest[:, 3], digest[:, 2], digest[:, 1], digest[:, 0])
     )
@@ -59,7 +60,7 @@ def merge(pieces: list[np.ndarray]) -> np.ndarray:
 
 def digit(entries: np.ndarray, level: int, bits: int = BITS) -> np.ndarray:
     """The ``level``-th digit of the entries' digests; it never falls among entries whose earlier digits agree."""
-    lead = entries["digest"][:, 0].astype(np.uint64)
+    lead = entries["digest"][:, 0]
     return ((lead >> np.uint64(64 - bits * (level + 1))) & np.uint64((1 << bits) - 1)).astype(np.int64)
 
 
@@ -147,7 +148,7 @@ def _repeated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             rows = rows[rows["n"] > 1]
             if len(rows):
                 columns = [
-                    pa.array([d.tobytes() for d in rows["digest"]], pa.binary()),
+                    pa.array([d.tobytes() for d in rows["digest"].astype(">u8")], pa.binary()),
                     pa.array(rows["length"]),
                     pa.array(rows["row"]),
                     pa.array(rows["id"], mask=rows["no_id"] == 1),
