@@ -66,6 +66,28 @@ SELECT v.vec_id, coalesce(n.n, 0) AS n_links, coalesce(comp.c, v.vec_id) AS comp
 FROM v LEFT JOIN n ON n.id = v.vec_id LEFT JOIN comp ON comp.id = v.vec_id"""
 
 
+RANKED_SEARCH = r"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS t
+  FROM documents),
+n AS (SELECT doc_id, CAST(len(t) AS BIGINT) AS n, t FROM d WHERE len(t) > 0),
+tot AS (SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS len FROM n),
+q AS (
+  SELECT item_id, term, count(*) AS times FROM (
+    SELECT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+    FROM benchmark) GROUP BY 1, 2),
+tf AS (
+  SELECT doc_id, n, term, count(*) AS tf FROM (SELECT doc_id, n, unnest(t) AS term FROM n)
+  WHERE term IN (SELECT term FROM q) GROUP BY 1, 2, 3),
+w AS (
+  SELECT term, CAST(floor(1000 * ln((2 * any_value(docs) + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE)) AS BIGINT) AS w
+  FROM tf, tot GROUP BY 1),
+s AS (
+  SELECT item_id, doc_id, CAST(sum(times * w * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * docs) // len)))) AS BIGINT) AS score
+  FROM q JOIN w USING (term) JOIN tf USING (term), tot GROUP BY 1, 2)
+SELECT item_id, CAST(r AS INTEGER) AS rank, doc_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS r FROM s WHERE score > 0) WHERE r <= 20"""
+
 EXACT_DEDUP = r"""
 WITH d AS (SELECT doc_id, length(coalesce(text, '')) AS chars, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g') AS t FROM documents),
 r AS (

@@ -13,6 +13,7 @@ from trackloom.llm.exact_dedup import exact_duplicates
 from trackloom.llm.html_extract import extract
 from trackloom.llm.mixing import mix_report
 from trackloom.llm.near_dedup import near_duplicates
+from trackloom.llm.ranked_search import ranked_search
 from trackloom.llm.sharding import SHARDS, place
 from trackloom.llm.spelling import spelling_variants
 from trackloom.llm.storage import table
@@ -68,6 +69,10 @@ def op10_vector_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_vectors(table(spark, sf_dir, "embeddings"))
 
 
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling_variants(table(spark, sf_dir, "documents"))
 
@@ -87,6 +92,7 @@ def oracle_sql() -> dict[str, str]:
         "op2_near_dedup": oracles.NEAR_DEDUP,
         "op4_suffix_dedup": oracles.SUFFIX_DEDUP,
         "op10_vector_dedup": oracles.VECTOR_DEDUP,
+        "op11_ranked_search": oracles.RANKED_SEARCH,
         "op12_spelling": oracles.SPELLING,
         "op13_exact_dedup": oracles.EXACT_DEDUP,
     }
