@@ -1,4 +1,7 @@
-"""``python -m trackloom JOB INPUT --out DIR [--json] [--set name=value ...]`` (or spark-submit)."""
+"""``python -m trackloom JOB INPUT --out DIR [--json] [--files] [--set name=value ...]`` (or spark-submit).
+
+Results are Parquet tables below DIR; with ``--files`` a job's records are one JSON file each, in their sample's folder.
+"""
 
 from __future__ import annotations
 
@@ -8,6 +11,7 @@ import os
 
 from trackloom.plans.commands import COMMANDS, Dataset
 from trackloom.session import build_session
+from trackloom.sources.record_files import write_record_files
 
 
 def option(text: str) -> tuple[str, object]:
@@ -25,12 +29,17 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("input", help="ingested tables, or the dataset folder with --json")
     parser.add_argument("--out", required=True)
     parser.add_argument("--json", action="store_true", help="read the per-frame JSON files")
+    parser.add_argument("--files", action="store_true", help="write records as one file each")
     parser.add_argument("--set", action="append", default=[], type=option, metavar="NAME=VALUE")
     args = parser.parse_args(argv)
     spark = build_session(f"trackloom {args.job}", os.environ.get("TRACKLOOM_CPUS"))
     data = Dataset(spark, args.input, from_json=args.json)
     for name, table in COMMANDS[args.job](data, **dict(args.set)).items():
-        table.write.mode("errorifexists").parquet(f"{args.out.rstrip('/')}/{name}")
+        target = f"{args.out.rstrip('/')}/{name}"
+        if args.files and table.columns == ["path", "value"]:
+            write_record_files(table, target)
+        else:
+            table.write.mode("errorifexists").parquet(target)
 
 
 if __name__ == "__main__":

@@ -31,20 +31,26 @@ def _side(df: DataFrame, prefix: str, keys: list[str], columns: list[str]) -> Da
 
 
 def _blocked_join(left: DataFrame, right: DataFrame, keys: list[str], block: int) -> DataFrame:
-    """Join on ``keys`` where a large group is split into (block of left, block of right) cells."""
-    sizes = (
+    """Join on ``keys`` where a large group is split into (block of left, block of right) cells.
+
+    Only groups with more than ``block`` rows are listed, at most one for every ``block`` rows, so that the planner can
+    broadcast the list; all others are one block without having been joined.
+    """
+    crowded = (
         left.select(*keys)
         .unionByName(right.select(*keys))
         .groupBy(*keys)
         .agg(F.count(F.lit(1)).alias("_n"))
+        .where(F.col("_n") > block)
         .select(*keys, F.ceil(F.col("_n") / block).cast("int").alias("_blocks"))
     )
 
     def spread(df: DataFrame, pos: str, own: str, other: str) -> DataFrame:
+        blocks = F.coalesce("_blocks", F.lit(1))
         return (
-            df.join(sizes, keys)
-            .withColumn(own, F.pmod(F.col(pos), F.col("_blocks")).cast("int"))
-            .withColumn(other, F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)))
+            df.join(crowded, keys, "left")
+            .withColumn(own, F.pmod(F.col(pos), blocks).cast("int"))
+            .withColumn(other, F.explode(F.sequence(F.lit(0), blocks - 1)))
             .drop("_blocks")
         )
 

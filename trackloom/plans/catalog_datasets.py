@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from trackloom.operators import clean as C
+from trackloom.operators import coco as Q
 from trackloom.operators import datasets as D
 from trackloom.operators import relabel as R
 from trackloom.operators.tubes import KEY as TUBE
@@ -78,6 +79,25 @@ def _remap_boxes(v: Views):
     return R.remap_annotations(annotations, _remap(v))
 
 
+# Categories of the document of a frame, in two orders; "shoot" is there twice, one name is blank.
+EVEN = '[{"id":3,"name":"shoot"},{"id":1,"name":" hold "},{"id":7,"name":"pass"},{"id":9,"name":"shoot"},{"id":5,"name":""}]'
+ODD = '[{"id":7,"name":"pass","x":1},{"id":9,"name":"shoot"},{"id":5,"name":" "},{"id":1,"name":"hold"},{"id":3,"name":"shoot"}]'
+CODE = "CASE action WHEN 'shoot' THEN 3 + 6 * (track_id::BIGINT % 2) WHEN 'hold' THEN 1 WHEN 'pass' THEN 7 ELSE 5 + 94 * (track_id::BIGINT % 2) END"
+
+
+def _category_documents(v: Views):
+    """A category document for every frame."""
+    odd = F.col("track_id").cast("bigint") % 2
+    code = (
+        F.when(F.col("action") == "shoot", 3 + 6 * odd).when(F.col("action") == "hold", 1).when(F.col("action") == "pass", 7).otherwise(5 + 94 * odd)
+    )
+    note = F.struct(F.col("pos").alias("id"), code.alias("category_id"), F.array(*[F.col(c).cast("bigint") for c in ("x1", "y1", "x2", "y2")]).alias("bbox"))
+    notes = v.boxes().groupBy("video_id", "frame_idx").agg(F.to_json(F.sort_array(F.collect_list(note))).alias("_notes"))
+    categories = F.when(F.col("frame_idx") % 2 == 0, EVEN).otherwise(ODD)
+    text = F.concat(F.lit('{"info":{"n":'), F.col("frame_idx").cast("string"), F.lit('},"annotations":'), "_notes", F.lit(',"categories":'), categories, F.lit("}"))
+    return notes.select(F.concat_ws("/", "video_id", F.col("frame_idx").cast("string")).alias("path"), text.alias("value"))
+
+
 def _formats(v: Views):
     """JSON texts of several forms made from the documents."""
     n = F.col("doc_id") % 5
@@ -263,6 +283,16 @@ QUERIES = {
         ctes("fx_boxes", "fx_label_map", extra=[CATEGORIES, REMAPPED])
         + """ SELECT b.video_id AS doc_id, b.frame_idx, b.pos, r.new_id AS category_id FROM fx_boxes b JOIN remapped r
  ON r.doc_id = b.video_id AND r.category_id = CASE WHEN action = '' THEN 0 ELSE ascii(action) END * 10 + track_id::BIGINT""",
+    ),
+    "coco_records": (
+        lambda v: Q.relabel_documents(_category_documents(v), R.clean_mapping(v.label_map())),
+        ctes("fx_boxes")
+        + f""", notes AS (SELECT video_id, frame_idx, pos, x1, y1, x2, y2, CASE WHEN code IN (3, 9) THEN CASE WHEN frame_idx % 2 = 0 THEN 1 ELSE 2 END
+ WHEN code = 7 THEN CASE WHEN frame_idx % 2 = 0 THEN 2 ELSE 1 END END AS new FROM (SELECT *, {CODE} AS code FROM fx_boxes))
+ SELECT concat(video_id, '/', frame_idx) AS path, concat('{{"info":{{"n":', frame_idx, '}},"annotations":[', coalesce(string_agg(concat('{{"bbox":[', x1::BIGINT, ',', y1::BIGINT, ',',
+ x2::BIGINT, ',', y2::BIGINT, '],"id":', pos, ',"category_id":', new, '}}'), ',' ORDER BY pos) FILTER (new IS NOT NULL), ''), '],"categories":[',
+ CASE WHEN frame_idx % 2 = 0 THEN '{{"id":1,"name":"shot"}},{{"id":2,"name":"pass"}}' ELSE '{{"id":1,"name":"pass"}},{{"id":2,"name":"shot"}}' END, ']}}') AS value,
+ count(*)::INTEGER AS n_before, count(new)::INTEGER AS n_after FROM notes GROUP BY video_id, frame_idx""",
     ),
     "detect_format": (
         _formats,

@@ -9,11 +9,13 @@ from pyspark.sql import functions as F
 
 from trackloom.functions.fields import pad_number
 from trackloom.operators import align as A
+from trackloom.operators import clean as C
 from trackloom.operators import datasets as D
 from trackloom.operators import profile as P
 from trackloom.operators import relabel as E
 from trackloom.operators.quantiles import five_numbers
 from trackloom.plans.catalog_align import ALIGNED, Pair
+from trackloom.plans.catalog_datasets import JUDGED, KEPT, MAX_LEN, REMOVE, SIGMA
 from trackloom.plans.catalog_overlap import summary_sql
 from trackloom.plans.catalog_profile import SIZES
 from trackloom.plans.fixtures import Views, ctes
@@ -234,7 +236,53 @@ def _one_track(v: Views):
     )
 
 
+def _whole_texts(v: Views):
+    """The record of every frame with a key and a shape field that no operator reads; none is broken."""
+    texts = L.frame_records(v.boxes())
+    path = F.concat(F.lit("/data/videos/"), "video_id", F.lit("/"), pad_number(F.col("frame_idx"), 6), F.lit(".json"))
+    shapes = F.transform("shapes", lambda s: s.withField("note", F.lit("n")))
+    text = F.to_json(F.struct("imagePath", "imageWidth", "imageHeight", shapes.alias("shapes"), F.col("frame_idx").alias("extra")))
+    return texts.select(path.alias("path"), text.alias("value"))
+
+
+def _with_path(boxes):
+    path = F.concat(F.lit("/data/videos/"), "video_id", F.lit("/"), pad_number(F.col("frame_idx"), 6), F.lit(".json"))
+    return boxes.withColumn("path", path)
+
+
+def _clean_records(v: Views):
+    kept = C.clean_boxes(_with_path(v.boxes()), SIGMA, MAX_LEN)
+    return L.keep_shapes(_whole_texts(v), kept)
+
+
+def _remove_records(v: Views):
+    kept = C.remove_tubes(_with_path(v.boxes()), v.remove_list())
+    return L.keep_shapes(_whole_texts(v), kept, emptied=False)
+
+
+def record_sql(start: str, kept: str, emptied: bool) -> str:
+    """Whole texts of the records of all boxes with the shapes of ``kept`` only."""
+    number = "CAST({0}::BIGINT AS VARCHAR)"
+    points = "concat('[', " + ", ',', ".join(f"'[', {number.format(x)}, ',', {number.format(y)}, ']'" for x, y in (("x1", "y1"), ("x2", "y1"), ("x2", "y2"), ("x1", "y2"))) + ", ']')"
+    shape = (
+        "concat('{\"attributes\":{\"action\":\"', action, '\",\"track_id\":\"', track_id, '\"},\"flags\":{},\"group_id\":\"', track_id, '\",\"label\":\"',"
+        " CASE WHEN action = '' THEN 'player' ELSE action END, '\",\"note\":\"n\",\"points\":', " + points + ", ',\"shape_type\":\"rectangle\"}')"
+    )
+    return (
+        start
+        + f""", left_over AS (SELECT video_id, frame_idx, pos FROM {kept}),
+ marked AS (SELECT b.*, l.pos IS NOT NULL AS stays FROM fx_boxes b LEFT JOIN left_over l USING (video_id, frame_idx, pos))
+ SELECT concat('/data/videos/', video_id, '/', {PADDED}, '.json') AS path,
+ concat('{{"imagePath":"', {PADDED}, '.jpg","imageWidth":1280,"imageHeight":720,"extra":', frame_idx, ',"shapes":[',
+ coalesce(string_agg({shape}, ',' ORDER BY pos) FILTER (stays), ''), ']}}') AS value,
+ count(*)::INTEGER AS n_before, count(*) FILTER (stays)::INTEGER AS n_after FROM marked GROUP BY video_id, frame_idx"""
+        + ("" if emptied else " HAVING count(*) FILTER (stays) > 0")
+    )
+
+
 QUERIES = {
+    "clean_records": (_clean_records, record_sql(JUDGED, "kept", True)),
+    "remove_records": (_remove_records, record_sql(REMOVE, KEPT, False)),
     "scan_labelme": (
         _scan,
         ctes("fx_boxes")

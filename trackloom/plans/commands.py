@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from trackloom.functions.fields import base_name, matches_prefixes
 from trackloom.operators import align as A
 from trackloom.operators import clean as C
+from trackloom.operators import coco as Q
 from trackloom.operators import datasets as D
 from trackloom.operators import interactions as I
 from trackloom.operators import overlap as O
@@ -201,15 +202,14 @@ def _relabelled(texts: DataFrame, names: DataFrame) -> DataFrame:
 
 
 def convert_records(data: Dataset, mapping: str) -> Tables:
-    """Mapped record texts with every key kept; records left without shapes are dropped."""
+    """Mapped record texts of both formats with every other key kept; per-frame records left without shapes are dropped."""
     names = X.read_mapping(data.spark, mapping)
-    changed = R.relabel_records(data.records, names)
-    emptied = (F.col("n_before") > 0) & (F.col("n_after") == 0)
+    changed = Q.relabel_any(data.records, names)
     return {
-        "records": changed.where(~emptied).select("path", "value"),
+        "records": changed.where("NOT emptied").select("path", "value"),
         "summary": changed.agg(
             F.count(F.lit(1)).alias("files"),
-            F.count_if(emptied).alias("files_deleted"),
+            F.count_if(F.col("emptied") & (F.col("n_before") > 0)).alias("files_deleted"),
             F.sum("n_before").alias("annotations_before"),
             F.sum("n_after").alias("annotations_after"),
         ),
@@ -459,7 +459,34 @@ def first_frame_difference(spark: SparkSession, a_root: str, b_root: str) -> Tab
     }
 
 
-# Jobs that need only a dataset and plain options.
+def merge_with(data: Dataset, others: list[str]) -> Tables:
+    """The tube dataset merged with others; the first one's paths win."""
+    return merge_tube_datasets(data.spark, [data.root, *others])
+
+
+def profile_interactions(data: Dataset, splits: dict[str, str], actions: str) -> Tables:
+    """``splits`` and ``actions`` are files below the input folder."""
+    return interaction_profile(data.spark, {n: f"{data.root}/{p}" for n, p in splits.items()}, f"{data.root}/{actions}")
+
+
+def compare_with(data: Dataset, other: str, alignment: str, threshold: float = 0.5) -> Tables:
+    return compare_aligned(data, Dataset(data.spark, other, data.from_json), alignment, threshold)
+
+
+def align_with(data: Dataset, other: str, threshold: float = 3.0, max_k: int | None = 20) -> Tables:
+    return align_images(data.spark, data.root, other, threshold, max_k)
+
+
+def first_frames_with(data: Dataset, other: str) -> Tables:
+    return first_frame_difference(data.spark, data.root, other)
+
+
+def pickle_with_frames(data: Dataset, frames: str) -> Tables:
+    """``frames`` is the folder of the images that the pickle's videos have."""
+    return pickle_to_std(data, Dataset(data.spark, frames, from_json=True).frames)
+
+
+# Jobs of a dataset and plain options.
 COMMANDS: dict[str, Callable[..., Tables]] = {
     "ingest": ingest,
     "analyze-folder": analyze_folder,
@@ -488,4 +515,10 @@ COMMANDS: dict[str, Callable[..., Tables]] = {
     "upsample-fps": upsample_fps,
     "std-to-tubes": std_to_tubes,
     "tube-stats": tube_stats,
+    "merge-tube-datasets": merge_with,
+    "interaction-profile": profile_interactions,
+    "compare-aligned": compare_with,
+    "align-images": align_with,
+    "first-frame-difference": first_frames_with,
+    "pickle-to-std": pickle_with_frames,
 }
