@@ -2,7 +2,11 @@
 
 Pass one counts values per cell of a fixed monotone grid (at most a few thousand cells per
 group, combined on the map side). The cells that hold the wanted ranks are known from the
-running counts. Pass two reads only the values of those cells and picks the ranks inside them.
+running counts. Pass two reads only the values of those cells, as distinct values with counts, and
+finds the ranks by radix selection on the order-preserving bits of a double: each step counts the next digit of
+the values that share the digits so far, and goes on with the digit that holds the rank. Running counts are taken
+over digits, of which there are at most 2**DIGIT_BITS, and never over values, so a cell with any number of
+values is no task's burden. All steps read the same shuffle of pass two.
 """
 
 from __future__ import annotations
@@ -11,6 +15,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 CELLS = 4096
+#: Bits of a digit of the radix selection; 64 bits in all.
+DIGIT_BITS = (22, 21, 21)
 QUARTILES = {"p25": 0.25, "p75": 0.75}
 
 
@@ -23,6 +29,45 @@ def _cell(value: Column, scale: float) -> Column:
     return F.when(value >= 0, grow(value)).otherwise(-grow(-value) - 1)
 
 
+def ordered_bits(value: Column) -> Column:
+    """The 64 bits of a double as a number with the same order: negative values have all other bits flipped."""
+    bits = F.java_method(F.lit("java.lang.Double"), F.lit("doubleToLongBits"), value).cast("bigint")
+    return bits.bitwiseXOR(F.shiftright(bits, 63).bitwiseAND(F.lit((1 << 63) - 1)))
+
+
+def _radix_pick(values: DataFrame, inside: DataFrame, keys: list[str], digits: tuple[int, ...]) -> DataFrame:
+    """(keys, prob, side, _v): the ``_k``-th value (from 0) of a cell for every row of ``inside``.
+
+    ``values`` has (keys, _cell, _v, _n), one row per distinct value. The digits so far are the bits above ``left``.
+    """
+    cell = [*keys, "_cell"]
+    values = values.withColumn("_bits", ordered_bits(F.col("_v")))
+    wanted, known, left = inside, [], 64
+    for step, width in enumerate(digits):
+        left -= width
+        prefix = F.shiftright("_bits", left)
+        if known:
+            # The digits so far are the key; there are as few of them as there are ranks.
+            here = values.withColumn("_known", F.shiftright("_bits", left + width)).join(
+                wanted.select(*cell, "_known").distinct(), [*cell, "_known"], "left_semi"
+            )
+        else:
+            here = values
+        group = [*cell, *known]
+        counted = here.withColumn("_digit", prefix).groupBy(*group, "_digit").agg(F.sum("_n").alias("_n"), F.max("_v").alias("_v"))
+        placed = (
+            _running(counted, group, "_digit")
+            .join(wanted, group)
+            .where((F.col("_k") >= F.col("_lo")) & (F.col("_k") < F.col("_hi")))
+        )
+        rest = (F.col("_k") - F.col("_lo")).alias("_k")
+        if step + 1 == len(digits):
+            return placed.select(*keys, "prob", "side", "_v")
+        wanted = placed.select(*cell, F.col("_digit").alias("_known"), "prob", "side", rest)
+        known = ["_known"]
+    raise ValueError("no digits")
+
+
 def _pick_ranks(running: DataFrame, keys: list[str], probs: dict[str, float]) -> DataFrame:
     """Rows of ``running`` (columns _lo, _hi, _total) that hold the rank below or above a quantile."""
     at = {name: F.lit(p) * (F.col("_total") - 1) for name, p in probs.items()}
@@ -123,11 +168,7 @@ def five_numbers(
             .groupBy(*keys, "_cell", "_v")
             .agg(F.sum("_w").alias("_n"))
         )
-        picked = (
-            _running(values, [*keys, "_cell"], "_v")
-            .join(inside, [*keys, "_cell"])
-            .where((F.col("_k") >= F.col("_lo")) & (F.col("_k") < F.col("_hi")))
-        )
+        picked = _radix_pick(values, inside, keys, DIGIT_BITS)
     out = totals.join(_interpolate(picked, keys, probs), keys)
     for name, p in probs.items():
         at = F.lit(p) * (F.col("count") - 1)

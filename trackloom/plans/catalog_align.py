@@ -125,11 +125,10 @@ ENDINGS = ctes(
 
 
 def _search(v: Views):
-    """Frame 7 of each video is looked for among the video's frames."""
+    """The second side is the whole first one, brighter and seven frames later; its first frame is looked for."""
     pixels = v.pixels().withColumn("file", F.concat(F.col("frame_idx").cast("string"), F.lit(".jpg")))
-    return A.align_search(
-        pixels, pixels.where(F.col("frame_idx") >= 7).withColumn("pixels", F.transform("pixels", lambda x: x + 0.25)), 0.27
-    ).withColumn("mean", F.round("mean", 6))
+    later = pixels.withColumn("frame_idx", F.col("frame_idx") + 7).withColumn("pixels", F.transform("pixels", lambda x: x + 0.25))
+    return A.align_search(pixels, later, 0.27).withColumn("mean", F.round("mean", 6))
 
 
 def _merge(v: Views):
@@ -226,11 +225,11 @@ QUERIES = {
     "align_search": (
         _search,
         ctes("fx_pixels")
-        + """, s AS (SELECT video_id, list_transform(pixels, lambda x: CAST(x AS DOUBLE) + 0.25::DOUBLE) AS ref FROM fx_pixels WHERE frame_idx = 7),
+        + """, s AS (SELECT video_id, list_transform(pixels, lambda x: CAST(x AS DOUBLE) + 0.25::DOUBLE) AS ref FROM fx_pixels WHERE frame_idx = 0),
  c AS (SELECT p.video_id, frame_idx, frame_idx - 7 AS k, list_sum(list_transform(list_zip(pixels, ref), lambda z: abs(cast(z[1] AS DOUBLE) - cast(z[2] AS DOUBLE)))) / len(pixels) AS mean
  FROM fx_pixels p JOIN s USING (video_id) WHERE frame_idx >= 7),
  r AS (SELECT *, row_number() OVER (PARTITION BY video_id ORDER BY mean < 0.27 DESC, CASE WHEN mean < 0.27 THEN k ELSE mean END, k) AS n FROM c)
- SELECT video_id, 7::BIGINT AS sh_index, '7.jpg' AS sh_file, frame_idx AS ms_index, concat(frame_idx, '.jpg') AS ms_file, k, round(mean, 6) AS mean,
+ SELECT video_id, 7::BIGINT AS sh_index, '0.jpg' AS sh_file, frame_idx AS ms_index, concat(frame_idx, '.jpg') AS ms_file, k, round(mean, 6) AS mean,
  CASE WHEN mean < 0.27 THEN 'ok' ELSE 'no_below_threshold' END AS status FROM r WHERE n = 1""",
     ),
     "merge_aligned": (

@@ -28,7 +28,7 @@ PADDED = "printf('%06d', frame_idx)"
 
 
 def record_texts(v: Views):
-    """Record of every frame as a JSON text with its path; one in seven frames is broken."""
+    """Record of every frame as a JSON text with its path, and beside one in seven a copy that breaks off."""
     records = L.frame_records(v.boxes())
     path = F.concat(
         F.lit("/data/videos/"),
@@ -38,8 +38,10 @@ def record_texts(v: Views):
         F.lit(".json"),
     )
     text = F.to_json(F.struct("imagePath", "imageWidth", "imageHeight", "shapes"))
-    broken = F.col("frame_idx") % 7 == 3
-    return records.select(path.alias("path"), F.when(broken, F.left(text, F.lit(20))).otherwise(text).alias("value"))
+    cut = F.struct(F.replace(path, F.lit(".json"), F.lit("_cut.json")).alias("path"), F.left(text, F.lit(20)).alias("value"))
+    whole = F.struct(path.alias("path"), text.alias("value"))
+    files = F.when(F.col("frame_idx") % 7 == 3, F.array(whole, cut)).otherwise(F.array(whole))
+    return records.select(F.explode(files).alias("_f")).select("_f.*")
 
 
 def _scan(v: Views):
@@ -286,24 +288,24 @@ QUERIES = {
     "scan_labelme": (
         _scan,
         ctes("fx_boxes")
-        + " SELECT video_id, frame_idx, pos, track_id, action, x1, y1, x2, y2, img_w, img_h FROM fx_boxes WHERE frame_idx % 7 <> 3",
+        + " SELECT video_id, frame_idx, pos, track_id, action, x1, y1, x2, y2, img_w, img_h FROM fx_boxes",
     ),
     "scan_raw": (
         _raw,
         ctes("fx_boxes")
         + f""" SELECT concat('/data/videos/', video_id, '/', {PADDED}, '.json') AS path, concat({PADDED}, '.jpg') AS image, track_id AS first_track
- FROM fx_boxes WHERE pos = 1 AND frame_idx % 7 <> 3""",
+ FROM fx_boxes WHERE pos = 1""",
     ),
     "relabel_records": (
         _relabelled,
         ctes("fx_boxes", "fx_label_map")
         + """ SELECT video_id, frame_idx, track_id, coalesce(label2, action) AS action, x1, y1 FROM fx_boxes LEFT JOIN fx_label_map ON label = action
- WHERE frame_idx % 7 <> 3 AND coalesce(label2, 'x') <> ''""",
+ WHERE coalesce(label2, 'x') <> ''""",
     ),
     "keep_track": (
         _one_track,
         ctes("fx_boxes")
-        + " SELECT video_id, frame_idx, track_id, action, x1, y1 FROM fx_boxes WHERE frame_idx % 7 <> 3 AND track_id = '1'",
+        + " SELECT video_id, frame_idx, track_id, action, x1, y1 FROM fx_boxes WHERE track_id = '1'",
     ),
     "frame_records": (
         lambda v: L.frame_records(v.boxes()).select(

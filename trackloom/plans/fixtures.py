@@ -24,10 +24,11 @@ COLUMNS = {
         '1280 AS img_w',
         '720 AS img_h',
     ],
+    # Every order is an image; one in 29 stands far behind, so that its own frame has none.
     "fx_frames": [
         "concat('v', lpad(cast(o_orderkey % 50 AS STRING), 3, '0')) AS video_id",
-        'cast(floor(o_orderkey / 50) AS BIGINT) AS frame_idx',
-        "concat(printf('%06d', cast(floor(o_orderkey / 50) AS BIGINT)), '.jpg') AS image_name",
+        'cast(floor(o_orderkey / 50) AS BIGINT) + CASE WHEN o_custkey % 29 = 0 THEN 500000 ELSE 0 END AS frame_idx',
+        "concat(printf('%06d', cast(floor(o_orderkey / 50) AS BIGINT) + CASE WHEN o_custkey % 29 = 0 THEN 500000 ELSE 0 END), '.jpg') AS image_name",
         '1280 AS img_w',
         '720 AS img_h',
     ],
@@ -56,14 +57,14 @@ COLUMNS = {
 }
 SOURCES = {
     "fx_boxes": 'lineitem',
-    "fx_frames": 'orders WHERE o_custkey % 29 <> 0',
+    "fx_frames": 'orders',
     "fx_predictions": 'orders',
     "fx_interactions": 'lineitem',
     "fx_pixels": 'embeddings',
 }
 
 SQL = {v: f"SELECT {', '.join(COLUMNS[v])} FROM {SOURCES[v]}" for v in COLUMNS} | {
-    "fx_boxes_b": 'SELECT video_id, frame_idx - 2 AS frame_idx, pos, track_id, action, x1 + pos * 4.0 AS x1, y1 + 2.0 AS y1, x2 + pos * 4.0 AS x2, y2 + 2.0 AS y2, img_w, img_h FROM fx_boxes WHERE pos <= 4 AND frame_idx >= 3',
+    "fx_boxes_b": 'SELECT video_id, frame_idx - 2 AS frame_idx, pos, track_id, action, x1 + pos * 4.0 AS x1, y1 + 2.0 AS y1, x2 + pos * 4.0 AS x2, y2 + 2.0 AS y2, img_w, img_h FROM fx_boxes',
     "fx_alignment": "SELECT DISTINCT video_id, cast(1 AS BIGINT) AS sh_index, cast(3 AS BIGINT) AS ms_index, CASE WHEN substr(video_id, 4, 1) = '9' THEN 'no_match' ELSE 'ok' END AS status FROM fx_boxes",
     "fx_splits": "SELECT CASE WHEN doc_id % 10 < 8 THEN 'train' WHEN doc_id % 10 = 8 THEN 'val' ELSE 'test' END AS split, concat('videos/doc', cast(doc_id AS STRING)) AS path, cast(quality AS STRING) AS label FROM labels UNION ALL SELECT 'val' AS split, concat('/abs/root/videos/doc', cast(doc_id AS STRING)) AS path, cast(quality AS STRING) AS label FROM labels WHERE doc_id % 25 = 0",
     "fx_label_map": "SELECT * FROM (VALUES ('shoot', 'shot'), ('hold', ''), ('pass', 'pass')) AS t(label, label2)",
@@ -130,16 +131,13 @@ class Views:
     def boxes_b(self) -> DataFrame:
         return (
             self.boxes()
-            .where((F.col("pos") <= 4) & (F.col("frame_idx") >= 3))
             .withColumn("frame_idx", F.col("frame_idx") - 2)
             .withColumns({c: F.col(c) + F.col("pos") * 4.0 for c in ("x1", "x2")})
             .withColumns({c: F.col(c) + 2.0 for c in ("y1", "y2")})
         )
 
     def frames(self) -> DataFrame:
-        return (
-            self.table("orders").where("o_custkey % 29 <> 0").selectExpr(*COLUMNS["fx_frames"])
-        )
+        return self.table("orders").selectExpr(*COLUMNS["fx_frames"])
 
     def predictions(self) -> DataFrame:
         return self.table("orders").selectExpr(*COLUMNS["fx_predictions"])
