@@ -34,12 +34,12 @@ def groups():
     }
 
 
-@pytest.mark.parametrize("rescan", [True, False])
-def test_five_numbers(spark, rescan):
+@pytest.mark.parametrize("rescan, bounded", [(True, 0), (False, 0), (True, 600), (False, 10**6)])
+def test_five_numbers(spark, rescan, bounded):
     made = groups()
     rows = [(g, v) for g, values in made.items() for v in values] + [("single", None)]
     df = spark.createDataFrame(rows, "g string, v double").repartition(5)
-    out = Q.five_numbers(df, ["g"], {"x": F.col("v")}, digits=None, rescan=rescan)
+    out = Q.five_numbers(df, ["g"], {"x": F.col("v")}, digits=None, rescan=rescan, large_cells=True, bounded=bounded)
     got = {r["g"]: r for r in out.collect()}
     assert got.keys() == made.keys()
     for name, values in made.items():
@@ -49,9 +49,9 @@ def test_five_numbers(spark, rescan):
         assert row["p25"] == pytest.approx(low, rel=1e-12, abs=0) and row["p75"] == pytest.approx(high, rel=1e-12, abs=0)
 
 
-def test_no_window_orders_values(spark):
-    """Running counts go over digits: the windows of the plan order cells and digits only."""
+def test_no_window_orders_the_values_of_a_large_cell(spark):
+    """Running counts go over digits: the windows of the radix steps order cells and digits only."""
     df = spark.createDataFrame([(float(k),) for k in range(50)], "v double")
-    plan = Q.five_numbers(df, [], {"x": F.col("v")})._jdf.queryExecution().optimizedPlan().toString()
+    plan = Q.five_numbers(df, [], {"x": F.col("v")}, large_cells=True, bounded=-1)._jdf.queryExecution().optimizedPlan().toString()
     orders = [line for line in plan.splitlines() if "windowspecdefinition" in line and "ASC" in line]
     assert orders and all("_cell#" in line or "_digit#" in line for line in orders)

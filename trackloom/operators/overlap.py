@@ -1,12 +1,14 @@
 """Same-frame and cross-dataset box overlaps.
 
 Only pairs that share area are built; pairs without overlap are counted by arithmetic. Boxes of
-a frame are dealt to blocks of bounded size and meet block by block in one equi-join; an ordinary
-frame is one block, so no task holds a crowded frame.
+a frame are dealt to blocks of bounded size by their position and meet block by block in equi-joins; an
+ordinary frame is one block, and no task holds a crowded frame.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -30,35 +32,26 @@ def _side(df: DataFrame, prefix: str, keys: list[str], columns: list[str]) -> Da
     return df.select(*keys, *[F.col(c).alias(f"{prefix}{c}") for c in columns])
 
 
-def _blocked_join(left: DataFrame, right: DataFrame, keys: list[str], block: int) -> DataFrame:
-    """Join on ``keys`` where a large group is split into (block of left, block of right) cells.
+def _blocked_join(left: DataFrame, right: DataFrame, keys: list[str], block: int, same_side: bool) -> DataFrame:
+    """Join on ``keys`` in which no task meets all rows of a large group.
 
-    Only groups with more than ``block`` rows are listed, at most one for every ``block`` rows, so that the planner can
-    broadcast the list; all others are one block without having been joined.
+    A row's block follows from its position. Rows of equal blocks meet by one equi-join, which is all there is in an
+    ordinary group, so nothing is counted first. Only groups with more than one block have rows that go on to later blocks
+    of the other side. With ``same_side`` only later rows of the right side are wanted.
     """
-    crowded = (
-        left.select(*keys)
-        .unionByName(right.select(*keys))
-        .groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .where(F.col("_n") > block)
-        .select(*keys, F.ceil(F.col("_n") / block).cast("int").alias("_blocks"))
-    )
+    a = left.withColumn("_block", F.floor(F.col("a_pos") / block))
+    b = right.withColumn("_block", F.floor(F.col("b_pos") / block))
+    cell = [*keys, "_block"]
 
-    def spread(df: DataFrame, pos: str, own: str, other: str) -> DataFrame:
-        blocks = F.coalesce("_blocks", F.lit(1))
-        return (
-            df.join(crowded, keys, "left")
-            .withColumn(own, F.pmod(F.col(pos), blocks).cast("int"))
-            .withColumn(other, F.explode(F.sequence(F.lit(0), blocks - 1)))
-            .drop("_blocks")
-        )
+    def sent_on(rows: DataFrame, others: DataFrame) -> DataFrame:
+        """Rows once for every later block that the other side has."""
+        later = others.where("_block > 0").select(*keys, F.col("_block").alias("_later")).distinct()
+        return rows.join(later, keys).where("_block < _later").withColumn("_block", F.col("_later")).drop("_later")
 
-    return (
-        spread(left, "a_pos", "_block_a", "_block_b")
-        .join(spread(right, "b_pos", "_block_b", "_block_a"), [*keys, "_block_a", "_block_b"])
-        .drop("_block_a", "_block_b")
-    )
+    parts = [a.join(b, cell), sent_on(a, b).join(b, cell)]
+    if not same_side:
+        parts.append(a.join(sent_on(b, a), cell))
+    return reduce(DataFrame.unionByName, parts).drop("_block")
 
 
 def _overlaps(a: DataFrame, b: DataFrame, keys: list[str], same_side: bool, block: int) -> DataFrame:
@@ -66,7 +59,7 @@ def _overlaps(a: DataFrame, b: DataFrame, keys: list[str], same_side: bool, bloc
     meet = intersects("a_", "b_")
     if same_side:
         meet = meet & (F.col("a_pos") < F.col("b_pos"))
-    return _blocked_join(a, b, keys, block).where(meet).withColumn("iou", iou("a_", "b_"))
+    return _blocked_join(a, b, keys, block, same_side).where(meet).withColumn("iou", iou("a_", "b_"))
 
 
 def frame_pairs(

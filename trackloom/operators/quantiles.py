@@ -2,21 +2,28 @@
 
 Pass one counts values per cell of a fixed monotone grid (at most a few thousand cells per
 group, combined on the map side). The cells that hold the wanted ranks are known from the
-running counts. Pass two reads only the values of those cells, as distinct values with counts, and
-finds the ranks by radix selection on the order-preserving bits of a double: each step counts the next digit of
-the values that share the digits so far, and goes on with the digit that holds the rank. Running counts are taken
-over digits, of which there are at most 2**DIGIT_BITS, and never over values, so a cell with any number of
-values is no task's burden. All steps read the same shuffle of pass two.
+running counts. Pass two reads only the values of those cells, as distinct values with counts.
+
+A cell is put in order by one task. With ``large_cells`` only one of up to ``BOUNDED`` rows is; in others, radix selection on the order-preserving bits of a
+double finds the ranks: each step counts the next digit of the values that share the digits so far, and goes
+on with the digit that holds the rank. Running counts are taken over digits, of which there are at most
+2**DIGIT_BITS, and never over values, so a cell with any number of values is no task's burden. Both are parts of one
+plan; where no cell is that large, the second part reads nothing.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from itertools import accumulate
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 CELLS = 4096
 #: Bits of a digit of the radix selection; 64 bits in all.
 DIGIT_BITS = (22, 21, 21)
+#: Rows of a cell that one task may put in order.
+BOUNDED = 1_000_000
 QUARTILES = {"p25": 0.25, "p75": 0.75}
 
 
@@ -35,13 +42,34 @@ def ordered_bits(value: Column) -> Column:
     return bits.bitwiseXOR(F.shiftright(bits, 63).bitwiseAND(F.lit((1 << 63) - 1)))
 
 
-def _radix_pick(values: DataFrame, inside: DataFrame, keys: list[str], digits: tuple[int, ...]) -> DataFrame:
-    """(keys, prob, side, _v): the ``_k``-th value (from 0) of a cell for every row of ``inside``.
+def _picked(long: DataFrame, wanted: DataFrame, keys: list[str], pick: Callable) -> DataFrame:
+    """(keys, prob, side, _v): the values at the wanted ranks, read from the wanted cells only."""
+    cell = [*keys, "_cell"]
+    inside = wanted.select(*cell, "prob", "side", (F.col("rank") - F.col("_lo")).alias("_k"))
+    values = long.join(inside.select(*cell).distinct(), cell, "left_semi").groupBy(*cell, "_v").agg(F.sum("_w").alias("_n"))
+    return pick(values, inside, keys)
+
+
+def _sorted_pick(values: DataFrame, inside: DataFrame, keys: list[str]) -> DataFrame:
+    """The ``_k``-th value (from 0) of a cell for every row of ``inside``, by the order of the cell's values."""
+    return (
+        _running(values, [*keys, "_cell"], "_v")
+        .join(inside, [*keys, "_cell"])
+        .where((F.col("_k") >= F.col("_lo")) & (F.col("_k") < F.col("_hi")))
+        .select(*keys, "prob", "side", "_v")
+    )
+
+
+def _radix_pick(values: DataFrame, inside: DataFrame, keys: list[str], digits: tuple[int, ...] = DIGIT_BITS) -> DataFrame:
+    """The same without an order of values. ``values`` has (keys, _cell, _v, _n), one row per distinct value.
 
-    ``values`` has (keys, _cell, _v, _n), one row per distinct value. The digits so far are the bits above ``left``.
+    The digits so far are the bits above ``left``.
     """
     cell = [*keys, "_cell"]
     values = values.withColumn("_bits", ordered_bits(F.col("_v")))
+    # Null tests of all steps, so that the plan below them is the same and its shuffle is reused.
+    for bits in accumulate(reversed(digits), initial=0):
+        values = values.where(F.shiftright("_bits", bits).isNotNull())
     wanted, known, left = inside, [], 64
     for step, width in enumerate(digits):
         left -= width
@@ -115,6 +143,8 @@ def five_numbers(
     digits: int | None = 6,
     probs: dict[str, float] | None = None,
     rescan: bool = True,
+    large_cells: bool = False,
+    bounded: int = BOUNDED,
 ) -> DataFrame:
     """count, min, p25, mean, p75, max of every metric per group (linear interpolation).
 
@@ -122,6 +152,8 @@ def five_numbers(
     with few distinct ones (frame counts): the histogram itself then holds every rank.
     ``scale`` is a typical size of the values. ``rescan=False`` is for inputs that are dear to
     compute: they are shuffled once as a histogram of values, which both passes then read.
+    With ``large_cells``, cells of more than ``bounded`` rows are searched digit by digit instead of being put in order
+    by one task each; that makes the plan longer, so it is for large inputs.
     Output has one row per (groups, metric).
     """
     probs = probs or QUARTILES
@@ -160,15 +192,11 @@ def five_numbers(
     if discrete:
         picked = wanted.withColumn("_v", F.col("_cell"))
     else:
-        inside = wanted.select(
-            *keys, "_cell", "prob", "side", (F.col("rank") - F.col("_lo")).alias("_k")
-        )
-        values = (
-            long.join(inside.select(*keys, "_cell").distinct(), [*keys, "_cell"], "left_semi")
-            .groupBy(*keys, "_cell", "_v")
-            .agg(F.sum("_w").alias("_n"))
-        )
-        picked = _radix_pick(values, inside, keys, DIGIT_BITS)
+        if large_cells:
+            small, large = wanted.where(F.col("_n") <= bounded), wanted.where(F.col("_n") > bounded)
+            picked = _picked(long, small, keys, _sorted_pick).unionByName(_picked(long, large, keys, _radix_pick))
+        else:
+            picked = _picked(long, wanted, keys, _sorted_pick)
     out = totals.join(_interpolate(picked, keys, probs), keys)
     for name, p in probs.items():
         at = F.lit(p) * (F.col("count") - 1)

@@ -130,6 +130,10 @@ QUERIES = {
         lambda v: five_numbers(v.bare_boxes(), [], P.box_sizes()),
         BOXES + " UNION ALL ".join(f" SELECT {summary_sql(e, n)} FROM fx_boxes" for n, e in SIZES.items()),
     ),
+    "bbox_quantiles_radix": (
+        lambda v: five_numbers(v.bare_boxes(), [], P.box_sizes(), large_cells=True, bounded=0),
+        BOXES + " UNION ALL ".join(f" SELECT {summary_sql(e, n)} FROM fx_boxes" for n, e in SIZES.items()),
+    ),
     "bbox_anomalies": (
         lambda v: P.anomalies(v.bare_boxes()),
         BOXES

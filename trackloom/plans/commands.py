@@ -102,7 +102,7 @@ def analyze_dirs(data: Dataset) -> Tables:
     return {
         "videos": P.analyze(data.usable, data.frames),
         "action_distribution": P.action_distribution(data.usable),
-        "bbox_normalized": five_numbers(data.usable, [], P.box_sizes()),
+        "bbox_normalized": five_numbers(data.usable, [], P.box_sizes(), large_cells=True),
         "anomalies": P.anomalies(data.boxes),
         "resolutions": P.resolutions(data.record_frames),
         "image_size": P.image_sizes(data.record_frames),
