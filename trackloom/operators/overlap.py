@@ -270,4 +270,4 @@ def sudden_changes(boxes: DataFrame) -> DataFrame:
         FRAME,
         names,
     )
-    return _blocked_join(a, b, FRAME, BLOCK).withColumn("iou", iou("a_", "b_"))
+    return _blocked_join(a, b, FRAME, BLOCK, False).withColumn("iou", iou("a_", "b_"))

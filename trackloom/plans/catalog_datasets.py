@@ -218,6 +218,20 @@ def _subset(v: Views):
     return chosen.join(actions, "sample")
 
 
+# One pick per step; ``had`` has the actions of all picks, ``done`` those that four picks have.
+COVER = (
+    ctes("fx_boxes").replace("WITH ", "WITH RECURSIVE ", 1)
+    + """, c AS (SELECT sample, list_distinct(list(act)) AS acts, count(*) AS boxes FROM
+ (SELECT concat(video_id, '_', frame_idx) AS sample, concat_ws('_', nullif(action, ''), track_id) AS act FROM fx_boxes) GROUP BY 1),
+ g(pick, sample, picked, had, done) AS (SELECT 0, '', []::VARCHAR[], []::VARCHAR[], []::VARCHAR[] UNION ALL
+ SELECT pick + 1, sample, list_append(picked, sample), had, list_filter(had, lambda a: len(list_filter(had, lambda h: h = a)) >= 4) FROM
+ (SELECT g.pick, g.picked, c.sample, list_concat(g.had, c.acts) AS had FROM g JOIN c ON NOT list_contains(g.picked, c.sample)
+ WHERE len(list_filter(c.acts, lambda a: NOT list_contains(g.done, a))) > 0
+ QUALIFY row_number() OVER (ORDER BY len(list_filter(c.acts, lambda a: NOT list_contains(g.done, a))) DESC, len(c.acts) DESC, c.sample) = 1))
+ SELECT g.pick, g.sample, len(acts) AS actions, boxes FROM g JOIN c USING (sample)"""
+)
+
+
 def _flat(v: Views):
     return D.flatten_names(_files(v))
 
@@ -318,7 +332,7 @@ QUERIES = {
             "SELECT concat('videos/d', doc_id) AS path, lang AS label FROM documents", "path", "path, label"
         ),
     ),
-    "subset_cover": (_subset, None),
+    "subset_cover": (_subset, COVER),
     "merge_labels": (
         lambda v: D.label_names(v.table("part").select(F.col("p_type").alias("label_name"))),
         "SELECT row_number() OVER (ORDER BY label_name) - 1 AS label_id, label_name FROM (SELECT DISTINCT p_type AS label_name FROM part)",
