@@ -9,9 +9,10 @@ import argparse
 import json
 import os
 
-from trackloom.plans.commands import COMMANDS, Dataset
+from trackloom.plans.commands import COMMANDS, WHOLE, Dataset
 from trackloom.session import build_session
 from trackloom.sources.record_files import write_record_files
+from trackloom.sources.versioned import write_tables
 
 
 def option(text: str) -> tuple[str, object]:
@@ -34,6 +35,9 @@ def main(argv: list[str] | None = None) -> None:
     args = parser.parse_args(argv)
     spark = build_session(f"trackloom {args.job}", os.environ.get("TRACKLOOM_CPUS"))
     data = Dataset(spark, args.input, from_json=args.json)
+    if args.job in WHOLE:
+        write_tables(COMMANDS[args.job](data, **dict(args.set)), args.out)
+        return
     for name, table in COMMANDS[args.job](data, **dict(args.set)).items():
         target = f"{args.out.rstrip('/')}/{name}"
         if args.files and table.columns == ["path", "value"]:

@@ -71,6 +71,16 @@ def explode_tubes(nested: DataFrame) -> DataFrame:
     )
 
 
+def video_table(frames: DataFrame) -> DataFrame:
+    """(video_id, nframes, height, width): the largest frame number and the size of the first image that has one, else 0."""
+    sized = F.when((F.col("img_w") > 0) & (F.col("img_h") > 0), F.col("image_name"))
+    return frames.groupBy("video_id").agg(
+        F.greatest(F.coalesce(F.max("frame_idx"), F.lit(0)), F.lit(0)).alias("nframes"),
+        F.coalesce(F.min_by("img_h", sized), F.lit(0)).alias("height"),
+        F.coalesce(F.min_by("img_w", sized), F.lit(0)).alias("width"),
+    )
+
+
 def overview(tube_boxes: DataFrame) -> DataFrame:
     """Counts and value ranges of a tube table, one row."""
     tubes = tube_boxes.groupBy(*TUBE).agg(F.count(F.lit(1)).alias("length"))

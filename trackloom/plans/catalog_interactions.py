@@ -246,6 +246,14 @@ QUERIES = {
         TUBE_SQL
         + " SELECT video_id, class_id, tube_no, frame_idx // 512 AS part, count(*) AS n FROM tubes GROUP BY ALL",
     ),
+    "tube_values": (
+        lambda v: B.explode_tubes(B.nest(tube_boxes(v))),
+        TUBE_SQL + " SELECT video_id, class_id, tube_no, frame_idx, x1, y1, x2, y2 FROM tubes",
+    ),
+    "video_table": (
+        lambda v: B.video_table(v.frames()),
+        ctes("fx_frames") + " SELECT video_id, max(frame_idx) AS nframes, 720 AS height, 1280 AS width FROM fx_frames GROUP BY 1",
+    ),
     "tube_profile": (
         lambda v: B.overview(tube_boxes(v)),
         TUBE_SQL

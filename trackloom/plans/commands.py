@@ -32,6 +32,7 @@ from trackloom.sources import images as G
 from trackloom.sources import labelme as L
 from trackloom.sources import tables as X
 from trackloom.sources import tube_pickle as K
+from trackloom.sources import versioned as V
 
 Tables = dict[str, DataFrame]
 
@@ -333,10 +334,18 @@ def std_to_tubes(data: Dataset) -> Tables:
     return {
         "tubes": B.nest(tubes),
         "labels": B.class_ids(data.rows),
-        "nframes": P.last_frames(data.frames),
+        "videos": B.video_table(data.frames),
     }
 
 
+def tubes_to_std(data: Dataset, frames: str) -> Tables:
+    """Shapes of a tube dataset that ``std-to-tubes`` wrote, for the images below ``frames``."""
+    stored = V.read_tables(data.spark, data.root)
+    labels = stored["labels"].select(F.col("class_id").alias("label_id"), F.col("action").alias("label_name"))
+    images = Dataset(data.spark, frames, from_json=True).frames
+    return {"shapes": B.to_shapes(B.explode_tubes(stored["tubes"]), labels, images)}
+
+
 def pickle_to_std(data: Dataset, frames: DataFrame) -> Tables:
     return {"shapes": B.to_shapes(K.read_tubes(data.spark, data.root), None, frames)}
 
@@ -486,6 +495,9 @@ def pickle_with_frames(data: Dataset, frames: str) -> Tables:
     return pickle_to_std(data, Dataset(data.spark, frames, from_json=True).frames)
 
 
+# Jobs whose tables are one dataset and become visible together.
+WHOLE = {"std-to-tubes"}
+
 # Jobs of a dataset and plain options.
 COMMANDS: dict[str, Callable[..., Tables]] = {
     "ingest": ingest,
@@ -514,6 +526,7 @@ COMMANDS: dict[str, Callable[..., Tables]] = {
     "rename-by-action": rename_by_action,
     "upsample-fps": upsample_fps,
     "std-to-tubes": std_to_tubes,
+    "tubes-to-std": tubes_to_std,
     "tube-stats": tube_stats,
     "merge-tube-datasets": merge_with,
     "interaction-profile": profile_interactions,
