@@ -188,7 +188,7 @@ def test_placement(spark):
 
 def test_queries_are_registered():
     names = list(queries.queries())
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14))
     assert queries.oracle_sql().keys() <= set(names)
 
 
