@@ -314,6 +314,16 @@ QUERIES = {
         ctes("fx_boxes")
         + f" SELECT video_id, frame_idx, concat({PADDED}, '.jpg') AS imagePath, count(*) AS n_shapes FROM fx_boxes GROUP BY ALL",
     ),
+    "frame_texts": (
+        lambda v: L.frame_records(v.boxes()).select(
+            "video_id", "frame_idx", F.to_json(F.struct("imagePath", "imageWidth", "imageHeight", "shapes")).alias("value")
+        ),
+        ctes("fx_boxes")
+        + f""", p AS (SELECT *, concat(x1::BIGINT, '.0') AS a, concat(y1::BIGINT, '.0') AS b, concat(x2::BIGINT, '.0') AS c, concat(y2::BIGINT, '.0') AS d FROM fx_boxes)
+ SELECT video_id, frame_idx, concat('{{"imagePath":"', {PADDED}, '.jpg","imageWidth":1280,"imageHeight":720,"shapes":[', string_agg(concat(
+ '{{"label":"', CASE WHEN action = '' THEN 'player' ELSE action END, '","points":[[', a, ',', b, '],[', c, ',', b, '],[', c, ',', d, '],[', a, ',', d, ']],"group_id":"', track_id,
+ '","shape_type":"rectangle","flags":{{}},"attributes":{{"action":"', action, '","track_id":"', track_id, '"}}}}'), ',' ORDER BY pos), ']}}') AS value FROM p GROUP BY video_id, frame_idx""",
+    ),
     "list_samples": (
         lambda v: S.list_samples(_paths(v)),
         ctes(extra=[PATHS])
