@@ -287,6 +287,20 @@ def first_boxes(rows: DataFrame) -> DataFrame:
     )
 
 
+def first_track_frames(boxes: DataFrame, track: str = "group_id") -> DataFrame:
+    """First frame and box of each (video, track), under the name that a classifier is given.
+
+    A name reads ``<video>_<track>_<frame>`` with six digits; boxes without a track id are left out.
+    """
+    at = F.struct("frame_idx", "pos")
+    known = boxes.where(F.coalesce(F.col(track), F.lit("")) != "")
+    first = known.groupBy("video_id", F.col(track).alias("track_id")).agg(
+        F.min("frame_idx").alias("frame_idx"), *[F.min_by(c, at).alias(c) for c in ("x1", "y1", "x2", "y2")]
+    )
+    name = F.concat_ws("_", "video_id", "track_id", pad_number(F.col("frame_idx"), 6))
+    return first.select("*", name.alias("file_id"))
+
+
 def reference_boxes(rows: DataFrame) -> DataFrame:
     """Largest box of each segment, the first one among equals."""
     area = F.greatest(F.lit(0.0), F.col("x2") - F.col("x1")) * F.greatest(

@@ -397,3 +397,30 @@ def upsample_annotations(rows: DataFrame, src_fps: int, dst_fps: int) -> DataFra
         "frames", F.coalesce((count * times).cast("string"), F.col("frames").cast("string"))
     )
 
+
+
+def upsample_lists(lines: DataFrame, src_fps: int, dst_fps: int) -> DataFrame:
+    """Lines (path, row_no, value) of tube lists with the count in their third field multiplied.
+
+    A file whose first line has three fields or more and names ``frames`` among them is a list with counts; the lines of
+    other files stay as they are. In a list blank lines go, and lines whose third field
+    is no whole number stay.
+    """
+    if src_fps <= 0 or dst_fps <= 0 or dst_fps % src_fps:
+        raise ValueError("dst_fps must be a positive multiple of src_fps")
+    parts = F.split("value", ",", -1)
+    names = F.transform(parts, lambda p: F.lower(F.trim(p)))
+    head = lines.groupBy("path").agg(
+        F.min("row_no").alias("_first"), F.min_by((F.size(parts) >= 3) & F.array_contains(names, "frames"), "row_no").alias("_counts")
+    )
+    count = F.trim(F.get(parts, 2))
+    whole = F.when(count.rlike("^[+-]?[0-9]+$"), count.try_cast("bigint"))
+    changed = F.concat_ws(
+        ",", F.slice(parts, 1, 2), F.array((whole * (dst_fps // src_fps)).cast("string")), F.slice(parts, 4, 2**31 - 1)
+    )
+    body = F.col("_counts") & (F.col("row_no") > F.col("_first"))
+    return (
+        lines.join(head, "path")
+        .where(~body | (F.trim("value") != ""))
+        .select("path", "row_no", F.when(body & whole.isNotNull(), changed).otherwise(F.col("value")).alias("value"))
+    )

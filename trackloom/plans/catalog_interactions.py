@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from trackloom.operators import interaction_records as N
 from trackloom.operators import interactions as I
 from trackloom.operators import tubes as T
 from trackloom.operators import tubetable as B
@@ -136,6 +137,28 @@ def _proposals(v: Views):
     return I.keep_proposals(keys, kept)
 
 
+def interaction_texts(v: Views):
+    """Record texts of every frame with an image, with both boxes."""
+    rows = I.with_action_names(two_boxes(v), v.action_list())
+    images = v.frames().select("video_id", "image_name", F.col("img_w").alias("width"), F.col("img_h").alias("height"))
+    placed = N.place_frames(N.chosen_frames(rows, N.VALUE_ORDER), images)
+    return N.record_texts(rows, placed, N.VALUE_ORDER, secondary=True)
+
+
+def _side(value: str, times: int) -> str:
+    """A rounded pixel side as JSON writes it."""
+    return f"(round({value} * {times}, 3)::DOUBLE)::VARCHAR"
+
+
+def _shape_sql(team: str, suffix: str) -> str:
+    a, b, c, d = (_side(f"{n}{suffix}", t) for n, t in (("x1", 1280), ("y1", 720), ("x2", 1280), ("y2", 720)))
+    return (
+        "concat('{\"label\":\"player\",\"description\":null,\"points\":[[', " + f"{a}, ',', {b}, '],[', {c}, ',', {b}, '],[', {c}, ',', {d}, '],[', {a}, ',', {d}"
+        + ", ']],\"group_id\":', person_id, ',\"difficult\":false,\"direction\":0,\"shape_type\":\"rectangle\",\"flags\":{\"visibility\":1.0,\"class_id\":1},'"
+        + f", '\"attributes\":{{\"team\":\"{team}\",\"action\":', to_json(coalesce(action_name, '')), '}}}}')"
+    )
+
+
 QUERIES = {
     "hhi_sport": (
         lambda v: named(v)
@@ -223,6 +246,21 @@ QUERIES = {
  UNION ALL SELECT video_id, frame_id, action_id, '1', x1_2, y1_2, x2_2, y2_2 FROM two WHERE x1_2 IS NOT NULL),
  r AS (SELECT *, round(x1 * 1280, 3) AS a, round(y1 * 720, 3) AS b, round(x2 * 1280, 3) AS c, round(y2 * 720, 3) AS d FROM s)
  SELECT video_id, frame_id, action_id, team, [[a, b], [c, b], [c, d], [a, d]] AS points FROM r""",
+    ),
+    "hhi_records": (
+        interaction_texts,
+        ctes("fx_frames", "fx_interactions", "fx_action_list")
+        + f""", two AS (SELECT i.* EXCLUDE (x1_2), {SECOND}, action_name FROM fx_interactions i LEFT JOIN fx_action_list USING (action_id)),
+ w AS (SELECT DISTINCT video_id, frame_id, frame_id::BIGINT AS n FROM fx_interactions),
+ e AS (SELECT w.video_id, w.frame_id, image_name FROM w JOIN fx_frames f ON f.video_id = w.video_id AND frame_idx = n),
+ l AS (SELECT w.video_id, w.frame_id, min(image_name) AS image_name FROM (SELECT * FROM w ANTI JOIN e USING (video_id, frame_id)) w
+ JOIN fx_frames f ON f.video_id = w.video_id AND (contains(image_name, n::VARCHAR) OR contains(image_name, frame_id)) GROUP BY ALL),
+ p AS (SELECT * FROM (SELECT * FROM e UNION SELECT * FROM l) QUALIFY row_number() OVER (PARTITION BY video_id, image_name ORDER BY frame_id DESC) = 1),
+ s AS (SELECT video_id, frame_id, person_id, action_id, x1, y1, x2, y2, 0 AS team, {_shape_sql("0", "")} AS text FROM two
+ UNION ALL SELECT video_id, frame_id, person_id, action_id, x1, y1, x2, y2, 1, {_shape_sql("1", "_2")} FROM two WHERE x1_2 IS NOT NULL)
+ SELECT concat(video_id, '/', replace(image_name, '.jpg', '.json')) AS path, concat('{{"version":"2.5.4","flags":{{}},"shapes":[',
+ string_agg(text, ',' ORDER BY person_id, action_id, x1, y1, x2, y2, team, text), '],"imagePath":"', image_name, '","imageData":null,"imageHeight":720,"imageWidth":1280}}') AS value
+ FROM s JOIN p USING (video_id, frame_id) GROUP BY video_id, image_name""",
     ),
     "limit_frames": (
         lambda v: I.limit_frames(v.interactions(), 20, 15),

@@ -181,6 +181,12 @@ QUERIES = {
         ANNOTATED_SQL
         + f""" SELECT {KEY}, frame_idx, x1, y1, x2, y2 FROM seg_s QUALIFY row_number() OVER (PARTITION BY {KEY} ORDER BY frame_idx, ord) = 1""",
     ),
+    "first_track_frames": (
+        lambda v: T.first_track_frames(v.boxes(), "track_id"),
+        ctes("fx_boxes")
+        + """ SELECT video_id, track_id, frame_idx, x1, y1, x2, y2, concat(video_id, '_', track_id, '_', printf('%06d', frame_idx)) AS file_id
+ FROM fx_boxes QUALIFY row_number() OVER (PARTITION BY video_id, track_id ORDER BY frame_idx, pos) = 1""",
+    ),
     "tube_ref_box": (
         lambda v: T.reference_boxes(annotated(v)),
         ANNOTATED_SQL

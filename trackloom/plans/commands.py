@@ -18,6 +18,7 @@ from trackloom.operators import align as A
 from trackloom.operators import clean as C
 from trackloom.operators import coco as Q
 from trackloom.operators import datasets as D
+from trackloom.operators import interaction_records as N
 from trackloom.operators import interactions as I
 from trackloom.operators import overlap as O
 from trackloom.operators import profile as P
@@ -26,6 +27,7 @@ from trackloom.operators import tubes as T
 from trackloom.operators import tubetable as B
 from trackloom.operators import windows as W
 from trackloom.operators.quantiles import five_numbers
+from trackloom.plans.stages import Stage, run_stages
 from trackloom.session import cut_lineage
 from trackloom.sources import files as S
 from trackloom.sources import images as G
@@ -153,6 +155,29 @@ def time_bins(data: Dataset, spf: float = 0.04) -> Tables:
     return {"time_bins": T.time_bins(T.tube_segments(data.usable, "auto"), spf)}
 
 
+def one_shot_stats(data: Dataset, spf: float = 0.04, skip: tuple[str, ...] = ()) -> Tables:
+    """Folder statistics, length bins and time bins of one reading of the input (``skip``: dirs, lengths, times).
+
+    Boxes, frames and records' sizes are written once, and the tubes that both kinds of bins count are made once.
+    """
+    unknown = set(skip) - {"dirs", "lengths", "times"}
+    if unknown:
+        raise ValueError(f"nothing is named {sorted(unknown)}")
+    once = Dataset(data.spark, data.root, data.from_json)
+    once.boxes = cut_lineage(data.boxes) if data.from_json else data.boxes
+    out: Tables = {}
+    if "dirs" not in skip:
+        once.frames, once.record_frames = cut_lineage(data.frames), cut_lineage(data.record_frames)
+        out = analyze_dirs(once)
+    if not {"lengths", "times"} <= set(skip):
+        segments = cut_lineage(T.tube_segments(once.usable, "auto"))
+        if "lengths" not in skip:
+            out["length_bins"] = T.length_bins(segments)
+        if "times" not in skip:
+            out["time_bins"] = T.time_bins(segments, spf)
+    return out
+
+
 def clean_json(
     data: Dataset, sigma: float = 3.0, max_len: int = 64, exceptions: tuple[str, ...] = C.LONG_ALLOWED
 ) -> Tables:
@@ -197,6 +222,50 @@ def convert_std(data: Dataset, mapping: str) -> Tables:
     }
 
 
+def view_clean(
+    data: Dataset, stages: str, include: tuple[str, ...] = (), exclude: tuple[str, ...] = (), labels: str | None = None
+) -> Tables:
+    """Cleaning by view: samples by prefix, first frame of each track, and with ``labels`` the removal of what is labelled 0.
+
+    ``labels`` is what a classifier wrote for the listed first frames (``file_id,label`` lines). ``stages`` is a folder that
+    keeps every stage, so that the second call, with the labels, or a call after a lost one builds the missing stages only.
+    """
+    spark = data.spark
+
+    def kept(table: DataFrame, name: str = "video_id") -> DataFrame:
+        return table.where(matches_prefixes(F.col(name), list(include), list(exclude)))
+
+    def filtered(_done) -> Tables:
+        texts = data.records.withColumn("video_id", L.sample_of(F.col("path")))
+        return {"boxes": kept(data.boxes), "records": kept(texts).drop("video_id")}
+
+    def first_frames(done) -> Tables:
+        return {"list": T.first_track_frames(done["filtered"]["boxes"])}
+
+    def pairs(_done) -> Tables:
+        lines = X.classifier_lines(spark.read.text(labels))
+        return {"list": X.zero_pairs(lines).distinct()}
+
+    def removed(done) -> Tables:
+        boxes, gone = done["filtered"]["boxes"], done["pairs"]["list"]
+        left = C.remove_tubes(boxes, gone, track="group_id")
+        return {
+            "records": L.keep_shapes(done["filtered"]["records"], left, emptied=False).select("path", "value"),
+            "summary": C.remove_tubes_summary(boxes.withColumn("track_id", F.col("group_id")), gone),
+        }
+
+    prefixes = {"include": list(include), "exclude": list(exclude), "json": data.from_json}
+    chain = [
+        Stage("filtered", filtered, files=(data.root,), options=prefixes),
+        Stage("first-frames", first_frames, after=("filtered",)),
+    ]
+    if labels:
+        chain += [Stage("pairs", pairs, files=(labels,)), Stage("removed", removed, after=("filtered", "pairs"))]
+    done = run_stages(spark, stages, chain)
+    out = {"first_frames": done["first-frames"]["list"]}
+    return {**out, "pairs": done["pairs"]["list"], **done["removed"]} if labels else out
+
+
 def _relabelled(texts: DataFrame, names: DataFrame) -> DataFrame:
     """Mapped record texts without those that the mapping empties."""
     return R.relabel_records(texts, names).where("n_before = 0 OR n_after > 0")
@@ -325,8 +394,12 @@ def rename_by_action(data: Dataset, name_format: str = "{action}__{orig}") -> Ta
     return {"names": D.rename_by_action(data.usable, name_format)}
 
 
-def upsample_fps(data: Dataset, src_fps: int, dst_fps: int) -> Tables:
-    return {"frames": W.upsample(data.frames, src_fps, dst_fps)}
+def upsample_fps(data: Dataset, src_fps: int, dst_fps: int, annotations: str | None = None) -> Tables:
+    """Repeated frames and, with a folder of tube lists, the lines of its CSV files with their counts multiplied."""
+    out = {"frames": W.upsample(data.frames, src_fps, dst_fps)}
+    if annotations:
+        out["annotations"] = W.upsample_lists(X.read_list_lines(data.spark, annotations), src_fps, dst_fps)
+    return out
 
 
 def std_to_tubes(data: Dataset) -> Tables:
@@ -418,6 +491,35 @@ def interactions_to_shapes(spark: SparkSession, paths: dict[str, str], actions:
     return {"shapes": I.pixel_shapes(stacked, F.col("width"), F.col("height"))}
 
 
+def interactions_to_records(
+    data: Dataset,
+    splits: dict[str, str],
+    actions: str,
+    frames: str,
+    secondary: bool = False,
+    only: list[str] | None = None,
+    videos: int | None = None,
+    per_video: int | None = None,
+    per_action: int | None = None,
+) -> Tables:
+    """Records of the chosen frames and the images to copy; ``splits`` and ``actions`` are below the input folder,
+    ``frames`` is the folder of the videos' images. Only headers of the images that are named are read."""
+    paths = {n: f"{data.root}/{p}" for n, p in splits.items()}
+    rows = N.frame_keys(X.read_interactions(data.spark, paths, numbered=True))
+    named = I.with_action_names(rows, X.read_actions(data.spark, f"{data.root}/{actions}"))
+    order = ["part_no", "row_no"]
+    chosen = N.chosen_frames(named, order, only, videos, per_video, per_action)
+    listed = S.list_files(data.spark, frames).where(S.is_image(F.col("path"), "jpg")).select(
+        base_name(S.parent(F.col("path"))).alias("video_id"), base_name(F.col("path")).alias("image_name"), "path"
+    )
+    found = S.find_frames(chosen, listed).where(F.col("image_name").isNotNull())
+    sized = G.header_sizes(listed.join(found.select("video_id", "image_name"), ["video_id", "image_name"], "left_semi"))
+    placed = cut_lineage(N.place_frames(chosen, sized))
+    records = cut_lineage(N.record_texts(named, placed, order, secondary))
+    copied = listed.join(chosen.select("video_id"), "video_id", "left_semi")
+    return {"records": records, "images": copied, "summary": N.placement_summary(placed, records)}
+
+
 def compare_aligned(ms: Dataset, sh: Dataset, alignment: str, threshold: float = 0.5) -> Tables:
     """Cross-dataset chain from an alignment table: runs, matches, action pairs, merge, endings."""
     rows = A.usable_alignment(X.read_alignment(ms.spark, alignment))
@@ -506,11 +608,13 @@ COMMANDS: dict[str, Callable[..., Tables]] = {
     "analyze-overlaps": analyze_overlaps,
     "analyze-tube-lengths": tube_lengths,
     "analyze-pickle-lengths": tube_lengths_of_pickles,
+    "one-shot-stats": one_shot_stats,
     "length-bins": length_bins,
     "time-bins": time_bins,
     "clean-json": clean_json,
     "remove-tubes": remove_tubes,
     "filter-std": filter_std,
+    "view-clean": view_clean,
     "convert-std": convert_std,
     "convert-records": convert_records,
     "subset-std": subset_std,
@@ -530,6 +634,7 @@ COMMANDS: dict[str, Callable[..., Tables]] = {
     "tube-stats": tube_stats,
     "merge-tube-datasets": merge_with,
     "interaction-profile": profile_interactions,
+    "interactions-to-records": interactions_to_records,
     "compare-aligned": compare_with,
     "align-images": align_with,
     "first-frame-difference": first_frames_with,

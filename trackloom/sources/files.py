@@ -177,7 +177,7 @@ def find_frames(wanted: DataFrame, images: DataFrame) -> DataFrame:
     """Image name of each wanted (video_id, frame_id), null when there is none.
 
     Known name patterns are tried first. What is left is looked up by six-digit prefix or suffix
-    and by any candidate stem inside the name; the substrings of the remaining names are the
+    and by any candidate stem inside the name; substrings of the remaining names are the
     join key, so images are not compared one by one.
     """
     exts = F.array(*map(F.lit, (".jpg", ".JPG", ".jpeg", ".JPEG")))
@@ -198,17 +198,16 @@ def find_frames(wanted: DataFrame, images: DataFrame) -> DataFrame:
         open_keys.select("video_id", "frame_id", prefix.alias("piece")).where(F.col("piece").isNotNull())
     )
     name = F.col("image_name")
-    # Stems of numeric ids are digits with or without the prefix; only ids that are other text
-    # need every substring of the names of their video.
-    plain = F.col("frame_id").rlike("^[0-9]+$")
-    videos = open_keys.groupBy("video_id").agg(F.bool_or(~plain).alias("_any"))
-    photos = images.where(extension(name).isin(".jpg", ".jpeg")).join(videos, "video_id")
+    # Names are cut at every place into the lengths that the pieces of their video have, so that a name gives at most its
+    # length times as many rows as there are different lengths.
+    lengths = pieces.groupBy("video_id").agg(F.collect_set(F.length("piece")).alias("_lengths"))
+    photos = images.where(extension(name).isin(".jpg", ".jpeg")).join(lengths, "video_id")
     inside = (
-        photos.select("video_id", "image_name", "_any", F.explode(F.sequence(F.lit(1), F.length(name))).alias("_at"))
-        .select("*", F.explode(F.sequence(F.lit(1), F.length(name) - F.col("_at") + 1)).alias("_len"))
-        .withColumn("piece", F.substring(name, F.col("_at"), F.col("_len")))
-        .where(F.col("_any") | F.col("piece").rlike("^(img_)?[0-9]+$"))
-        .select("video_id", "image_name", "piece")
+        photos.select("video_id", "image_name", F.explode("_lengths").alias("_len"))
+        .where((F.col("_len") >= 1) & (F.col("_len") <= F.length(name)))
+        .select("*", F.explode(F.sequence(F.lit(1), F.length(name) - F.col("_len") + 1)).alias("_at"))
+        .select("video_id", "image_name", F.substring(name, F.col("_at"), F.col("_len")).alias("piece"))
+        .distinct()
     )
     loose = (
         pieces.distinct()

@@ -18,6 +18,16 @@ def _lines(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+def read_list_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """Lines (path, row_no, value) of the CSV files of a folder, numbered from 0 in each file.
+
+    A list is read whole by one task, which is what gives its lines their numbers.
+    """
+    texts = spark.read.option("pathGlobFilter", "*.[cC][sS][vV]").text(folder, wholetext=True)
+    cut = F.split(F.regexp_replace("value", "\\r?\\n$", ""), "\\r?\\n", -1)
+    return texts.select(F.col("_metadata.file_path").alias("path"), F.posexplode(cut).alias("row_no", "value"))
+
+
 def split_lines(lines: DataFrame) -> DataFrame:
     """(path, label) of tolerant ``path[,label]`` lines: header words skipped, no label → unknown."""
     parts = F.from_csv("value", F.lit("c0 string, c1 string"), {"mode": "PERMISSIVE"})
@@ -203,11 +213,17 @@ def typed_interactions(text_rows: DataFrame) -> DataFrame:
     return text_rows.select(*others, *[typed(c) for c in schema.INTERACTION_COLUMNS])
 
 
-def read_interactions(spark: SparkSession, paths: dict[str, str]) -> DataFrame:
-    """Headerless 13-column CSV files by split, stacked with their split name."""
+def read_interactions(spark: SparkSession, paths: dict[str, str], numbered: bool = False) -> DataFrame:
+    """Headerless 13-column CSV files by split, stacked with their split name.
+
+    ``numbered`` adds ``part_no`` (place of the split) and ``row_no``, which grows along a file.
+    """
     fields = ", ".join(f"{c} string" for c in schema.INTERACTION_COLUMNS)
     out = None
-    for split, path in paths.items():
-        part = typed_interactions(spark.read.schema(fields).csv(path)).withColumn("split", F.lit(split))
+    for number, (split, path) in enumerate(paths.items()):
+        raw = spark.read.schema(fields).csv(path)
+        if numbered:
+            raw = raw.withColumns({"part_no": F.lit(number), "row_no": F.monotonically_increasing_id()})
+        part = typed_interactions(raw).withColumn("split", F.lit(split))
         out = part if out is None else out.unionByName(part)
     return out
