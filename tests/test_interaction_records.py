@@ -1,4 +1,4 @@
-"""Interaction lists to records, against a plain loop; image sizes from headers; rescaled lists; statistics in one go."""
+"""Interaction lists to records, against a plain loop; image sizes from headers; rescaled lists; folder layouts; statistics of one reading."""
 
 import io
 import json
@@ -128,3 +128,45 @@ def test_lists_are_rescaled(spark, tmp_path):
         "val.CSV": ["videos/a,1", "", "videos/b,2"],
         "two.csv": ["tube,frames", "videos/a,5"],
     }
+
+
+def test_layout(spark, tmp_path):
+    for name in ("x/one/1.jpg", "x/one/sub/note.txt", "y/one/a b.png", "y/1.json", "z/two/deep/2.jpeg", "z/two/3.jpg"):
+        (tmp_path / "in" / name).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / "in" / name).write_text("x")
+    out = J.layout_to_std(J.Dataset(spark, str(tmp_path / "in")), "/o")
+    pairs = {r["src_path"].split("/in/")[1]: r["dst_path"] for r in out["manifest"].collect()}
+    assert pairs == {
+        "x/one/1.jpg": "/o/videos/one/1.jpg", "x/one/sub/note.txt": "/o/videos/one/sub/note.txt", "y/one/a b.png": "/o/videos/one_1/a b.png",
+        "z/two/deep/2.jpeg": "/o/videos/deep/2.jpeg",
+    }
+    (tmp_path / "in" / "w" / "one_1").mkdir(parents=True)
+    (tmp_path / "in" / "w" / "one_1" / "1.jpg").write_text("x")
+    with pytest.raises(ValueError, match="one_1"):
+        J.layout_to_std(J.Dataset(spark, str(tmp_path / "in")))
+
+
+def test_one_shot_statistics(spark, tmp_path, rows_of, monkeypatch):
+    from trackloom.operators import tubes as T
+
+    (tmp_path / "v").mkdir()
+    for f in range(1, 7):
+        shapes = [{"points": [[g, 1], [g + 4, 9]], "group_id": g, "attributes": {"action": "run"}} for g in range(2) if (f, g) != (3, 1)]
+        (tmp_path / "v" / f"{f:03d}.json").write_text(json.dumps({"imageWidth": 64, "imageHeight": 48, "shapes": shapes}))
+    data = lambda: J.Dataset(spark, str(tmp_path), from_json=True)
+    made, segments = [], T.tube_segments
+
+    def counted(*args, **options):
+        made.append(args[1])
+        return segments(*args, **options)
+
+    monkeypatch.setattr(T, "tube_segments", counted)
+    out = J.one_shot_stats(data())
+    assert sorted(made) == ["auto", "fixed"]
+    want = {**J.analyze_dirs(data()), **J.length_bins(data()), **J.time_bins(data())}
+    assert out.keys() == want.keys()
+    for name in ("videos", "action_distribution", "resolutions", "length_bins", "time_bins"):
+        assert rows_of(out[name]) == rows_of(want[name])
+    assert list(J.one_shot_stats(data(), skip=("dirs", "lengths"))) == ["time_bins"]
+    with pytest.raises(ValueError):
+        J.one_shot_stats(data(), skip=("all",))

@@ -154,13 +154,8 @@ def label_names(dims: DataFrame) -> DataFrame:
     ).select((F.col("_n") - 1).alias("label_id"), "label_name")
 
 
-def merge_listings(listings: DataFrame, dims: DataFrame) -> DataFrame:
-    """Merged split lists: (split, path, label).
-
-    ``listings`` has (input_no, row_no, split, path, label), ``dims`` (input_no, label_id,
-    label_name). Whole-number labels are ids of their own input, others are names; labels
-    outside the union are dropped. Of equal paths in a split the first row is kept.
-    """
+def _known_rows(listings: DataFrame, dims: DataFrame) -> DataFrame:
+    """Split rows with their new label id and normalised path."""
     number = F.col("label").try_cast("bigint")
     old = dims.select("input_no", F.col("label_id").alias("_num"), F.col("label_name").alias("_name"))
     named = (
@@ -169,12 +164,32 @@ def merge_listings(listings: DataFrame, dims: DataFrame) -> DataFrame:
         .withColumn("label_name", F.when(F.col("_num").isNull(), F.col("label")).otherwise(F.col("_name")))
         .where(F.coalesce("label_name", F.lit("")) != "")
     )
-    known = named.join(label_names(dims), "label_name").withColumn("path", norm_path(F.col("path")))
-    return known.groupBy("split", "path").agg(
+    return named.join(label_names(dims), "label_name").withColumn("path", norm_path(F.col("path")))
+
+
+def merge_listings(listings: DataFrame, dims: DataFrame) -> DataFrame:
+    """Merged split lists: (split, path, label).
+
+    ``listings`` has (input_no, row_no, split, path, label), ``dims`` (input_no, label_id,
+    label_name). Whole-number labels are ids of their own input, others are names; labels
+    outside the union are dropped. Of equal paths in a split the first row is kept.
+    """
+    return _known_rows(listings, dims).groupBy("split", "path").agg(
         F.min_by(F.col("label_id").cast("string"), F.struct("input_no", "row_no")).alias("label")
     )
 
 
+def merge_summary(listings: DataFrame, dims: DataFrame) -> DataFrame:
+    """Per split: rows read, rows with a known label, paths kept, and collisions (rows whose path was there before)."""
+    known = _known_rows(listings, dims).groupBy("split", "path").agg(F.count(F.lit(1)).alias("_n"))
+    kept = known.groupBy("split").agg(
+        F.sum("_n").alias("rows_known"), F.count(F.lit(1)).alias("paths"), F.sum(F.col("_n") - 1).alias("collisions")
+    )
+    read = listings.groupBy("split").agg(F.count(F.lit(1)).alias("rows_read"))
+    zero = [F.coalesce(c, F.lit(0)).alias(c) for c in ("rows_known", "paths", "collisions")]
+    return read.join(kept, "split", "left").select("split", "rows_read", *zero)
+
+
 def listing_labels(splits: DataFrame, labels: DataFrame) -> DataFrame:
     """Split rows with normalised path and label name (the id's text where no name is known)."""
     names = labels.select(
@@ -356,3 +371,21 @@ def folder_layout(dirs: DataFrame) -> DataFrame:
     """Target sample names of image folders: the base name, made unique with ``_<n>``."""
     named = dirs.select("dir", base_name(F.col("dir")).alias("sample"))
     return unique_names(named, "sample", [F.col("dir")], F.left("dir", F.lit(24)), "_")
+
+
+def layout_manifest(files: DataFrame, named: DataFrame, out_root: str) -> DataFrame:
+    """Copy plan (src_path, dst_path) of every file below a named folder, with its place below it.
+
+    ``named`` has (dir, sample); its folders don't hold each other, so a file belongs to one at most. A file meets its
+    folder through the list of the folders above it.
+    """
+    parts = F.split("path", "/")
+    inside = files.where(F.size(parts) > 1).select(
+        "path",
+        F.explode(F.sequence(F.lit(1), F.size(parts) - 1)).alias("_depth"),
+        parts.alias("_parts"),
+    )
+    keyed = inside.withColumn("dir", F.array_join(F.slice("_parts", F.lit(1), F.col("_depth")), "/"))
+    rest = F.array_join(F.slice("_parts", F.col("_depth") + 1, F.size("_parts")), "/")
+    target = F.concat(F.lit(f"{out_root.rstrip('/')}/videos/"), F.col("sample"), F.lit("/"), rest)
+    return keyed.join(named, "dir").select(F.col("path").alias("src_path"), target.alias("dst_path"))

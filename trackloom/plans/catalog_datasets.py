@@ -345,6 +345,15 @@ QUERIES = {
  LEFT JOIN dims d ON d.input_no = l.input_no AND d.label_id = try_cast(l.label AS BIGINT))
  SELECT split, {NORM} AS path, new_id::VARCHAR AS label FROM n JOIN u USING (label_name)
  QUALIFY row_number() OVER (PARTITION BY split, {NORM} ORDER BY input_no, path, label) = 1""",
+    ),
+    "merge_summary": (
+        lambda v: D.merge_summary(_listings(v), _dims(v)),
+        ctes("fx_splits", "fx_labels_dict", extra=[LISTINGS, DIMS])
+        + f""", n AS (SELECT l.*, CASE WHEN try_cast(label AS BIGINT) IS NULL THEN label ELSE d.label_name END AS label_name FROM listings l
+ LEFT JOIN dims d ON d.input_no = l.input_no AND d.label_id = try_cast(l.label AS BIGINT)),
+ k AS (SELECT split, count(*) AS rows_known, count(DISTINCT {NORM}) AS paths FROM n WHERE label_name IN (SELECT label_name FROM dims) GROUP BY split)
+ SELECT split, count(*) AS rows_read, coalesce(any_value(rows_known), 0) AS rows_known, coalesce(any_value(paths), 0) AS paths,
+ coalesce(any_value(rows_known) - any_value(paths), 0) AS collisions FROM listings LEFT JOIN k USING (split) GROUP BY split""",
     ),
     "label_lookup": (
         lambda v: D.listing_labels(v.splits(), v.labels_dict().where("label_id = 1")),

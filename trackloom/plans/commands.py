@@ -383,6 +383,18 @@ def merge_flatten(data: Dataset) -> Tables:
     return {"files": D.flatten_names(data.files.select(*[p.alias(n) for p, n in zip(parts, names)]))}
 
 
+def layout_to_std(data: Dataset, target: str = "out") -> Tables:
+    """Copy plan from any tree of image folders to ``videos/<sample>``; folders of one name get ``_<n>``.
+
+    Fails if a numbered name is also the name of another folder.
+    """
+    named = cut_lineage(D.folder_layout(S.sample_dirs(data.files)))
+    twice = named.groupBy("sample").count().where("count > 1").select("sample").first()
+    if twice:
+        raise ValueError(f"two folders would be the sample {twice['sample']!r}")
+    return {"samples": named, "manifest": D.layout_manifest(data.files, named, target)}
+
+
 def merge_into_single(data: Dataset, name: str = "merged_all") -> Tables:
     files = data.files.select(
         base_name(S.parent(F.col("path"))).alias("video_id"), base_name(F.col("path")).alias("file")
@@ -460,7 +472,11 @@ def merge_tube_datasets(spark: SparkSession, roots: list[str]) -> Tables:
         )
         listings = rows if listings is None else listings.unionByName(rows)
         dims = names if dims is None else dims.unionByName(names)
-    return {"splits": D.merge_listings(listings, dims), "labels": D.label_names(dims)}
+    return {
+        "splits": D.merge_listings(listings, dims),
+        "labels": D.label_names(dims),
+        "summary": D.merge_summary(listings, dims),
+    }
 
 
 def interaction_profile(spark: SparkSession, paths: dict[str, str], actions: str) -> Tables:
@@ -626,6 +642,7 @@ COMMANDS: dict[str, Callable[..., Tables]] = {
     "export-samples": export_samples,
     "visualize-samples": visualize_samples,
     "merge-flatten": merge_flatten,
+    "layout-to-std": layout_to_std,
     "merge-into-single": merge_into_single,
     "rename-by-action": rename_by_action,
     "upsample-fps": upsample_fps,
