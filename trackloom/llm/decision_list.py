@@ -17,6 +17,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from trackloom.llm.names import positional
+
 #: Words, symbols, and the base rules' limits.
 WORD = r"[^\x20\x09-\x0D]+"
 SYMBOLS = r"[#*$%&|<>]"
@@ -143,9 +145,10 @@ def text_statistics(docs: DataFrame, text: str = "text") -> DataFrame:
 
     Lines are the parts between line feeds that hold a word. A word is repeated if it lies in a window of three words
     that is found twice or more in the text. A null text counts as empty: all zero. Columns of ``docs`` with one of
-    these names are replaced.
+    these names in any case are replaced; all others stay, however they are named.
     """
-    body = F.coalesce(F.col(text), F.lit(""))
+    renamed, name = positional(docs)
+    body = F.coalesce(F.col(name[text.lower()]), F.lit(""))
     words = F.regexp_extract_all(body, F.lit(WORD), F.lit(0))
     lines = F.filter(F.split(body, "\n"), lambda line: F.regexp_like(line, F.lit(WORD)))
     # hashes of the windows, each with the number of its first word; equal ones lie side by side once sorted
@@ -197,12 +200,12 @@ def text_statistics(docs: DataFrame, text: str = "text") -> DataFrame:
         F.coalesce(covered, F.lit(0)).cast("long").alias("n_repeat_words"),
     )
     made = (
-        docs.withColumn("_words", words)
+        renamed.withColumn("_words", words)
         .withColumn("_lines", lines)
         .withColumn("_windows", windows)
         .withColumn("_twice", twice)
     )
-    rest = [c for c in docs.columns if c not in STATISTICS]
+    rest = [F.col(name[c.lower()]).alias(c) for c in docs.columns if c.lower() not in STATISTICS]
     # as a row of its own the struct is made once, however often filters and rules refer to its fields
     return made.select(*rest, F.inline(F.array(statistics)))
 

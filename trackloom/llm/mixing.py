@@ -18,6 +18,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from trackloom.llm.names import positional
 from trackloom.llm.storage import partitions, stored
 
 #: The words of a text.
@@ -274,9 +275,16 @@ def mix(
     return Mix(sized.drop("_name", "_size", "_hash"), documents, slots, uses, sources)
 
 
+def _named(options: dict, name: dict[str, str]) -> dict:
+    """The options of ``mix`` for a table whose columns were renamed."""
+    return {**options, **{k: name[options.get(k, k).lower()] for k in ("text", "source")}}
+
+
 def mix_report(docs: DataFrame, id_column: str = "doc_id", **options) -> DataFrame:
     """``doc_id, size, source_size, target, taken`` for every row: the words that the mix takes of it."""
-    made = mix(docs, [id_column], **options)
+    docs, name = positional(docs)
+    id_column = name[id_column.lower()]
+    made = mix(docs, [id_column], **_named(options, name))
     taken = made.uses.groupBy(F.col("_row").alias("_r")).agg(
         F.sum(F.col("_words") * F.col("_times")).alias("_taken")
     )
@@ -294,9 +302,11 @@ def mix_report(docs: DataFrame, id_column: str = "doc_id", **options) -> DataFra
 def mixed_documents(docs: DataFrame, text: str = "text", **options) -> DataFrame:
     """The mix as documents, with the columns of ``docs``: a document comes once with all words that the mix takes
     at least once and again with those that it takes twice (and so on). Words are joined by one space; what a column
-    says about the old text is left as it was."""
+    says about the old text is left as it was. Columns may have any names."""
     columns = docs.columns
-    made = mix(docs, columns, text=text, **options)
+    docs, name = positional(docs)
+    text = name[text.lower()]
+    made = mix(docs, docs.columns, **_named(options, name) | {"text": text})
     taken = (
         made.uses.select("_row", "_block", "_first", "_words", F.explode(F.sequence(F.lit(1), "_times")).alias("_again"))
         .groupBy(F.col("_row").alias("_r"), "_again")
@@ -312,4 +322,4 @@ def mixed_documents(docs: DataFrame, text: str = "text", **options) -> DataFrame
 
     # as a lambda's variable the words of a text are taken once, not once for each part
     joined = made.rows.join(taken, F.col("_row") == F.col("_r"))
-    return joined.withColumn(text, F.get(F.transform(F.array(words), taken_words), F.lit(0))).select(*columns)
+    return joined.withColumn(text, F.get(F.transform(F.array(words), taken_words), F.lit(0))).select(*docs.columns).toDF(*columns)

@@ -25,6 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from trackloom.llm.components import components
+from trackloom.llm.names import free_name
 from trackloom.llm.sequences import lower, mixed, range_hashes, signed, text_blocks, word_hashes, words_of
 from trackloom.llm.storage import stored
 
@@ -288,5 +289,6 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text: str = "tex
 
 def without_near_duplicates(docs: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs`` with one document of each group of near duplicates, the one with the smallest id."""
-    out = near_duplicates(docs, id_column, text).where(~F.col("kept")).select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(out, F.col(id_column) == F.col("_gone"), "left_anti")
+    gone = free_name("_gone", docs.columns)
+    out = near_duplicates(docs, id_column, text).where(~F.col("kept")).select(F.col("doc_id").alias(gone)).distinct()
+    return docs.join(out, F.col(id_column) == F.col(gone), "left_anti")

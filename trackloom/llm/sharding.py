@@ -15,6 +15,8 @@ import hashlib
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from trackloom.llm.names import free_name
+
 #: A prime well above a hundred slots for each shard, and the most that may be broadcast.
 SLOTS, MOST_SLOTS = 65_537, 1_000_003
 SHARDS = 64
@@ -72,9 +74,10 @@ def place(docs: DataFrame, key: str, shards: list[str], slots: int = SLOTS) -> D
     """``docs`` with ``slot`` and ``shard``.
 
     Every row has a place, null and repeated keys too (equal keys share one). Columns of ``docs`` named ``slot`` or
-    ``shard`` are replaced.
+    ``shard`` in any case are replaced; all others stay, however they are named.
     """
-    rest = [c for c in docs.columns if c not in ("slot", "shard")]
-    keyed = docs.select(*rest, slot_of(docs[key], slots).alias("slot"))
-    table = table_frame(docs.sparkSession, shards, slots)
-    return keyed.join(F.broadcast(table), F.col("slot") == F.col("_slot")).select(*rest, "slot", F.col("_shard").alias("shard"))
+    rest = [c for c in docs.columns if c.lower() not in ("slot", "shard")]
+    slot, shard = (free_name(c, docs.columns) for c in ("_slot", "_shard"))
+    keyed = docs.select(*[docs[c] for c in rest], slot_of(docs[key], slots).alias("slot"))
+    table = table_frame(docs.sparkSession, shards, slots).toDF(slot, shard)
+    return keyed.join(F.broadcast(table), F.col("slot") == F.col(slot)).select(*rest, "slot", F.col(shard).alias("shard"))
