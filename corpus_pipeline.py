@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from trackloom.llm.bpe import encode_texts
 from trackloom.llm.decision_list import quality_verdicts
 from trackloom.llm.mixing import mixed_documents
+from trackloom.llm.names import positional
 from trackloom.llm.near_dedup import without_near_duplicates
 from trackloom.llm.storage import stored, table
 from trackloom.llm.substring_dedup import remove_repeated_spans
@@ -26,8 +27,10 @@ def _like(columns: list[str], docs: DataFrame) -> DataFrame:
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the base rules and the learned list keep."""
-    judged = quality_verdicts(docs, table(spark, sf_dir, "labels"))
-    return judged.where("kept").select(*docs.columns)
+    renamed, name = positional(docs)
+    labels = table(spark, sf_dir, "labels").withColumnRenamed("doc_id", name["doc_id"])
+    judged = quality_verdicts(renamed, labels, name["doc_id"], name["text"])
+    return judged.where("kept").select(*renamed.columns).toDF(*docs.columns)
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
