@@ -6,6 +6,7 @@ from collections import Counter
 import pytest
 
 from trackloom.operators import tubes as T
+from trackloom.operators.ordering import frame_chunk
 
 
 def make_boxes(seed, stride=1, copies=True):
@@ -121,3 +122,11 @@ def test_bins(spark):
     bins = T.time_bins(segments, 0.04).first()
     assert (bins["le_half"], bins["half_to_one"], bins["over_one"]) == (2, 1, 4) or tuple(bins)[-1] == 7
     assert bins["num_tubes"] == 7
+
+
+def test_annotated_rows_shuffle_little(spark):
+    """Boxes are dealt by chunk of frames and by chunk of a tube, and no more often."""
+    boxes, frames = (spark.createDataFrame([], s) for s in (COLUMNS, "video_id string, frame_idx bigint"))
+    rows = T.annotated_rows(boxes.repartition("video_id", frame_chunk("frame_idx")), frames)
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") <= 8, plan
