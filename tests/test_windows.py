@@ -119,3 +119,18 @@ def test_crop_outside_is_empty(spark):
     assert (got[0]["new_w"], got[0]["new_h"], got[0]["x_off"]) == (224, 224, 0)
     assert (got[1]["crop_x2"], got[1]["new_w"], got[1]["x_off"]) == (100, 168, 28)
     assert (got[2]["new_w"], got[2]["y_off"]) == (0, 0)
+
+
+def test_windows_are_dealt_whole(spark):
+    """No row per window and frame is dealt: after the boxes are attached nothing is shuffled by frame."""
+    boxes = spark.createDataFrame([("v1", f, 1, "1", "go", float(f), 0.0, f + 5.0, 9.0, 640, 480) for f in (0, 2, 70, 72, 74)], BOX_COLUMNS)
+    frames = spark.createDataFrame([("v1", f, f"{f:06d}.jpg") for f in range(0, 80, 2)], "video_id string, frame_idx bigint, image_name string")
+    rows = cut_lineage(T.annotated_rows(boxes, frames))
+    starts = W.window_starts(rows, T.annotated_segments(rows), frames, 5, 2)
+    listed = W.windows(starts, frames, 5)
+    for out in (W.filled_boxes(listed, rows, 5), W.window_shapes(listed, rows, boxes, 5), W.masks_of(listed, 5)):
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert "box_src" not in "".join(line for line in plan.splitlines() if "Exchange" in line)
+        assert "segment" not in plan or plan.count("Exchange hashpartitioning") < 20
+    shapes = {(r["window"][-3:], r["offset"]): (r["shape_pos"], r["x1"]) for r in W.window_shapes(listed, rows, boxes, 5).where("window LIKE '%seg01%'").collect()}
+    assert shapes == {("000", o): p for o, p in enumerate([(1, 70.0), (1, 70.0), (1, 72.0), (1, 72.0), (1, 74.0)])}
