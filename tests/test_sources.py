@@ -219,3 +219,13 @@ def test_sinks(spark, tmp_path):
     assert lines == ["## T", "- b: 5", "- a: 3"]
     labels = spark.createDataFrame([(10, "j"), (2, "c")], "label_id int, label_name string")
     assert K.labels_text(labels).first()[0] == '{"2":"c","10":"j"}'
+
+
+def test_find_frames_joins_pieces_once(spark):
+    """A piece inside very many names meets the wanted frames as one row, the first of its names."""
+    images = spark.createDataFrame([("v", f"a_5_{i:03d}.jpg") for i in range(50)], "video_id string, image_name string")
+    wanted = spark.createDataFrame([("v", "5")], "video_id string, frame_id string")
+    found = S.find_frames(wanted, images)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "min(image_name" in plan and any("Aggregate [video_id" in p and ", piece" in p and "min(image_name" in p for p in plan.splitlines())
+    assert [r["image_name"] for r in found.collect()] == ["a_5_000.jpg"]
