@@ -144,3 +144,21 @@ def test_relabel_records_keeps_other_keys(spark):
     assert got[2]["value"] == texts[2] and got[3]["value"] == texts[3]
     one = R.keep_track(df.where("i = 0"), F.lit("7")).first()["value"]
     assert [s["label"] for s in json.loads(one)["shapes"]] == ["l"]
+
+
+def test_records_are_rebuilt_once_however_often_they_are_filtered(spark):
+    from trackloom.sources import labelme as L
+
+    texts = spark.range(4).selectExpr(
+        "concat('/d/videos/v/', lpad(cast(id AS STRING), 6, '0'), '.json') AS path",
+        """concat('{"shapes":[{"label":"', if(id = 2, 'gone', 'a'), '","points":[[1,2],[3,4]],"group_id":"', id, '"}],"k":', id, '}') AS value""",
+    )
+    mapping = spark.createDataFrame([("a", "A"), ("gone", "")], "label string, label2 string")
+    changed = L.to_boxes(L.parse_text(R.relabel_records(texts, mapping).where("n_after > 0")))
+    own = L.to_boxes(L.parse_text(R.keep_track(texts, F.lit("3"))))
+    assert sorted((r["frame_idx"], r["label"]) for r in changed.collect()) == [(0, "A"), (1, "A"), (3, "A")]
+    assert [(r["frame_idx"], r["x1"], r["y2"]) for r in own.collect()] == [(3, 1.0, 4.0)]
+    for df in (changed, own):
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        # One reading of the record, one of its rebuilt text.
+        assert (plan.count("StructsToJsonEvaluator"), plan.count("from_json(")) == (1, 2), plan

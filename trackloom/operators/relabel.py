@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from trackloom.functions.fields import track_of
+from trackloom.functions.rows import once
 from trackloom.operators.ordering import first_per_group
 
 
@@ -114,8 +115,7 @@ def detect_format(text: Column) -> Column:
     value = F.try_parse_json(text)
 
     def is_list(path: str) -> Column:
-        kind = F.schema_of_variant(F.try_variant_get(value, path, "variant"))
-        return F.coalesce(F.startswith(kind, F.lit("ARRAY")), F.lit(False))
+        return F.try_variant_get(value, path, "array<variant>").isNotNull()
 
     return (
         F.when(is_list("$.shapes"), "labelme")
@@ -153,56 +153,59 @@ def relabel_records(texts: DataFrame, mapping: DataFrame, text: str = "value") -
     names = mapping.agg(
         F.map_from_entries(F.collect_list(F.struct("label", "label2")))
     ).scalar()
-    parsed = (
-        texts.withColumn("_names", names)
-        .withColumn("_format", detect_format(F.col(text)))
-        .withColumn("_record", F.when(F.col("_format") == "labelme", F.from_json(text, RECORD)))
-        .withColumn("_shapes", F.try_variant_get(F.col("_record")["shapes"], "$", SHAPES))
-    )
-
-    def rewrite(shape: Column) -> Column:
-        attributes = F.try_variant_get(shape["attributes"], "$", RECORD)
-        action, label = _text_of(attributes["action"]), _text_of(shape["label"])
-        source = F.when(action != "", action).otherwise(label)
-        target = F.coalesce(F.col("_names")[source], source)
-        as_action = F.to_variant_object(_with_key(attributes, "action", target.cast("variant")))
-        changed = F.when(action != "", _with_key(shape, "attributes", as_action)).otherwise(
-            _with_key(shape, "label", target.cast("variant"))
-        )
-        return F.when((source != "") & (target != ""), changed)
-
-    kept = F.filter(F.transform("_shapes", rewrite), lambda s: s.isNotNull())
-    return (
-        parsed.withColumn("_kept", kept)
-        .withColumn(
-            text,
-            F.when(F.col("_kept").isNotNull(), _rebuilt(F.col("_record"), F.col("_kept"))).otherwise(
-                F.col(text)
-            ),
-        )
-        .withColumns(
-            {
-                "n_before": F.coalesce(F.size("_shapes"), F.lit(0)),
-                "n_after": F.coalesce(F.size("_kept"), F.lit(0)),
-            }
-        )
-        .drop("_names", "_format", "_record", "_shapes", "_kept")
-    )
+    record = F.when(detect_format(F.col(text)) == "labelme", F.from_json(text, RECORD))
+    parsed = once(texts.withColumn("_names", names), _record=record)
+
+    # Each step names what the next one reads several times.
+    def opened(shape: Column) -> Column:
+        return F.struct(shape.alias("shape"), F.try_variant_get(shape["attributes"], "$", RECORD).alias("attributes"))
+
+    def named(s: Column) -> Column:
+        action, label = _text_of(s["attributes"]["action"]), _text_of(s["shape"]["label"])
+        return F.struct(s["shape"].alias("shape"), s["attributes"].alias("attributes"), action.alias("action"), label.alias("label"))
+
+    def sourced(s: Column) -> Column:
+        own = s["action"] != ""
+        source = F.when(own, s["action"]).otherwise(s["label"])
+        return F.struct(s["shape"].alias("shape"), s["attributes"].alias("attributes"), own.alias("own"), source.alias("source"))
+
+    def aimed(s: Column) -> Column:
+        target = F.when(s["source"] != "", F.coalesce(F.col("_names")[s["source"]], s["source"])).otherwise("")
+        return F.struct(s["shape"].alias("shape"), s["attributes"].alias("attributes"), s["own"].alias("own"), target.alias("target"))
+
+    def rewrite(s: Column) -> Column:
+        target = s["target"].cast("variant")
+        as_action = F.to_variant_object(_with_key(s["attributes"], "action", target))
+        return F.when(s["own"], _with_key(s["shape"], "attributes", as_action)).otherwise(_with_key(s["shape"], "label", target))
+
+    read = once(parsed, _shapes=F.try_variant_get(F.col("_record")["shapes"], "$", SHAPES))
+    aims = F.col("_shapes")
+    for step in (opened, named, sourced, aimed):
+        aims = F.transform(aims, step)
+    kept = once(read, _kept=F.transform(F.filter(aims, lambda s: s["target"] != ""), rewrite))
+    return once(
+        kept,
+        **{
+            text: F.when(F.col("_kept").isNotNull(), _rebuilt(F.col("_record"), F.col("_kept"))).otherwise(F.col(text)),
+            "n_before": F.coalesce(F.size("_shapes"), F.lit(0)),
+            "n_after": F.coalesce(F.size("_kept"), F.lit(0)),
+        },
+    ).select(*texts.columns, "n_before", "n_after")
 
 
 def keep_track(texts: DataFrame, track: Column, text: str = "value") -> DataFrame:
     """Record texts with the shapes of one track only and every other key kept."""
-    parsed = texts.withColumn("_record", F.from_json(text, RECORD)).withColumn(
-        "_shapes", F.try_variant_get(F.col("_record")["shapes"], "$", SHAPES)
-    )
+    read = once(texts, _record=F.from_json(text, RECORD))
 
     def text_map(value: Column) -> Column:
         return F.try_variant_get(value, "$", "map<string,string>")
 
-    def own(shape: Column) -> Column:
+    def opened(shape: Column) -> Column:
         group = F.try_variant_get(shape["group_id"], "$", "string")
-        return track_of(text_map(shape["attributes"]), text_map(shape["flags"]), group) == track
+        maps = [text_map(shape[c]).alias(c) for c in ("attributes", "flags")]
+        return F.struct(shape.alias("shape"), *maps, group.alias("group"))
 
-    return parsed.withColumn(text, _rebuilt(F.col("_record"), F.filter("_shapes", own))).drop(
-        "_record", "_shapes"
-    )
+    shapes = F.transform(F.try_variant_get(F.col("_record")["shapes"], "$", SHAPES), opened)
+    own = F.filter(shapes, lambda s: track_of(s["attributes"], s["flags"], s["group"]) == track)
+    kept = F.transform(own, lambda s: s["shape"])
+    return once(read, **{text: _rebuilt(F.col("_record"), kept)}).select(*texts.columns)

@@ -8,6 +8,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from trackloom.functions.fields import pad_number
+from trackloom.functions.rows import once
 from trackloom.operators import align as A
 from trackloom.operators import clean as C
 from trackloom.operators import datasets as D
@@ -38,10 +39,10 @@ def record_texts(v: Views):
         F.lit(".json"),
     )
     text = F.to_json(F.struct("imagePath", "imageWidth", "imageHeight", "shapes"))
-    cut = F.struct(F.replace(path, F.lit(".json"), F.lit("_cut.json")).alias("path"), F.left(text, F.lit(20)).alias("value"))
-    whole = F.struct(path.alias("path"), text.alias("value"))
-    files = F.when(F.col("frame_idx") % 7 == 3, F.array(whole, cut)).otherwise(F.array(whole))
-    return records.select(F.explode(files).alias("_f")).select("_f.*")
+    whole = once(records, path=path, value=text).withColumn("_broken", F.col("frame_idx") % 7 == 3)
+    cut = F.struct(F.replace("path", F.lit(".json"), F.lit("_cut.json")).alias("path"), F.left("value", F.lit(20)).alias("value"))
+    files = whole.select(F.inline(F.array(F.struct("path", "value"), F.when(F.col("_broken"), cut))))
+    return files.where(F.col("path").isNotNull())
 
 
 def _scan(v: Views):
@@ -244,7 +245,7 @@ def _whole_texts(v: Views):
     path = F.concat(F.lit("/data/videos/"), "video_id", F.lit("/"), pad_number(F.col("frame_idx"), 6), F.lit(".json"))
     shapes = F.transform("shapes", lambda s: s.withField("note", F.lit("n")))
     text = F.to_json(F.struct("imagePath", "imageWidth", "imageHeight", shapes.alias("shapes"), F.col("frame_idx").alias("extra")))
-    return texts.select(path.alias("path"), text.alias("value"))
+    return once(texts, path=path, value=text).select("path", "value")
 
 
 def _with_path(boxes):
