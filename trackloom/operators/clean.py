@@ -42,14 +42,15 @@ def judged_segments(
 
 
 def clean_boxes(
-    boxes: DataFrame, sigma: float = 3.0, max_len: int = 64, exceptions=LONG_ALLOWED
+    boxes: DataFrame, sigma: float = 3.0, max_len: int = 64, exceptions=LONG_ALLOWED, bare: DataFrame | None = None
 ) -> DataFrame:
     """Boxes that survive the length and size rules; shapes without a box are dropped.
 
     The rules are applied in frame 0 too, where the copied rule skipped it by accident. The
-    frames of removed segments are known from segmentation, so removal is an equi-join.
+    frames of removed segments are known from segmentation, so removal is an equi-join. ``bare`` are the same boxes before
+    they were dealt or numbered, where the caller has them; segments are judged on those.
     """
-    frames, segments = judged_segments(boxes, sigma, max_len, exceptions)
+    frames, segments = judged_segments(boxes if bare is None else bare, sigma, max_len, exceptions)
     doomed = segments.where(F.col("reason").isNotNull()).select(*KEY, "start_f")
     removed = frames.join(doomed, [*KEY, "start_f"], "left_semi").select(*KEY, "frame_idx")
     return boxes.where(F.col("x1").isNotNull()).join(removed, [*KEY, "frame_idx"], "left_anti")

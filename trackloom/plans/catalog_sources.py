@@ -254,7 +254,7 @@ def _with_path(boxes):
 
 
 def _clean_records(v: Views):
-    kept = C.clean_boxes(_with_path(v.boxes()), SIGMA, MAX_LEN)
+    kept = C.clean_boxes(_with_path(v.boxes()), SIGMA, MAX_LEN, bare=v.bare_boxes())
     return L.keep_shapes(_whole_texts(v), kept)
 
 
