@@ -162,3 +162,12 @@ def test_records_are_rebuilt_once_however_often_they_are_filtered(spark):
         plan = df._jdf.queryExecution().optimizedPlan().toString()
         # One reading of the record, one of its rebuilt text.
         assert (plan.count("StructsToJsonEvaluator"), plan.count("from_json(")) == (1, 2), plan
+
+
+def test_cleaning_judges_boxes_that_were_not_dealt(spark):
+    from trackloom.plans.fixtures import Views
+    from trackloom.plans.catalog_sources import _clean_records
+
+    plan = _clean_records(Views(spark, "/root/testdata/sf0.001"))._jdf.queryExecution().optimizedPlan().toString()
+    # Once for the texts and once for the boxes that stay.
+    assert plan.count("RepartitionByExpression") == 2

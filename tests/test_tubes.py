@@ -130,3 +130,24 @@ def test_annotated_rows_shuffle_little(spark):
     rows = T.annotated_rows(boxes.repartition("video_id", frame_chunk("frame_idx")), frames)
     plan = rows._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") <= 40, plan
+
+
+def test_stride_from_bits_and_segments_without_positions(spark, rows_of):
+    from trackloom.operators.ordering import frame_words
+
+    frames = [("v", f) for f in (0, 3, 63, 64, 1023, 1024, 1027, 5000, 5003, 5006)] + [("w", 7)]
+    images = frame_words(spark.createDataFrame([*frames, ("v", 2), ("x", 1)], "video_id string, frame_idx long"))
+    boxes = spark.createDataFrame([(v, "1", "a", f, p) for v, f in frames for p in (1, 2)], "video_id string, track_id string, action string, frame_idx long, pos int")
+    assert rows_of(T.shared_modes(boxes, images)) == rows_of(T.modes(boxes, ["video_id"]))
+    both = [T.annotated_segments(T.annotated_rows(b, boxes.select("video_id", "frame_idx"))) for b in (boxes, boxes.drop("pos"))]
+    assert rows_of(both[0]) == rows_of(both[1]) and len(rows_of(both[0])) > 10
+
+
+def test_only_the_rows_themselves_are_numbered(spark):
+    from trackloom.plans.catalog_windows import Parts
+    from trackloom.plans.fixtures import Views
+
+    parts = Parts(Views(spark, "/root/testdata/sf0.001"))
+    plans = [df._jdf.queryExecution().optimizedPlan().toString() for df in (parts.annotated, parts.segments)]
+    assert [p.count("row_number()") > 0 for p in plans] == [True, False]
+    assert [p.count("RepartitionByExpression") for p in plans] == [2, 0]
