@@ -151,3 +151,12 @@ def test_convert_job_takes_both_formats(spark, tmp_path):
     summary = out["summary"].first()
     assert (summary["files"], summary["files_deleted"]) == (len(some) + 4, 1)
     assert summary["annotations_before"] == 3 + sum(len(d["annotations"]) for d in some.values())
+
+
+def test_category_documents_are_parsed_once(spark):
+    from trackloom.operators import coco
+
+    texts = spark.createDataFrame([("a", '{"annotations":[],"categories":[]}')], "path string, value string")
+    names = spark.createDataFrame([("a", "A")], "label string, label2 string")
+    plan = coco.relabel_documents(texts, names)._jdf.queryExecution().optimizedPlan().toString()
+    assert (plan.count("from_json("), plan.count("Join ")) == (1, 0)

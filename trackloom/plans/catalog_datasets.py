@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from trackloom.functions.rows import once
 from trackloom.operators import clean as C
 from trackloom.operators import coco as Q
 from trackloom.operators import datasets as D
 from trackloom.operators import relabel as R
+from trackloom.operators.ordering import frame_chunk
 from trackloom.operators.tubes import KEY as TUBE
 from trackloom.plans.catalog_tubes import DEDUP, KEY
 from trackloom.plans.fixtures import Views, ctes
@@ -92,10 +94,11 @@ def _category_documents(v: Views):
         F.when(F.col("action") == "shoot", 3 + 6 * odd).when(F.col("action") == "hold", 1).when(F.col("action") == "pass", 7).otherwise(5 + 94 * odd)
     )
     note = F.struct(F.col("pos").alias("id"), code.alias("category_id"), F.array(*[F.col(c).cast("bigint") for c in ("x1", "y1", "x2", "y2")]).alias("bbox"))
-    notes = v.boxes().groupBy("video_id", "frame_idx").agg(F.to_json(F.sort_array(F.collect_list(note))).alias("_notes"))
+    # Grouped by chunk as well, so the boxes stay where they were dealt.
+    notes = v.boxes().groupBy("video_id", frame_chunk("frame_idx"), "frame_idx").agg(F.sort_array(F.collect_list(note)).alias("_notes"))
     categories = F.when(F.col("frame_idx") % 2 == 0, EVEN).otherwise(ODD)
-    text = F.concat(F.lit('{"info":{"n":'), F.col("frame_idx").cast("string"), F.lit('},"annotations":'), "_notes", F.lit(',"categories":'), categories, F.lit("}"))
-    return notes.select(F.concat_ws("/", "video_id", F.col("frame_idx").cast("string")).alias("path"), text.alias("value"))
+    text = F.concat(F.lit('{"info":{"n":'), F.col("frame_idx").cast("string"), F.lit('},"annotations":'), F.to_json("_notes"), F.lit(',"categories":'), categories, F.lit("}"))
+    return once(notes, path=F.concat_ws("/", "video_id", F.col("frame_idx").cast("string")), value=text).select("path", "value")
 
 
 def _formats(v: Views):
