@@ -229,3 +229,45 @@ def test_find_frames_joins_pieces_once(spark):
     plan = found._jdf.queryExecution().optimizedPlan().toString()
     assert "min(image_name" in plan and any("Aggregate [video_id" in p and ", piece" in p and "min(image_name" in p for p in plan.splitlines())
     assert [r["image_name"] for r in found.collect()] == ["a_5_000.jpg"]
+
+
+def frame_by_loop(frame_id, names):
+    """Image of a frame id, every pattern tried on every name."""
+    digits = frame_id.strip() if frame_id is not None else ""
+    number = int(digits) if digits.lstrip("+-").isdigit() and -(2**63) <= int(digits) < 2**63 else None
+    bases = [] if frame_id is None else [f"img_{frame_id}", frame_id]
+    if number is not None:
+        text = str(number)
+        bases = [f"img_{text.rjust(5, '0')}", text.rjust(6, "0"), text, f"img_{text}", *bases]
+    for base in bases:
+        for ext in (".jpg", ".JPG", ".jpeg", ".JPEG"):
+            if base + ext in names:
+                return base + ext
+    loose = [n for n in names if n.lower().endswith((".jpg", ".jpeg")) and any(b and b in n for b in bases)]
+    return min(loose, default=None)
+
+
+def test_find_frames_by_loop(spark):
+    names = (
+        "img_00012.JPG 12.jpeg 000012.jpg 13.jpg img_0013.jpg x000123_a.jpeg b120007_c1.jpg 99999999999999999999.jpg img_000-5.jpg t-012.jpg"
+        " z-12.jpg img_.jpg .jpg cam12_000450.Jpg 0.png q0.jpeg 9223372036854775807_k.jpg img_tag7.jpeg pre_tag8x.JPG 300400.jpg img_img_4.jpg +8.jpg"
+    ).split()
+    ids = [
+        "12", "0012", "13", "0013", "00013", "123", "23", "7", "07", "0", "00", "-5", "-012", "-12", "", None, "tag7", "tag8", "45", "0450", "4500",
+        "9223372036854775807", "99999999999999999999", "30", "img_4", "4", "+8", " 8", "8", "1200", "2000", "99999",
+    ]
+    images = spark.createDataFrame([(v, n) for v in ("a", "b") for n in names if v == "a" or n[0] in "bx"], "video_id string, image_name string")
+    wanted = spark.createDataFrame([(v, i) for v in ("a", "b", "c", None) for i in ids] * 2, "video_id string, frame_id string")
+    kept = {v: [r["image_name"] for r in images.collect() if r["video_id"] == v] for v in ("a", "b", "c", None)}
+    got = S.find_frames(wanted, images).collect()
+    assert len(got) == 4 * len(ids)
+    assert {(r["video_id"], r["frame_id"]): r["image_name"] for r in got} == {(v, i): frame_by_loop(i, n) for v, n in kept.items() for i in ids}
+
+
+def test_find_frames_asks_numbers_once(spark):
+    """Ids that are numbers meet the names by number: they aren't spread into stems, nor names into texts of any kind."""
+    images = spark.createDataFrame([("v", f"x{i:06d}_a.jpeg") for i in range(300)], "video_id string, image_name string")
+    found = S.find_frames(spark.range(300).selectExpr("'v' AS video_id", "printf('%04d', id) AS frame_id"), images)
+    assert {(r["frame_id"], r["image_name"]) for r in found.collect()} == {(f"{i:04d}", frame_by_loop(f"{i:04d}", [f"x{k:06d}_a.jpeg" for k in range(300)])) for i in range(300)}
+    done = found._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert "posexplode" not in done and "piece" not in done

@@ -99,7 +99,7 @@ def _images(v: Views):
 
 
 def _find(v: Views):
-    wanted = v.interactions().select("video_id", "frame_id").distinct()
+    wanted = v.interactions().select("video_id", "frame_id")
     # Ids of two or more digits never occur inside another frame's padded number.
     return S.find_frames(wanted, _images(v))
 
