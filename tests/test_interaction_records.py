@@ -170,3 +170,19 @@ def test_one_shot_statistics(spark, tmp_path, rows_of, monkeypatch):
     assert list(J.one_shot_stats(data(), skip=("dirs", "lengths"))) == ["time_bins"]
     with pytest.raises(ValueError):
         J.one_shot_stats(data(), skip=("all",))
+
+
+def test_record_rows_are_dealt_by_frame_only(spark):
+    """Rows meet their image where they are, no shape is shuffled, and shapes that the order leaves equal stand by their texts."""
+    from trackloom.operators import interaction_records as N
+
+    columns = "video_id string, frame_id string, person_id bigint, action_id bigint, x1 double, y1 double, x2 double, y2 double, x1_2 double, y1_2 double, x2_2 double, y2_2 double, action_name string"
+    rows = [("v", "0001", 1, 2, 0.1, 0.2, 0.3, 0.4, second, 0.5, 0.6, 0.7, "a") for second in (0.099, 0.1, None)]
+    named = spark.createDataFrame(rows, columns)
+    placed = spark.createDataFrame([("v", "0001", "1.jpg", 1000, 10)], "video_id string, frame_id string, image_name string, width int, height int")
+    out = N.record_texts(named, placed, N.VALUE_ORDER, secondary=True)
+    dealt = [line for line in out._jdf.queryExecution().executedPlan().toString().splitlines() if "Exchange hashpartitioning" in line]
+    assert not any("image_name" in line or "width" in line for line in dealt)
+    record = json.loads(out.first()["value"])
+    assert [(s["attributes"]["team"], s["points"][0][0]) for s in record["shapes"]] == [("0", 100.0)] * 3 + [("1", 100.0), ("1", 99.0)]
+    assert list(record) == ["version", "flags", "shapes", "imagePath", "imageData", "imageHeight", "imageWidth"]
