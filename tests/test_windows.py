@@ -3,6 +3,7 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from trackloom.operators import tubes as T
 from trackloom.operators import windows as W
@@ -133,3 +134,30 @@ def test_windows_are_dealt_whole(spark):
         assert "box_src" not in "".join(line for line in plan.splitlines() if "Exchange" in line)
     shapes = {(r["window"][-3:], r["offset"]): (r["shape_pos"], r["x1"]) for r in W.window_shapes(listed, rows, boxes, 5).where("window LIKE '%seg01%'").collect()}
     assert shapes == {("000", o): p for o, p in enumerate([(1, 70.0), (1, 70.0), (1, 72.0), (1, 72.0), (1, 74.0)])}
+
+
+@pytest.mark.parametrize("pad", [False, True])
+def test_dense_windows_from_one_dealing(spark, pad):
+    """The same shapes as by pieces, over ends of chunks, copies, boxes without an image or an action; only boxes are dealt."""
+    from trackloom.operators.ordering import near_chunks
+
+    rng, rows, images = random.Random(5), [], set()
+    for v, first in (("v1", 990), ("v2", 0), ("v3", 1019)):
+        for f in range(first, first + (1070 if v == "v1" else 12)):
+            if rng.random() < (0.97 if v == "v1" else 0.8):
+                images.add((v, f))
+            gone = 0.05 if 1000 < f < 2045 else 0.4
+            shapes = [(t, a) for t in "12" for a in ("go", "stop", "", "go") if rng.random() > gone and (a == "go" or rng.random() < 0.2)]
+            rows += [(v, f, n + 1, t, a, float(f), float(n), f + 5.0, n + 9.0, 640, 480) for n, (t, a) in enumerate(shapes[: rng.choice((1, 1, 2, 5))])]
+    boxes = spark.createDataFrame(rows, BOX_COLUMNS)
+    frames = spark.createDataFrame([(v, f, f"{f:06d}.jpg") for v, f in sorted(images)], "video_id string, frame_idx bigint, image_name string")
+    win, step = 6, 3
+    tubes = cut_lineage(T.annotated_rows(boxes, frames))
+    assert {r["stride"] for r in tubes.select("stride").distinct().collect()} == {1}
+    starts = W.window_starts(tubes, T.annotated_segments(tubes), frames, win, step, pad=pad)
+    want = W.window_shapes(W.windows(starts, frames, win), tubes, boxes, win, pad)
+    dealt = boxes.select("*", F.explode(near_chunks("frame_idx", win)).alias("_chunk")).repartition("video_id", "_chunk")
+    got = W.dense_window_shapes(dealt, boxes.drop("pos"), frames, win, step, pad)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert not any("Exchange hashpartitioning" in line and ("run_no" in line or "win_no" in line) for line in plan.splitlines())
+    assert sorted(map(tuple, got.select(want.columns).collect())) == sorted(map(tuple, want.collect()))
